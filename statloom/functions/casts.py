@@ -1,4 +1,4 @@
-"""Casts that never fail a job: bad input gives null (or a clamped value), ANSI mode stays on."""
+"""Casts that never fail a job: bad input gives null (or the nearest limit), ANSI mode stays on."""
 
 from __future__ import annotations
 
@@ -6,7 +6,14 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-_LIMITS = {"int": (-(2**31), 2**31 - 1), "bigint": (-(2**63), 2**63 - 1)}
+# Truncation toward zero; NaN is 0 and values out of range take the nearest limit.
+_FROM_FLOATING = {
+    "int": "cast(case when isnan({0}) then 0 when {0} >= 2147483647D then 2147483647 "
+           "when {0} <= -2147483648D then -2147483648 else cast({0} as int) end as int)",
+    "bigint": "case when isnan({0}) then 0L when {0} >= 9223372036854775807D "
+              "then 9223372036854775807L when {0} <= -9223372036854775808D "
+              "then -9223372036854775808L else cast({0} as bigint) end",
+}
 
 # A sign, then whole digits with an optional fraction, or a bare fraction.
 _NUMBER = r"^([+-]?)([0-9]*)(?:[.][0-9]*)?$"
@@ -14,43 +21,31 @@ _NOT_BLANK = r"[0-9.]"
 _PADDING = "[\\x00-\\x20\\x7f]+"
 
 
-def _from_floating(column: Column, target: str) -> Column:
-    """Truncate toward zero; NaN is 0 and values out of range take the nearest limit."""
-    low, high = _LIMITS[target]
-    value = column.cast("double")
-    return (
-        F.when(F.isnan(value), F.lit(0).cast(target))
-        .when(value >= F.lit(float(high)), F.lit(high).cast(target))
-        .when(value <= F.lit(float(low)), F.lit(low).cast(target))
-        .otherwise(value.cast(target))
-    )
-
-
-def _from_text(column: Column, target: str) -> Column:
+def _from_text(name: str, target: str) -> Column:
     """The whole part of a decimal number; null for other text and for values out of range."""
-    text = F.regexp_replace(column, f"^{_PADDING}|{_PADDING}$", "")
+    text = F.regexp_replace(name, f"^{_PADDING}|{_PADDING}$", "")
     whole = F.concat(F.regexp_extract(text, _NUMBER, 1), F.lit("0"),
                      F.regexp_extract(text, _NUMBER, 2))
     return F.when(text.rlike(_NUMBER) & text.rlike(_NOT_BLANK), whole.try_cast(target))
 
 
-def to_integral(column: Column, source: T.DataType, target: str = "int") -> Column:
-    """Cast a column of type ``source`` to ``int`` or ``bigint``."""
+def to_integral(name: str, source: T.DataType, target: str = "int") -> Column:
+    """Cast the named column, of type ``source``, to ``int`` or ``bigint``."""
     if isinstance(source, (T.FloatType, T.DoubleType)):
-        return _from_floating(column, target)
+        return F.expr(_FROM_FLOATING[target].format(f"`{name}`"))
     if isinstance(source, T.StringType):
-        return _from_text(column, target)
+        return _from_text(name, target)
     if isinstance(source, T.LongType) and target == "int":
         # Keep the low 32 bits, sign-extended.
-        return F.shiftright(F.shiftleft(column, 32), 32).cast("int")
-    return column.try_cast(target)
+        return F.expr(f"cast(shiftright(shiftleft(`{name}`, 32), 32) as int)")
+    return F.expr(f"try_cast(`{name}` as {target})")
 
 
-def to_float(column: Column) -> Column:
+def to_float(name: str) -> Column:
     """Cast to a 32-bit float; unreadable text gives null."""
-    return column.try_cast("float")
+    return F.expr(f"try_cast(`{name}` as float)")
 
 
-def to_date(column: Column, fmt: str) -> Column:
+def to_date(name: str, fmt: str) -> Column:
     """Parse a date; text that does not fit the format gives null."""
-    return F.try_to_date(column, fmt)
+    return F.try_to_date(name, fmt)

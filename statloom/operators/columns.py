@@ -13,25 +13,27 @@ from statloom.functions import casts
 from statloom.functions.dates import day
 
 
-def _type_of(df: DataFrame, name: str) -> T.DataType:
-    return df.select(F.col(name)).schema[0].dataType
+def _types(df: DataFrame) -> dict[str, T.DataType]:
+    """Column types by lower-cased name, as names match without regard to case."""
+    return {f.name.lower(): f.dataType for f in df.schema.fields}
 
 
 def cast_int(df: DataFrame, columns: Iterable[str]) -> DataFrame:
     """Cast the listed columns to 32-bit integers."""
+    types = _types(df)
     return df.withColumns({
-        c: casts.to_integral(F.col(c), _type_of(df, c), "int") for c in columns
+        c: casts.to_integral(c, types[c.lower()], "int") for c in columns
     })
 
 
 def cast_float(df: DataFrame, columns: Iterable[str]) -> DataFrame:
     """Cast the listed columns to 32-bit floats."""
-    return df.withColumns({c: casts.to_float(F.col(c)) for c in columns})
+    return df.withColumns({c: casts.to_float(c) for c in columns})
 
 
 def parse_date(df: DataFrame, column: str, fmt: str) -> DataFrame:
     """Replace a text column by its date."""
-    return df.withColumn(column, casts.to_date(F.col(column), fmt))
+    return df.withColumn(column, casts.to_date(column, fmt))
 
 
 def stamp(df: DataFrame, run_date: date | str, column: str = "ingestion_date") -> DataFrame:
@@ -51,9 +53,12 @@ def project(df: DataFrame, contract: T.StructType) -> DataFrame:
 
 def conform(df: DataFrame, contract: T.StructType) -> DataFrame:
     """Project to the contract and bring every column to the contract's type."""
+    types = _types(df)
     return df.select(*[
-        (casts.to_integral(F.col(f.name), _type_of(df, f.name), "bigint")
-         if isinstance(f.dataType, T.LongType) else F.col(f.name).cast(f.dataType)).alias(f.name)
+        F.col(f.name) if types[f.name] == f.dataType
+        else casts.to_integral(f.name, types[f.name], "bigint").alias(f.name)
+        if isinstance(f.dataType, T.LongType)
+        else F.col(f.name).cast(f.dataType).alias(f.name)
         for f in contract.fields
     ])
 

@@ -66,7 +66,7 @@ def dedupe(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return (
         df.groupBy(*keys)
         .agg(F.min(F.struct(*rest)).alias("_row"))
-        .select(*[c if c in keys else F.col("_row")[c].alias(c) for c in df.columns])
+        .select(*keys, "_row.*").select(*df.columns)
     )
 
 

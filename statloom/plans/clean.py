@@ -13,19 +13,23 @@ from statloom.operators import columns, rows
 from statloom.schemas import CORRUPT, TableSpec
 
 
-def _unstamped(contract: T.StructType) -> T.StructType:
-    return T.StructType([f for f in contract.fields if f.name != "ingestion_date"])
+STAMP = "ingestion_date"
 
 
 def typed(raw: DataFrame, spec: TableSpec) -> DataFrame:
-    """Column work only: names, dates, casts, null keys, projection. No shuffle."""
+    """Column work only: names, dates, casts, null keys, projection. No shuffle.
+
+    The stamp is added after deduplication; records that carry one already keep it.
+    """
+    stamped = STAMP in raw.columns
+    contract = T.StructType([f for f in spec.contract.fields if stamped or f.name != STAMP])
     return (
         raw.transform(columns.lowercase_columns)
         .transform(columns.parse_date, spec.date_column, spec.date_format)
         .transform(columns.cast_int, spec.int_columns)
         .transform(columns.cast_float, spec.float_columns)
         .transform(rows.drop_null_keys, spec.required)
-        .transform(columns.conform, _unstamped(spec.contract))
+        .transform(columns.conform, contract)
     )
 
 
@@ -47,9 +51,9 @@ def rejects(raw: DataFrame, spec: TableSpec) -> DataFrame:
     low = raw.transform(columns.lowercase_columns)
     types = {f.name: f.dataType for f in low.schema.fields}
     parsed: dict[str, Column] = {
-        spec.date_column: casts.to_date(F.col(spec.date_column), spec.date_format),
-        **{c: casts.to_integral(F.col(c), types[c]) for c in spec.int_columns},
-        **{c: casts.to_float(F.col(c)) for c in spec.float_columns},
+        spec.date_column: casts.to_date(spec.date_column, spec.date_format),
+        **{c: casts.to_integral(c, types[c]) for c in spec.int_columns},
+        **{c: casts.to_float(c) for c in spec.float_columns},
     }
     marks = [F.when(F.col(c).isNotNull() & value.isNull(), F.lit(c))
              for c, value in parsed.items()]

@@ -22,14 +22,15 @@ def store(spark: SparkSession, spec: TableSpec, feed: str, zones: Zones, run_dat
           mode: str = tables.APPEND) -> None:
     """Clean one feed of a run date and write it to the processed zone and the warehouse.
 
-    The batch is computed once, in storage order, and checkpointed in the shared folder. Both
-    sinks read that copy, hold the same rows and need no further shuffle or sort.
+    The batch is computed once, cut into storage ranges and checkpointed in the shared folder. Both
+    sinks read that copy, so they hold the same rows and need no further shuffle.
     """
     shared_folder(spark)
     raw = read_json_lines(spark, zones.raw(run_date, feed), spec.raw)
-    batch = tables.cluster_layout(clean(raw, spec, run_date), spec).checkpoint()
-    tables.write_partitioned(batch, zones.processed(run_date, feed), spec.partition, mode)
-    tables.write_partitioned(batch, zones.warehouse(spec.name), spec.partition, mode)
+    batch = clean(raw, spec, run_date).transform(tables.cluster_ranges, spec).checkpoint()
+    for path in (zones.processed(run_date, feed), zones.warehouse(spec.name)):
+        tables.write_partitioned(
+            batch.transform(tables.cluster_sort, spec), path, spec.partition, mode)
 
 
 def transform(spark: SparkSession, zones: Zones, run_date: date | str,

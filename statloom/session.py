@@ -29,6 +29,9 @@ def build_session(app_name: str = "statloom", master: str | None = None,
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        # The JVM does not compile methods above 8000 bytes of bytecode; wide projections are
+        # faster when Spark splits them instead of fusing them into one such method.
+        .config("spark.sql.codegen.hugeMethodLimit", "8000")
         .config("spark.ui.enabled", "false")
     )
     if master:

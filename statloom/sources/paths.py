@@ -16,6 +16,10 @@ class Zones:
     def raw(self, run_date: date | str, feed: str) -> str:
         return f"{self.root}/raw/{self.dataset}/{_iso(run_date)}/{feed}.json"
 
+    def raw_runs(self, feed: str) -> str:
+        """Every run date of a feed."""
+        return f"{self.root}/raw/{self.dataset}/*/{feed}.json"
+
     def processed(self, run_date: date | str, feed: str) -> str:
         return f"{self.root}/processed/{self.dataset}/{_iso(run_date)}/{feed}"
 

@@ -16,15 +16,37 @@ APPEND = "append"
 REPLACE_DATES = "replace_dates"
 
 
-def cluster_layout(df: DataFrame, spec: TableSpec) -> DataFrame:
-    """Order rows for storage: by partition date, then cluster column, then key.
+def date_layout(df: DataFrame, partition: str = "game_date") -> DataFrame:
+    """Gather the rows of a date for writing, without a sampling pass.
+
+    AQE cuts a date that is too large for one task and merges dates that are too small, so a hot
+    date is written by many tasks and the number of files stays near the number of dates.
+    """
+    return df.hint("rebalance", F.col(partition))
+
+
+def _storage_order(spec: TableSpec) -> list[str]:
+    return list(dict.fromkeys([spec.partition, spec.cluster, *spec.keys]))
+
 
-    Range partitions are balanced by sampling. A small date shares a task with its neighbours and
-    gives one file; a huge date is cut along the cluster column and the key, so no task holds a
-    whole hot date or entity, and every file covers a narrow range of the cluster column.
+def cluster_ranges(df: DataFrame, spec: TableSpec) -> DataFrame:
+    """Give each task a range of the storage order: partition date, cluster column, key.
+
+    The ranges are balanced by sampling. A small date shares a task with its neighbours and gives
+    one file; a huge date is cut along the cluster column and the key, so no task holds a whole hot
+    date or entity, and every file covers a narrow range of the cluster column.
     """
-    order = list(dict.fromkeys([spec.partition, spec.cluster, *spec.keys]))
-    return df.repartitionByRange(*order).sortWithinPartitions(*order)
+    return df.repartitionByRange(*_storage_order(spec))
+
+
+def cluster_sort(df: DataFrame, spec: TableSpec) -> DataFrame:
+    """Sort each task's rows in storage order; the writer then needs no sort of its own."""
+    return df.sortWithinPartitions(*_storage_order(spec))
+
+
+def cluster_layout(df: DataFrame, spec: TableSpec) -> DataFrame:
+    """Ranges and order together, for a single write."""
+    return df.transform(cluster_ranges, spec).transform(cluster_sort, spec)
 
 
 def write_partitioned(df: DataFrame, path: str, partition: str = "game_date",

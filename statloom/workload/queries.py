@@ -70,7 +70,7 @@ def json_roundtrip(spark, sf_dir):
 def parquet_partitioned_roundtrip(spark, sf_dir):
     path = scratch_path(spark, "partitioned")
     df = standins.raw_games(spark, sf_dir).transform(_stamped, GAMES)
-    tables.write_clustered(df, path, GAMES)
+    tables.write_partitioned(tables.date_layout(df), path)
     return tables.read_table(spark, path, GAMES.contract)
 
 
@@ -96,7 +96,7 @@ def table_contract(spark, sf_dir):
 def append_batches(spark, sf_dir):
     path = scratch_path(spark, "append")
     df = _event_days(spark, sf_dir, "game_date")
-    batch = df.repartitionByRange("game_date", "event_id")
+    batch = tables.date_layout(df)
     for _ in range(2):
         tables.write_partitioned(batch, path)
     return spark.read.schema(df.schema).parquet(path)
@@ -106,7 +106,7 @@ def append_batches(spark, sf_dir):
 def replace_batches(spark, sf_dir):
     path = scratch_path(spark, "replace")
     df = _event_days(spark, sf_dir, "game_date")
-    batch = df.repartitionByRange("game_date", "event_id")
+    batch = tables.date_layout(df)
     for _ in range(2):
         tables.write_partitioned(batch, path, mode=tables.REPLACE_DATES)
     return spark.read.schema(df.schema).parquet(path)

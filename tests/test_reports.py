@@ -1,0 +1,95 @@
+from __future__ import annotations
+
+from datetime import date
+
+import pytest
+from conftest import plan_of
+from pyspark.sql import functions as F
+
+from statloom.operators import reports, rows
+
+SINCE = "2024-10-01"
+
+
+@pytest.fixture
+def players(spark):
+    return spark.createDataFrame([
+        (1, "A", "g1", date(2024, 10, 1), 30, 5, 7, 3.0),
+        (1, "A", "g2", date(2024, 11, 2), 31, None, 8, -2.0),
+        (1, "A", "g0", date(2024, 9, 30), 99, 9, 9, 9.0),
+        (2, "B", "g1", date(2024, 10, 1), None, 4, 4, 0.5),
+        (2, "B", "g2", date(2024, 10, 9), 30, 4, 4, 0.5),
+        (3, "B", "g3", date(2025, 4, 13), 10, 1, 1, 1.0),
+        (3, "B", "g4", date(2025, 4, 14), 20, 1, 1, 1.0),
+        (4, "D", "g5", None, 50, 1, 1, 1.0),
+    ], "player_id long, player_name string, game_id string, game_date date, pts long, reb long, "
+       "ast long, plus_minus double")
+
+
+def test_averages_skip_nulls_and_counts_do_not(players):
+    got = {r["player_id"]: r for r in reports.season_averages(players, SINCE).collect()}
+    assert set(got) == {1, 2, 3}
+    assert (got[1]["avg_pts"], got[1]["avg_reb"], got[1]["games_played"]) == (30.5, 5.0, 2)
+    assert (got[2]["avg_pts"], got[2]["games_played"]) == (30.0, 2)
+
+
+def test_top_scorers_order_and_ties(spark, players):
+    assert [r["player_id"] for r in reports.top_scorers(players, SINCE).collect()] == [1, 2, 3]
+    tied = players.withColumn("pts", F.lit(5))
+    assert [r["player_id"] for r in reports.top_scorers(tied, SINCE, 2).collect()] == [1, 2]
+
+
+def test_top_k_keeps_k_rows_per_task(players):
+    assert "TakeOrderedAndProject" in plan_of(reports.top_scorers(players, SINCE))
+
+
+def test_performance_is_in_date_order(players):
+    days = [r["game_date"] for r in reports.performance_over_time(players, SINCE).collect()]
+    assert days == sorted(days) and len(days) == 6
+    assert reports.performance_over_time(players, SINCE).columns == [
+        "player_id", "player_name", "game_date", "pts", "reb", "ast", "plus_minus"]
+
+
+def test_unknown_outcomes_are_a_group(spark):
+    games = spark.createDataFrame([
+        ("LAL", "W", date(2024, 10, 1)), ("LAL", "W", date(2024, 10, 2)),
+        ("LAL", None, date(2024, 10, 3)), ("BOS", "L", date(2024, 10, 3)),
+        ("BOS", "L", date(2024, 9, 30)), ("BOS", "L", None),
+    ], "team_abbreviation string, wl string, game_date date")
+    assert [tuple(r) for r in reports.win_loss_by_team(games, SINCE).collect()] == [
+        ("BOS", "L", 1), ("LAL", None, 1), ("LAL", "W", 2)]
+
+
+def test_health_check_includes_the_seventh_day(spark):
+    df = spark.sql("select explode(sequence(date'2025-04-01', date'2025-04-20')) as ingestion_date")
+    got = [r["ingestion_date"] for r in reports.pipeline_health(df, "2025-04-13").collect()]
+    assert got[0] == date(2025, 4, 20) and got[-1] == date(2025, 4, 6) and len(got) == 15
+
+
+def test_first_tile_is_a_mean_of_means(players):
+    tile = reports.tile_top_scorers(reports.top_scorers(players, SINCE))
+    # Two players share the name B: (30.0 + 15.0) / 2, not the mean of their three games.
+    assert [tuple(r) for r in tile.collect()] == [("A", 30.5), ("B", 22.5)]
+
+
+def test_second_tile_by_month_with_both_ends(players):
+    tile = reports.tile_monthly(reports.performance_over_time(players, SINCE), SINCE, "2025-04-13")
+    assert [tuple(r) for r in tile.collect()] == [
+        ("A", date(2024, 10, 1), 30.0), ("B", date(2024, 10, 1), 30.0),
+        ("A", date(2024, 11, 1), 31.0), ("B", date(2025, 4, 1), 10.0)]
+
+
+def test_selection_applies_after_the_limit(players):
+    top = reports.top_scorers(players, SINCE, 1)
+    assert rows.select_entities(top, "player_name", ["B"]).count() == 0
+
+
+def test_a_view_sort_is_not_paid_under_a_tile(players):
+    performance = reports.performance_over_time(players, SINCE)
+    tile = performance.groupBy("player_name").agg(F.avg("pts"))
+    assert "Sort [" not in plan_of(tile) and "rangepartitioning" not in plan_of(tile)
+
+
+def test_landed_counts(spark, players):
+    out = reports.landed_counts({"a": players, "b": players.limit(0)})
+    assert {tuple(r) for r in out.collect()} == {("a", 8), ("b", 0)}
