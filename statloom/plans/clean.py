@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from datetime import date
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -46,21 +47,21 @@ def clean(raw: DataFrame, spec: TableSpec, run_date: date | str) -> DataFrame:
 def rejects(raw: DataFrame, spec: TableSpec) -> DataFrame:
     """Records with a value the casts cannot read, or (read with ``keep_corrupt``) broken lines.
 
-    ``rejected`` names the columns concerned.
+    ``rejected`` names the columns concerned. Only text can be unreadable; it is tested once per
+    record, and the names are put together for the rejected records alone.
     """
     low = raw.transform(columns.lowercase_columns)
-    types = {f.name: f.dataType for f in low.schema.fields}
-    parsed: dict[str, Column] = {
+    texts = {f.name for f in low.schema.fields if isinstance(f.dataType, T.StringType)}
+    parsed = {
         spec.date_column: casts.to_date(spec.date_column, spec.date_format),
-        **{c: casts.to_integral(c, types[c]) for c in spec.int_columns},
+        **{c: casts.to_integral(c, T.StringType()) for c in spec.int_columns},
         **{c: casts.to_float(c) for c in spec.float_columns},
     }
-    marks = [F.when(F.col(c).isNotNull() & value.isNull(), F.lit(c))
-             for c, value in parsed.items()]
-    if CORRUPT in low.columns:
-        marks.append(F.when(F.col(CORRUPT).isNotNull(), F.lit(CORRUPT)))
-    return (
-        low.withColumn("rejected", F.array_compact(F.array(*marks)))
-        .filter(F.size("rejected") > 0)
-    )
-
+    failed = {c: F.col(c).isNotNull() & v.isNull() for c, v in parsed.items() if c in texts}
+    if CORRUPT in texts:
+        failed[CORRUPT] = F.col(CORRUPT).isNotNull()
+    if not failed:
+        return low.withColumn("rejected", F.array().cast("array<string>")).limit(0)
+    names = F.array(*[F.when(test, F.lit(c)) for c, test in failed.items()])
+    return low.filter(reduce(Column.__or__, failed.values())).withColumn(
+        "rejected", F.array_compact(names))

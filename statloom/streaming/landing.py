@@ -10,7 +10,7 @@ from statloom.operators import columns, rows
 from statloom.plans.clean import STAMP, typed
 from statloom.schemas import TableSpec
 from statloom.sources.paths import Zones
-from statloom.sources.tables import date_layout
+from statloom.sources.tables import cluster_layout
 
 _RUN_DATE = "/([0-9]{4}-[0-9]{2}-[0-9]{2})/[^/]+[.]json"
 
@@ -35,9 +35,11 @@ def stream_table(spark: SparkSession, spec: TableSpec, feed: str, zones: Zones,
     run_date = F.regexp_extract("_metadata.file_path", _RUN_DATE, 1).try_cast("date")
 
     def write(batch: DataFrame, batch_id: int) -> None:
+        # A stream may run without AQE, so the layout has to balance hot dates by itself.
         (
-            date_layout(_clean_runs(batch, spec), spec.partition).write
-            .mode("overwrite").partitionBy(spec.partition).parquet(f"{path}/batch={batch_id}")
+            _clean_runs(batch, spec).transform(cluster_layout, spec)
+            .write.mode("overwrite").partitionBy(spec.partition)
+            .parquet(f"{path}/batch={batch_id}")
         )
 
     return (

@@ -8,6 +8,7 @@ from statloom.schemas import GAMES, PLAYERS, TableSpec
 from statloom.workload.queries import (
     ALL_TABLES,
     EVENTS_AS_OF,
+    EXPIRE_DAYS,
     FIRST,
     LAST,
     LEAGUE,
@@ -15,6 +16,7 @@ from statloom.workload.queries import (
     RUN_DATE,
     SEASON,
     SINCE,
+    STREAM_RUNS,
 )
 from statloom.workload.standins import (
     DUCKDB,
@@ -62,21 +64,22 @@ def _deduped(source: str, keys: tuple[str, ...] | list[str], columns: list[str])
             f"(PARTITION BY {', '.join(keys)} ORDER BY {rest}) = 1")
 
 
-def _stamped(spec: TableSpec, source: str, monthly: bool = False) -> str:
+def _stamped(spec: TableSpec, source: str, monthly: bool = False,
+             run_date: str = RUN_DATE) -> str:
     columns = [f'"{n}"' for n in spec.contract.names if n != "ingestion_date"]
     if monthly:
         columns = ["cast(date_trunc('month', game_date) as date) AS game_date"
                    if c == '"game_date"' else c for c in columns]
-    return f"SELECT {', '.join(columns)}, DATE '{RUN_DATE}' AS ingestion_date FROM ({source})"
+    return f"SELECT {', '.join(columns)}, DATE '{run_date}' AS ingestion_date FROM ({source})"
 
 
-def _clean(spec: TableSpec, source: str) -> str:
+def _clean(spec: TableSpec, source: str, run_date: str = RUN_DATE) -> str:
     columns = [n for n in spec.contract.names if n != "ingestion_date"]
-    return _stamped(spec, _deduped(_typed(spec, source), spec.keys, columns))
+    return _stamped(spec, _deduped(_typed(spec, source), spec.keys, columns), run_date=run_date)
 
 
 RAW_GAMES = _select(raw_game_columns(DUCKDB))
-RAW_PLAYERS = _select(raw_player_columns(DUCKDB))
+MONTHLY_GAMES = _select(raw_game_columns(DUCKDB, monthly=True))
 NAMED_PLAYERS = _select([*raw_player_columns(DUCKDB), PLAYER_NAME])
 PLAYER_ROWS = _select(PLAYER_TABLE)
 GAME_ROWS = _select(GAME_TABLE)
@@ -142,6 +145,9 @@ ORACLE: dict[str, str] = {
     "parquet_partitioned_roundtrip": _stamped(GAMES, _typed(GAMES, RAW_GAMES), monthly=True),
     "clustered_table_roundtrip": _stamped(PLAYERS, _typed(PLAYERS, NAMED_PLAYERS), monthly=True),
     "table_contract": _stamped(GAMES, _typed(GAMES, RAW_GAMES), monthly=True),
+    "expired_partitions": f"""
+        SELECT * FROM ({_stamped(GAMES, _typed(GAMES, RAW_GAMES), monthly=True)})
+        WHERE game_date IS NULL OR game_date >= DATE '{RUN_DATE}' - INTERVAL {EXPIRE_DAYS} DAY""",
     "append_batches": f"""
         {EVENT_DAYS.format('game_date')} UNION ALL {EVENT_DAYS.format('game_date')}""",
     "replace_batches": EVENT_DAYS.format("game_date"),
@@ -254,5 +260,8 @@ ORACLE: dict[str, str] = {
     "land_games": f"""
         SELECT * FROM ({RAW_GAMES}) WHERE SEASON_ID = '{SEASON}' AND LEAGUE_ID = '{LEAGUE}'""",
     "land_players": _landed_players(monthly=False),
+    "stream_games": " UNION ALL ".join(
+        _clean(GAMES, f"SELECT * FROM ({MONTHLY_GAMES}) WHERE MATCHUP LIKE '%{outcome}'", run_date)
+        for run_date, outcome in STREAM_RUNS.items()),
     "end_to_end": _top_scorers(_clean(PLAYERS, _landed_players(monthly=True))),
 }

@@ -16,6 +16,7 @@ from statloom.schemas import GAMES, PLAYERS, TableSpec
 from statloom.session import scratch_path
 from statloom.sources import jsonl, tables
 from statloom.sources.paths import Zones
+from statloom.streaming.landing import stream_table
 from statloom.workload import standins
 from statloom.workload.standins import table
 
@@ -24,8 +25,10 @@ SINCE = "1998-01-01"
 FIRST, LAST = "1997-10-01", "1998-04-13"
 SEASON = "21998"
 LEAGUE = "00"
+EXPIRE_DAYS = 9500
 EVENTS_AS_OF = "2024-01-30"
 RETAIN_AS_OF = "2024-02-14"
+STREAM_RUNS = {"2025-04-12": "O", "2025-04-13": "F"}
 ALL_TABLES = ("region nation customer supplier part orders lineitem events documents embeddings "
               "pages benchmark labels conversations").split()
 
@@ -92,6 +95,17 @@ def table_contract(spark, sf_dir):
     return spark.table(name).transform(columns.project, GAMES.contract)
 
 
+@query("expired_partitions")
+def expired_partitions(spark, sf_dir):
+    path = scratch_path(spark, "expiring")
+    name = "expiring_" + path[-32:]
+    tables.create_table(spark, name, GAMES, path)
+    df = standins.raw_games(spark, sf_dir).transform(_stamped, GAMES)
+    tables.append_to_table(df, name, GAMES)
+    tables.drop_expired(spark, name, "game_date", EXPIRE_DAYS, RUN_DATE)
+    return spark.table(name).transform(columns.project, GAMES.contract)
+
+
 @query("append_batches")
 def append_batches(spark, sf_dir):
     path = scratch_path(spark, "append")
@@ -423,6 +437,18 @@ def land_chosen_players(spark, sf_dir):
     return jsonl.read_json_lines(spark, path, PLAYERS.raw)
 
 
+@query("stream_games")
+def stream_games(spark, sf_dir):
+    """Two run dates landed as files and picked up by the stream."""
+    zones = Zones(scratch_path(spark, "stream"), "league")
+    raw = standins.raw_games(spark, sf_dir, monthly=True)
+    for run_date, outcome in STREAM_RUNS.items():
+        jsonl.write_json_lines(raw.filter(F.col("MATCHUP").endswith(outcome)),
+                               zones.raw(run_date, "games"))
+    stream_table(spark, GAMES, "games", zones, scratch_path(spark, "state")).awaitTermination()
+    return tables.read_table(spark, zones.warehouse(GAMES.name), GAMES.contract)
+
+
 @query("end_to_end")
 def end_to_end(spark, sf_dir):
     """Land, clean, store and report; dates are rolled to months to match the small tables."""

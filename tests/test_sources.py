@@ -132,6 +132,32 @@ def test_cluster_layout_splits_a_hot_date_along_the_cluster(spark, players):
     assert len(hot) >= 4 and max(r["ids"] for r in hot) < 50
 
 
+def test_files_of_a_hot_date_hold_separate_cluster_ranges(spark, players):
+    path = scratch_path(spark, "table")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "16")
+    try:
+        hot = players.filter("player_id <> 1").repartition(8)
+        tables.write_partitioned(tables.cluster_layout(hot, PLAYERS), path)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+    rows_of = (
+        tables.read_table(spark, path, PLAYERS.contract)
+        .filter("game_date = date'2024-10-01'")
+        .select("player_id", F.col("_metadata.file_path").alias("file"))
+    )
+    ranges = sorted(
+        (r["lo"], r["hi"]) for r in rows_of.groupBy("file").agg(
+            F.min("player_id").alias("lo"), F.max("player_id").alias("hi")).collect())
+    assert len(ranges) >= 4
+    assert all(left[1] <= right[0] for left, right in zip(ranges, ranges[1:]))
+    # Within a file the rows are in cluster order.
+    for row in rows_of.select("file").distinct().collect():
+        ids = [r["player_id"] for r in spark.read.parquet(row["file"]).collect()]
+        assert ids == sorted(ids)
+
+
 def test_catalog_table_is_created_once_and_appended_by_name(spark, players):
     name = "contract_players"
     for _ in range(2):
