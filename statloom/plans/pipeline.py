@@ -51,13 +51,18 @@ def report_views(games: DataFrame, players: DataFrame, since: date | str,
     }
 
 
+def warehouse_tables(spark: SparkSession, zones: Zones) -> dict[str, DataFrame]:
+    """The stored tables by name."""
+    return {spec.name: tables.read_table(spark, zones.warehouse(spec.name), spec.contract)
+            for spec, _ in FEEDS}
+
+
 def register_views(spark: SparkSession, zones: Zones, since: date | str,
                    as_of: date | str | None = None) -> dict[str, DataFrame]:
-    """Register the reporting queries over the warehouse as views, for ``spark.sql``."""
-    games, players = (
-        tables.read_table(spark, zones.warehouse(spec.name), spec.contract) for spec, _ in FEEDS)
-    views = report_views(games, players, since, as_of)
-    for name, df in views.items():
+    """Register the tables and the reporting queries over them, for ``spark.sql``."""
+    stored = warehouse_tables(spark, zones)
+    views = report_views(stored[GAMES.name], stored[PLAYERS.name], since, as_of)
+    for name, df in {**stored, **views}.items():
         df.createOrReplaceTempView(name)
     return views
 

@@ -7,6 +7,7 @@ import pytest
 from conftest import plan_of
 from pyspark.sql import functions as F
 
+import run
 from statloom.plans import pipeline
 from statloom.plans.clean import clean, rejects, typed
 from statloom.plans.land import land_games, land_players
@@ -180,10 +181,18 @@ def test_views_are_queryable_by_name(spark, zones):
                           "pipeline_health_check"}
     assert spark.sql("SELECT player_id, games_played FROM top_scorers").collect() == [
         (99, 1), (2544, 3)]
+    assert spark.sql("SELECT count(*) FROM game_stats").collect() == [(7,)]
+    assert spark.sql("SELECT count(*) FROM player_stats").collect() == [(5,)]
     assert spark.sql("SELECT * FROM pipeline_health_check").collect() == [(date(2025, 4, 13), 7)]
     assert spark.sql("SELECT game_count FROM win_loss_by_team").collect() == [(4,)]
 
 
+def test_command_line_stores_and_counts(spark, zones, capsys):
+    run.main([RUN_DATE, "--root", zones.root, "--dataset", "league"])
+    shown = capsys.readouterr().out
+    assert "|game_stats  |7        |" in shown and "|player_stats|5        |" in shown
+
+
 def test_stream_matches_batch_per_run_date(spark, zones):
     state = scratch_path(spark, "state")
     stream_table(spark, GAMES, "games", zones, state).awaitTermination(120)
