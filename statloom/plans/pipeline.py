@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
@@ -35,9 +36,13 @@ def store(spark: SparkSession, spec: TableSpec, feed: str, zones: Zones, run_dat
 
 def transform(spark: SparkSession, zones: Zones, run_date: date | str,
               mode: str = tables.APPEND) -> None:
-    """Clean and store both feeds of a run date."""
-    for spec, feed in FEEDS:
-        store(spark, spec, feed, zones, run_date, mode)
+    """Clean and store both feeds of a run date, side by side: neither needs the other."""
+    shared_folder(spark)
+    with ThreadPoolExecutor(len(FEEDS)) as pool:
+        jobs = [pool.submit(store, spark, spec, feed, zones, run_date, mode)
+                for spec, feed in FEEDS]
+    for job in jobs:
+        job.result()
 
 
 def report_views(games: DataFrame, players: DataFrame, since: date | str,
