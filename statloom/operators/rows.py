@@ -58,13 +58,14 @@ def dedupe(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """One row per key, nulls in a key being equal; the smallest row by the other columns stays.
 
     A minimum over a struct is aggregated before the shuffle, so each task sends one row per key
-    however many copies a key has, and the same row wins on every run.
+    however many copies a key has, and the same row wins on every run. The hash leads the grouping
+    because both sorts compare it first: game ids share their first characters, hashes do not.
     """
     rest = [c for c in df.columns if c not in keys]
     if not rest:
         return df.distinct()
     return (
-        df.groupBy(*keys)
+        df.groupBy(F.xxhash64(*keys).alias("_hash"), *keys)
         .agg(F.min(F.struct(*rest)).alias("_row"))
         .select(*keys, "_row.*").select(*df.columns)
     )

@@ -52,6 +52,13 @@ def test_dedupe_keeps_column_order_and_key_only_frames(spark):
     assert rows.dedupe(df.select("k2"), ["k2"]).count() == 1
 
 
+def test_dedupe_compares_keys_by_value(spark):
+    df = spark.createDataFrame(
+        [(0.0, 1), (-0.0, 2), (float("nan"), 1), (float("nan"), 2), (None, 1), (None, 2)],
+        "k double, v int")
+    assert rows.dedupe(df, ["k"]).count() == 3
+
+
 def test_dedupe_aggregates_before_the_shuffle(spark):
     plan = plan_of(rows.dedupe(spark.range(10).selectExpr("id % 2 as k", "id as v"), ["k"]))
     assert "partial_min" in plan and plan.count("Exchange") >= 1
