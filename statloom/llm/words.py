@@ -91,7 +91,8 @@ class Words:
         before[1:] = inside[:-1]
         filled = block.starts < block.ends
         before[block.starts[filled]] = False
-        self.data = data
+        self.data, self.inside = data, inside
+        self._total = None
         self.begin = np.flatnonzero(inside & ~before)
         after = np.empty_like(inside)
         after[-1:] = False
@@ -102,12 +103,17 @@ class Words:
         self.first = np.searchsorted(self.begin, np.append(block.starts, len(data)))
         self.counts = np.diff(self.first)
 
-    def hashes(self) -> np.ndarray:
+    def ranges(self, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """Hashes of the byte ranges: equal bytes, equal hash."""
         up, down = _Powers.of(len(self.data) + 1)
-        total = np.zeros(len(self.data) + 1, dtype=np.uint64)
-        np.cumsum(_BYTE[self.data] * up[:-1], out=total[1:])
-        sums = (total[self.end] - total[self.begin]) * down[self.begin]
-        return mix(sums + (self.end - self.begin).astype(np.uint64))
+        if self._total is None:
+            self._total = np.zeros(len(self.data) + 1, dtype=np.uint64)
+            np.cumsum(_BYTE[self.data] * up[:-1], out=self._total[1:])
+        sums = (self._total[end] - self._total[begin]) * down[begin]
+        return mix(sums + (end - begin).astype(np.uint64))
+
+    def hashes(self) -> np.ndarray:
+        return self.ranges(self.begin, self.end)
 
 
 def shingles(hashes: np.ndarray, first: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from statloom.llm import chat
+from statloom.llm import chat, minmax, ppm, quality
 from statloom.llm.tables import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -53,3 +53,114 @@ SELECT conv_id, count(*) AS n_turns,
   sum(upto) FILTER (role = 'assistant' OR k = n)::BIGINT AS formatted_chars
 FROM summed GROUP BY conv_id
 """
+
+
+@query
+def op4_minmax_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minmax.near_duplicates(read(spark, sf_dir, "documents"), size=3, percent=85)
+
+
+# Shingles are their words joined by a space, which no word holds. Pairs are found exactly: those
+# that share a shingle are counted by a join, without any hashing. Small tables only.
+ORACLE["op4_minmax_near_dedup"] = r"""
+WITH RECURSIVE worded AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+shingled AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3
+    THEN [array_to_string(w, ' ')]
+    ELSE list_transform(range(1, len(w) - 1), lambda i: array_to_string(w[i:i + 2], ' ')) END) AS s
+  FROM worded),
+sized AS (SELECT doc_id, count(*) AS n FROM shingled GROUP BY doc_id),
+classed AS (
+  SELECT doc_id, n, min(doc_id) OVER (PARTITION BY sig) AS rep
+  FROM (SELECT doc_id, count(*) AS n, md5(string_agg(s, chr(10) ORDER BY s)) AS sig
+        FROM shingled GROUP BY doc_id)),
+shared AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS common
+  FROM shingled a JOIN shingled b ON a.s = b.s AND a.doc_id < b.doc_id
+  WHERE a.doc_id IN (SELECT rep FROM classed) AND b.doc_id IN (SELECT rep FROM classed)
+  GROUP BY ALL),
+linked AS (
+  SELECT x, y FROM shared JOIN sized p ON x = p.doc_id JOIN sized q ON y = q.doc_id
+  WHERE 100 * common >= 85 * (p.n + q.n - common)),
+edges AS (SELECT x, y FROM linked UNION ALL SELECT y, x FROM linked),
+reached AS (
+  SELECT DISTINCT rep AS a, rep AS b FROM classed
+  UNION SELECT a, y FROM reached JOIN edges ON b = x),
+labelled AS (SELECT a, min(b) AS component FROM reached GROUP BY a)
+SELECT d.doc_id, coalesce(c.n, 0) AS n_shingles, coalesce(component, d.doc_id) AS component_id,
+  coalesce(component, d.doc_id) = d.doc_id AS kept
+FROM documents d LEFT JOIN classed c ON d.doc_id = c.doc_id LEFT JOIN labelled ON rep = a
+"""
+
+
+@query
+def op3_ppm_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ppm.identify(read(spark, sf_dir, "documents"))
+
+
+@query
+def op8_adaptive_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.judged(quality.measure(
+        read(spark, sf_dir, "documents"), ["doc_id", "lang", "source"])).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+        "base_failed", "kept")
+
+
+# Quartiles are values of the group (quantile_disc), as the sketch gives them while it holds all.
+ORACLE["op8_adaptive_quality"] = r"""
+WITH worded AS (
+  SELECT doc_id, lang, source, coalesce(text, '') AS text,
+    regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w,
+    list_filter(string_split(coalesce(text, ''), chr(10)),
+      lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS l
+  FROM documents),
+windows AS (
+  SELECT doc_id, w, range(1, greatest(len(w) - 1, 1)) AS places,
+    list_transform(range(1, greatest(len(w) - 1, 1)), lambda i: array_to_string(w[i:i + 2], ' ')) AS grams
+  FROM worded),
+again AS (
+  SELECT doc_id, count(DISTINCT p) AS n_repeat_words
+  FROM (SELECT doc_id, unnest([i, i + 1, i + 2]) AS p
+        FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, x) AS times
+              FROM (SELECT doc_id, unnest(places) AS i, unnest(grams) AS x FROM windows))
+        WHERE times > 1)
+  GROUP BY doc_id),
+counted AS (
+  SELECT doc_id, lang, source, len(w) AS n_words, length(array_to_string(w, '')) AS word_chars,
+    length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS n_symbols,
+    len(l) - len(list_distinct(l)) AS n_dup_lines, coalesce(n_repeat_words, 0) AS n_repeat_words,
+    len(l) AS n_lines, length(regexp_replace(text, '[^A-Z]', '', 'g')) AS n_capitals
+  FROM worded LEFT JOIN again USING (doc_id)),
+rated AS (
+  SELECT *, n_symbols / nullif(n_words, 0) AS symbol_rate,
+    n_dup_lines / nullif(n_lines, 0) AS dup_line_rate,
+    n_repeat_words / nullif(n_words, 0) AS repeat_rate,
+    n_capitals / nullif(word_chars, 0) AS capital_rate,
+    word_chars / nullif(n_words, 0) AS word_length FROM counted),
+grouped AS (SELECT lang, source, count(symbol_rate) AS n FROM rated GROUP BY ALL),
+languages AS (SELECT lang, sum(n) AS n FROM grouped GROUP BY ALL),
+levels AS (
+  SELECT g.lang, g.source, CASE WHEN g.n >= 200 THEN 0 WHEN l.n >= 200 THEN 1 ELSE 2 END AS up
+  FROM grouped g JOIN languages l ON g.lang IS NOT DISTINCT FROM l.lang),
+limits AS (
+  SELECT v.lang, v.source, {limits}
+  FROM levels v JOIN rated r ON (up = 2 OR v.lang IS NOT DISTINCT FROM r.lang)
+    AND (up > 0 OR v.source IS NOT DISTINCT FROM r.source)
+  GROUP BY v.lang, v.source),
+based AS (
+  SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM rated)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+  NOT base_failed AND {fine} AS kept
+FROM based b LEFT JOIN limits l
+  ON b.lang IS NOT DISTINCT FROM l.lang AND b.source IS NOT DISTINCT FROM l.source
+""".format(
+    limits=", ".join(
+        f"quantile_disc({r}, 0.75) + {quality.REACH} * greatest("
+        f"quantile_disc({r}, 0.75) - quantile_disc({r}, 0.25), {least}) AS {r}_max, "
+        f"quantile_disc({r}, 0.25) - {quality.REACH} * greatest("
+        f"quantile_disc({r}, 0.75) - quantile_disc({r}, 0.25), {least}) AS {r}_min"
+        for r, least in quality.RATES.items()),
+    fine=" AND ".join([f"coalesce({r} <= {r}_max, false)" for r in quality.RATES]
+                      + [f"coalesce({r} >= {r}_min, false)" for r in quality.TWO_SIDED]))
