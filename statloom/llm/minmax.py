@@ -178,7 +178,8 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
     classes = settled(
         sets.where("n_shingles > 0 AND doc_id IS NOT NULL").groupBy("d1", "d2", "n_shingles")
         .agg(F.min("doc_id").alias("rep"), F.first("bands").alias("bands")), "classes")
-    tiles = _families(classes).join(docs, F.col("id") == F.col("doc_id")).select(
+    # Tiles grow with the corpus, so they are never broadcast to the texts.
+    tiles = _families(classes).join(docs.hint("merge"), F.col("id") == F.col("doc_id")).select(
         "pivot", "lo", "hi", "part", "doc_id", "text")
     links = tiles.groupBy("pivot", "lo", "hi").applyInArrow(
         lambda t: confirm(t, size, percent), "u long, v long")
