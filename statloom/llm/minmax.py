@@ -9,8 +9,8 @@ a spanning forest of its links, and components are joined over all families.
 Texts with equal sets are one class, found by a 128-bit digest, before any of this: a hot group of
 copies is one document to what follows. A family that is too large for a task is cut into parts
 and dealt as tiles of two parts; every pair of the family meets in some tile, so no link is lost,
-and no cap drops anything. With 64 permutations and bands of 5 values a pair at 85 % similarity
-is missed with a probability of about 4e-7, and less above.
+and no cap drops anything. Bands are as long as a miss probability of MISSED for a pair at the
+threshold allows: 5 of 128 values at 85 %, 4 at 80 %.
 
 Defined results: a null or wordless text has no shingles, stands alone and is kept; a document
 with a null id is not linked, has a null component and is kept; rows that repeat an id are
@@ -30,7 +30,9 @@ from statloom.llm.components import components
 from statloom.llm.tables import settled
 from statloom.llm.words import Words, blocks, mix, shingles
 
-PERMUTATIONS, BAND_ROWS = 64, 5
+PERMUTATIONS = 64
+#: A pair at the threshold may be missed with this probability at most.
+MISSED = 1e-6
 #: A part of a family holds at most about so many documents and shingles.
 PART_DOCUMENTS, PART_SHINGLES = 2048, 1 << 20
 
@@ -70,8 +72,15 @@ def band_keys(signature: np.ndarray, rows: int) -> np.ndarray:
     return mix(keys + np.arange(bands, dtype=np.uint64)[:, None] * np.uint64(0x9E3779B97F4A7C15))
 
 
-def describe(docs: DataFrame, size: int, permutations: int = PERMUTATIONS,
-             rows: int = BAND_ROWS) -> DataFrame:
+def band_rows(percent: int, permutations: int = PERMUTATIONS) -> int:
+    """Values per band: as many as the miss probability allows."""
+    alike = percent / 100
+    return max([1, *(r for r in range(1, 17)
+                     if (1 - alike ** r) ** (2 * permutations // r) <= MISSED)])
+
+
+def describe(docs: DataFrame, size: int, rows: int,
+             permutations: int = PERMUTATIONS) -> DataFrame:
     """doc_id, n_shingles, a digest of the set (d1, d2) and its band keys."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -174,7 +183,7 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
     common; component_id is the smallest doc_id that links reach.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    sets = settled(describe(docs, size), "sets")
+    sets = settled(describe(docs, size, band_rows(percent)), "sets")
     classes = settled(
         sets.where("n_shingles > 0 AND doc_id IS NOT NULL").groupBy("d1", "d2", "n_shingles")
         .agg(F.min("doc_id").alias("rep"), F.first("bands").alias("bands")), "classes")

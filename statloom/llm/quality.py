@@ -20,6 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from statloom.llm.tables import settled
 from statloom.llm.words import Words, blocks, mix
 
 #: Items a sketch level holds: the rank error is about 1 / SKETCH_ITEMS, and below so many texts none.
@@ -103,21 +104,22 @@ def measure_block(block) -> dict[str, np.ndarray]:
 
 def measure(docs: DataFrame, passed: list[str], text: str = "text") -> DataFrame:
     """The columns `passed` of each row, and the counts of its text."""
-    picked = docs.select(*passed, F.col(text).alias("__text"))
-    schema = picked.drop("__text")
+    sent = passed if text in passed else [*passed, text]
+    place = sent.index(text)
+    schema = docs.select(*passed)
     for name in COUNTS:
         schema = schema.withColumn(name, F.lit(0).cast("long"))
     names = schema.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for block in blocks(batch.column(len(passed))):
+            for block in blocks(batch.column(place)):
                 counts = measure_block(block)
                 yield pa.RecordBatch.from_arrays(
-                    [c.slice(block.first, len(block)) for c in batch.columns[:-1]]
+                    [c.slice(block.first, len(block)) for c in batch.columns[:len(passed)]]
                     + [pa.array(counts[c], pa.int64()) for c in COUNTS], names=names)
 
-    return picked.mapInArrow(run, schema.schema)
+    return docs.select(*sent).mapInArrow(run, schema.schema)
 
 
 def rates(measured: DataFrame) -> DataFrame:
@@ -154,7 +156,7 @@ def cutoffs(rated: DataFrame, min_group: int = MIN_GROUP, reach: float = REACH)
     groups_filled = filled(groups.join(
         by_language, F.col("lang").eqNullSafe(F.col("lang_up")), "left"))
     corpus = groups.agg(F.struct(*merged()).alias("up")).scalar()
-    settled = filled(groups_filled.withColumn("up", corpus), "up.{}_up")
+    everywhere = filled(groups_filled.withColumn("up", corpus), "up.{}_up")
     out = {}
     for rate, least in RATES.items():
         quartile = lambda q, r=rate: F.when(
@@ -164,7 +166,7 @@ def cutoffs(rated: DataFrame, min_group: int = MIN_GROUP, reach: float = REACH)
         out[f"{rate}_max"] = high + reach * spread
         if rate in TWO_SIDED:
             out[f"{rate}_min"] = low - reach * spread
-    return settled.select("lang", "source", *(c.alias(n) for n, c in out.items()))
+    return everywhere.select("lang", "source", *(c.alias(n) for n, c in out.items()))
 
 
 def base_failed() -> Column:
@@ -172,12 +174,17 @@ def base_failed() -> Column:
             | (100 * F.col("n_repeat_words") > 50 * F.col("n_words")))
 
 
-def judged(measured: DataFrame, min_group: int = MIN_GROUP, reach: float = REACH) -> DataFrame:
-    """The measured rows with base_failed and kept. Needs lang and source among their columns."""
-    rated = rates(measured)
-    limits = cutoffs(rated, min_group, reach).select(
-        F.col("lang").alias("__lang"), F.col("source").alias("__source"), F.col("*"))
-    limits = limits.drop("lang", "source")
+#: Cutoffs of so many groups at most are broadcast; more are joined by a shuffle.
+BROADCAST_GROUPS = 100_000
+
+
+def judged(measured: DataFrame, limits: DataFrame) -> DataFrame:
+    """The measured rows with their rates, base_failed and kept.
+
+    `limits` are the cutoffs, which are counted before they are broadcast.
+    """
+    limits = settled(limits.withColumnsRenamed({"lang": "__lang", "source": "__source"}), "limits")
+    few = limits.count() <= BROADCAST_GROUPS
     fine = F.lit(True)
     for rate in RATES:
         fine = fine & (F.col(rate) <= F.col(f"{rate}_max"))
@@ -186,9 +193,15 @@ def judged(measured: DataFrame, min_group: int = MIN_GROUP, reach: float = REACH
     same = (F.col("lang").eqNullSafe(F.col("__lang"))
             & F.col("source").eqNullSafe(F.col("__source")))
     return (
-        rated.join(limits, same, "left")
+        rates(measured).join(F.broadcast(limits) if few else limits, same, "left")
         .withColumn("base_failed", base_failed())
         .withColumn("kept", F.when(F.col("base_failed"), False)
                     .otherwise(F.coalesce(fine, F.lit(False))))
         .select(*measured.columns, *RATES, "base_failed", "kept")
     )
+
+
+def assess(docs: DataFrame) -> DataFrame:
+    """doc_id, the counts, base_failed and kept for each row of doc_id, text, lang and source."""
+    measured = settled(measure(docs, ["doc_id", "lang", "source"]), "measured")
+    return judged(measured, cutoffs(rates(measured)))

@@ -2,16 +2,37 @@
 
 from __future__ import annotations
 
+import os
+import shutil
+import tempfile
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from statloom.session import scratch_path, shared_folder
+import statloom
+from statloom.session import scratch_path
 
 #: A word in SQL regular expressions.
 WORD = r"[^\x20\x09-\x0D]+"
 
+_SHIPPED: set[str] = set()
+
+
+def shipped(spark: SparkSession) -> None:
+    """Send this package to the executors once, unless their Python path has it already."""
+    context = spark.sparkContext
+    root = Path(statloom.__file__).resolve().parent.parent
+    known = [p for p in os.environ.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if str(root) in known or context.applicationId in _SHIPPED:
+        return
+    _SHIPPED.add(context.applicationId)
+    folder = tempfile.mkdtemp(prefix="statloom-code-")
+    context.addPyFile(shutil.make_archive(f"{folder}/statloom", "zip", root, "statloom"))
+
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    shipped(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -23,12 +44,7 @@ def held_out(doc_id: Column) -> Column:
 def settled(df: DataFrame, label: str = "step") -> DataFrame:
     """The frame written as Parquet to the shared folder and read back: lineage ends there."""
     spark = df.sparkSession
+    shipped(spark)
     path = scratch_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
-
-
-def kept(df: DataFrame) -> DataFrame:
-    """The frame checkpointed in the shared folder, partition by partition."""
-    shared_folder(df.sparkSession)
-    return df.checkpoint(eager=True)

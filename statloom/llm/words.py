@@ -83,9 +83,9 @@ class _Powers:
 class Words:
     """The words of a block: byte ranges, the text each belongs to, and 64-bit hashes."""
 
-    def __init__(self, block: Block, lower: bool = False):
+    def __init__(self, block: Block, lower: bool = False, inside: np.ndarray = IS_WORD):
         data = LOWER[block.data] if lower else block.data
-        inside = IS_WORD[data]
+        inside = inside[data]
         before = np.empty_like(inside)
         before[:1] = False
         before[1:] = inside[:-1]

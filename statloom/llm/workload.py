@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from statloom.llm import chat, minmax, ppm, quality
+from statloom.llm import chat, merkle, minmax, mixing, packing, ppm, quality, sanitise, toxicity
 from statloom.llm.tables import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -102,8 +102,7 @@ def op3_ppm_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op8_adaptive_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.judged(quality.measure(
-        read(spark, sf_dir, "documents"), ["doc_id", "lang", "source"])).select(
+    return quality.assess(read(spark, sf_dir, "documents")).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
         "base_failed", "kept")
 
@@ -164,3 +163,61 @@ FROM based b LEFT JOIN limits l
         for r, least in quality.RATES.items()),
     fine=" AND ".join([f"coalesce({r} <= {r}_max, false)" for r in quality.RATES]
                       + [f"coalesce({r} >= {r}_min, false)" for r in quality.TWO_SIDED]))
+
+
+@query
+def op10_systematic_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(read(spark, sf_dir, "documents"))
+
+
+ORACLE["op10_systematic_mix"] = r"""
+WITH sized AS (
+  SELECT doc_id, source, coalesce('+' || source, '-') AS name,
+    len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size,
+    md5(coalesce(doc_id::VARCHAR, '')) AS key FROM documents),
+sources AS (
+  SELECT name, sum(size)::BIGINT AS source_size,
+    [5.0, 2.0, 1.0]::DOUBLE[][((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1)::INT] AS weight
+  FROM sized GROUP BY name, source),
+ratios AS (SELECT *, source_size::DOUBLE * 2 AS most, source_size::DOUBLE * 2 / weight AS ratio,
+  sum(source_size) OVER ()::DOUBLE * 1.5::DOUBLE AS total FROM sources),
+levels AS (
+  SELECT *, (total - coalesce(sum(most) OVER (ORDER BY ratio, name
+      ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+    / sum(weight) OVER (ORDER BY ratio, name ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)
+    AS level FROM ratios),
+planned AS (
+  SELECT name, source_size, CASE WHEN level < ratio
+    THEN max(level) FILTER (level < ratio) OVER () * weight ELSE most END AS target,
+    ('0x' || md5('10:' || name)[1:12])::BIGINT::DOUBLE / 281474976710656.0::DOUBLE AS off
+  FROM levels),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY name ORDER BY size, key, doc_id) AS rank FROM sized),
+stepped AS (
+  SELECT r.*, p.source_size, target, off,
+    CASE WHEN p.source_size > 0 THEN target / p.source_size ELSE 0 END AS step
+  FROM ranked r JOIN planned p USING (name))
+SELECT doc_id, size, source_size, target,
+  ((floor(off + step * rank) - floor(off + step * (rank - 1))) * size)::BIGINT AS taken
+FROM stepped
+"""
+
+
+@query
+def op5_factorization_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
+@query
+def op6_information_sanitise(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sanitise.report(read(spark, sf_dir, "documents"))
+
+
+@query
+def op7_merkle_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.compare_neighbours(read(spark, sf_dir, "documents"))
+
+
+@query
+def op9_order_preserving_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(read(spark, sf_dir, "documents"))

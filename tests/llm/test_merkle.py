@@ -1,0 +1,85 @@
+"""Trees and neighbours against plain Python."""
+
+from __future__ import annotations
+
+import hashlib
+import random
+
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from statloom.llm import merkle
+
+TEXTS = st.lists(st.sampled_from(["a b. ", "word ", "\n", "\n\n", "x" * 200, " ", "é", "end.", "\t"]),
+                 max_size=30).map("".join)
+
+
+@settings(max_examples=300, deadline=None)
+@given(TEXTS, TEXTS)
+def test_roots_tell_texts_apart(a, b):
+    x, y = merkle.fingerprint(a), merkle.fingerprint(b)
+    assert (x == y) == (a == b)
+    assert merkle.likeness(x, x) == 1.0
+    assert merkle.likeness(x, y) == merkle.likeness(y, x)
+    assert 0 <= merkle.likeness(x, y) <= 1
+
+
+def paragraphs(rng, n):
+    return [" ".join(f"w{rng.randint(0, 9999)}" for _ in range(rng.randint(5, 80))) + "."
+            for _ in range(n)]
+
+
+def test_an_edit_is_located():
+    lines = paragraphs(random.Random(7), 200)
+    a = merkle.fingerprint("\n".join(lines))
+    lines[100:101] = ["Something new.", "And more."]
+    b = merkle.fingerprint("\n".join(lines))
+    assert merkle.likeness(a, b) > 0.97
+    assert 1 <= len(merkle.differing(a, b)) <= 2
+
+
+def test_one_long_paragraph():
+    text = " ".join(paragraphs(random.Random(8), 100))
+    cut = text[:len(text) * 2 // 3] + "z" * (len(text) // 3)
+    assert merkle.likeness(merkle.fingerprint(text), merkle.fingerprint(cut)) > 0.5
+
+
+def expected(rows):
+    order = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0), reverse=True)
+    out = {}
+    for i, (doc_id, text) in enumerate(order):
+        text, after = text or "", order[(i + 1) % len(order)][1] or ""
+        n = len(text) // 3
+        other = text[:len(text) - n] + after[:n]
+        own = merkle.fingerprint(text)
+        out[doc_id] = (len(text), hashlib.sha256(other.encode()).hexdigest(), own,
+                       merkle.fingerprint(other),
+                       merkle.likeness(own, merkle.fingerprint(other)),
+                       merkle.likeness(own, merkle.fingerprint(after)))
+    return out
+
+
+def found(df):
+    return {r.doc_id: tuple(r)[1:] for r in merkle.compare_neighbours(df).collect()}
+
+
+def test_sample_table(sample):
+    df, rows = sample
+    assert found(df) == expected([(r.doc_id, r.text) for r in rows])
+
+
+def test_far_apart_ids(documents):
+    rng = random.Random(9)
+    rows = [(i, f"text {i} " * rng.randint(0, 40))
+            for i in {rng.choice([rng.randint(-50, 50), rng.randint(0, 1 << 60)])
+                      for _ in range(150)}]
+    assert found(documents(rows)) == expected(rows)
+
+
+def test_odd_rows(documents):
+    for rows in ([(1, "only")], [(1, None)], [(None, "abc"), (3, ""), (2, "defghi"), (9, None)],
+                 [(5, "long line " * 50_000), (6, "x" * 300_000)]):
+        assert found(documents(rows, extra=("bucket", "trails", "order", "tie"))) == expected(rows)
+    same = documents([(1, "abc def"), (1, "abc def"), (1, "ghi jkl"), (None, "z"), (None, "z")])
+    assert merkle.compare_neighbours(same).count() == 5
+    assert merkle.compare_neighbours(documents([])).count() == 0

@@ -1,0 +1,112 @@
+"""Counts and verdicts against plain Python."""
+
+from __future__ import annotations
+
+import re
+from collections import Counter
+
+import pytest
+
+from statloom.llm import quality
+from statloom.llm.quality import COUNTS, MIN_GROUP, RATES, REACH, TWO_SIDED
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def counts(text):
+    text = text or ""
+    words = WORD.findall(text)
+    windows = [tuple(words[i:i + 3]) for i in range(len(words) - 2)]
+    times = Counter(windows)
+    covered = {i + k for i, w in enumerate(windows) if times[w] > 1 for k in range(3)}
+    lines = [x for x in text.split("\n") if WORD.search(x)]
+    return {"n_words": len(words), "word_chars": sum(map(len, words)),
+            "n_symbols": sum(c in "#*$%&|<>" for c in text),
+            "n_dup_lines": len(lines) - len(set(lines)), "n_repeat_words": len(covered),
+            "n_lines": len(lines), "n_capitals": sum("A" <= c <= "Z" for c in text)}
+
+
+def rates(c):
+    if not c["n_words"]:
+        return None
+    return {"symbol_rate": c["n_symbols"] / c["n_words"],
+            "dup_line_rate": c["n_dup_lines"] / c["n_lines"],
+            "repeat_rate": c["n_repeat_words"] / c["n_words"],
+            "capital_rate": c["n_capitals"] / c["word_chars"],
+            "word_length": c["word_chars"] / c["n_words"]}
+
+
+def kept(rows):
+    """rows: (lang, source, text); a verdict each."""
+    measured = [(lang, source, counts(t)) for lang, source, t in rows]
+    rated = [(lang, source, rates(c)) for lang, source, c in measured]
+
+    def limits(lang, source):
+        for own in (lambda a, b: (a, b) == (lang, source), lambda a, b: a == lang,
+                    lambda a, b: True):
+            values = [r for a, b, r in rated if r and own(a, b)]
+            if len(values) >= MIN_GROUP:
+                break
+        out = {}
+        for rate, least in RATES.items():
+            column = sorted(v[rate] for v in values)
+            disc = lambda q, c=column: c[max(0, -(-int(q * 100) * len(c) // 100) - 1)]
+            low, high = disc(0.25), disc(0.75)
+            reach = REACH * max(high - low, least)
+            out[rate] = (low - reach if rate in TWO_SIDED else float("-inf"), high + reach)
+        return out
+
+    known = {}
+    out = []
+    for (lang, source, c), (_, _, r) in zip(measured, rated):
+        failed = c["n_words"] < 50 or 100 * c["n_repeat_words"] > 50 * c["n_words"]
+        if not failed:
+            own = known.setdefault((lang, source), limits(lang, source))
+            failed = not all(own[k][0] <= r[k] <= own[k][1] for k in RATES)
+        out.append(not failed)
+    return out
+
+
+def test_verdicts_of_the_sample_table(spark):
+    df = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    rows = df.collect()
+    want = {r.doc_id: k for r, k in zip(rows, kept([(r.lang, r.source, r.text) for r in rows]))}
+    got = {r.doc_id: r.kept for r in quality.assess(df).collect()}
+    assert got == want
+
+
+def test_labels_agree(spark):
+    """Texts labelled good stay, unless the base rule fails them; those labelled bad go."""
+    path = "/root/testdata/sf0.01"
+    rows = quality.assess(spark.read.parquet(f"{path}/documents.parquet")).join(
+        spark.read.parquet(f"{path}/labels.parquet"), "doc_id").collect()
+    assert all(r.kept or r.base_failed for r in rows if r.quality == 1)
+    assert not any(r.kept for r in rows if r.quality == 0)
+
+
+ODD = ["", " ", "\n\n", "a", "a\x1fb\xa0c", "a b c a b c", "a b c\na b c\n\na b c\r\n a b c",
+       "x\n" * 10, "É# | é*", "w " * 5000, "same line\nother\nsame line", "a b\tc\x0bd\x0ce",
+       "퟿\U0001f600 \U0001f600 \U0001f600 \U0001f600", "1 2 3 1 2 3 4 1 2 3"]
+
+
+@pytest.mark.parametrize("limit", [1, 64, 1 << 20])
+def test_counts(limit):
+    import pyarrow as pa
+
+    from statloom.llm.words import blocks
+    column = pa.array([*ODD, None, *ODD])
+    got = [dict(zip(COUNTS, map(int, row))) for b in blocks(column, limit)
+           for row in zip(*(quality.measure_block(b)[c] for c in COUNTS))]
+    assert got == [counts(t) for t in [*ODD, None, *ODD]]
+    sliced = [dict(zip(COUNTS, map(int, row))) for b in blocks(column[3:9], limit)
+              for row in zip(*(quality.measure_block(b)[c] for c in COUNTS))]
+    assert sliced == [counts(t) for t in ODD[3:9]]
+
+
+def test_odd_rows(documents):
+    rows = [(i, t, None, None) for i, t in enumerate([*ODD, None, "a b " * 60])]
+    rows += [(None, " ".join(f"w{i}" for i in range(80)), "en", "s")] * 2
+    got = quality.assess(documents(rows, extra=("n_words", "up", "n"))).collect()
+    assert len(got) == len(rows)
+    assert all(not r.kept for r in got if r.doc_id is not None)
+    assert quality.assess(documents([])).count() == 0
