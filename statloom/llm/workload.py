@@ -177,7 +177,8 @@ WITH sized AS (
     md5(coalesce(doc_id::VARCHAR, '')) AS key FROM documents),
 sources AS (
   SELECT name, sum(size)::BIGINT AS source_size,
-    [5.0, 2.0, 1.0]::DOUBLE[][((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1)::INT] AS weight
+    list_extract([5.0::DOUBLE, 2.0::DOUBLE, 1.0::DOUBLE],
+      (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1) AS weight
   FROM sized GROUP BY name, source),
 ratios AS (SELECT *, source_size::DOUBLE * 2 AS most, source_size::DOUBLE * 2 / weight AS ratio,
   sum(source_size) OVER ()::DOUBLE * 1.5::DOUBLE AS total FROM sources),

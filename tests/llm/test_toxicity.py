@@ -25,7 +25,7 @@ def test_margin_is_the_sum_over_pairs():
             for b in range(a):
                 want += own[a, 1:] @ own[b, 1:]
         assert got[i] == pytest.approx(want, rel=1e-4)
-    assert begins[1] == 4 and begins[2] == begins[1] == begins[3]
+    assert begins[1] == 5 and begins[2] == begins[1] == begins[3]
 
 
 def test_pairs_are_learned():
