@@ -19,7 +19,7 @@ columns are not read; an empty table gives no pieces.
 
 from __future__ import annotations
 
-import re
+import unicodedata
 import zlib
 from bisect import bisect_right
 from collections import deque
@@ -33,6 +33,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+from statloom.llm.words import Block, blocks, byte_ranges
+
 SEQUENCE = 2048
 END_TOKEN = 1
 #: Lengths that need no padding besides SEQUENCE: powers of two.
@@ -42,64 +44,203 @@ SENTENCE_CUT, HARD_CUT, WINDOW = 4, 24, 32
 #: Where no sentence ends for long, a cut is possible every so many tokens.
 HARD_EVERY = 32
 BLOCK_TOKENS = 1 << 20
-#: Entries of the table from words to tokens, which is emptied when full.
-CACHED_WORDS = 300_000
+#: Entries of the table from pieces to tokens, which is emptied when full; texts at a time.
+KNOWN_PIECES = 1_500_000
+PIECE_BYTES = 1 << 20
 
 _PIECE = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long, "
           "sequence_id long, offset long")
-_BESIDE_SPACE = re.compile(r"\s | \s")
-_SINGLE_SPACE = re.compile(r"(?<=\S) (?=\S)")
+
+
+def _kinds() -> np.ndarray:
+    """0 letter, 1 number, 2 other, 3 white space, for the code points of up to two bytes."""
+    out = np.full(0x250, 2, dtype=np.uint8)
+    for code in range(0x250):
+        out[code] = {"L": 0, "N": 1}.get(unicodedata.category(chr(code))[0], 2)
+    out[[0x20, *range(0x09, 0x0E), 0x85, 0xA0]] = 3
+    return out
+
+
+_KIND = _kinds()
+#: Bytes that begin a code point from 0x250 on, or a second kind of white space, are left to the
+#: tokenizer.
+_LATIN_END = 0xC9
+_SUFFIXES = (b"s", b"t", b"re", b"ve", b"m", b"ll", b"d")
+
+
+def pieces(block: Block) -> tuple[np.ndarray, np.ndarray]:
+    """Where the pieces of all texts begin, and which texts are beyond the rule.
+
+    Fixed rule of the vocabulary: 's 't 're 've 'm 'll 'd; letters, numbers or other signs with one
+    space before; white space up to the last character before a sign; white space.
+    """
+    data, n = block.data, len(block.data)
+    filled = block.starts < block.ends
+    odd = np.zeros(len(block), dtype=bool)
+    kind = _KIND[data]  # right for ASCII
+    lead = np.flatnonzero(data >= 0xC0)
+    high = data[lead] >= _LATIN_END
+    if len(lead):
+        code = ((data[lead] & 0x1F).astype(np.int32) << 6) | (
+            data[np.minimum(lead + 1, n - 1)] & 0x3F)
+        high |= (code == 0x85) | (code == 0xA0) | (code >= 0x250)
+        odd[np.searchsorted(block.ends, lead[high], side="right")] = True
+        lead, code = lead[~high], code[~high]
+        kind[lead] = kind[lead + 1] = _KIND[code]
+    space = kind == 3
+    first = np.zeros(n, dtype=bool)
+    first[block.starts[filled]] = True
+    begins = first.copy()
+    begins[1:] |= kind[1:] != kind[:-1]
+    inner = ~first[1:]
+    # A sign takes the space before it; the last white space before a sign is cut off its run.
+    begins[1:] &= ~(inner & ~space[1:] & (data[:-1] == 0x20))
+    begins[:-1] |= inner & space[:-1] & ~space[1:]
+    for at in np.flatnonzero(data == 0x27).tolist():
+        alone = begins[at] and at + 1 < n and not first[at + 1] and kind[at + 1] == 0
+        if alone:
+            tail = data[at + 1:at + 3].tobytes()
+            for suffix in _SUFFIXES:
+                stop = at + 1 + len(suffix)
+                if tail.startswith(suffix) and not first[at + 1:stop].any():
+                    begins[at + 1] = False
+                    if stop < n:
+                        begins[stop] = True
+                    break
+    return np.flatnonzero(begins), odd
 
 
 class Encoder:
-    """Token ids of texts as little-endian bytes; the tokenizer sees each distinct word once.
+    """Token ids of texts as little-endian bytes; the tokenizer sees each distinct piece once.
 
-    A space between two characters that aren't white space always begins a token run of its own
-    under byte-level pre-tokenization, so the parts of a text cut before such spaces can be encoded
-    one by one. Special tokens are not part of this rule: a text with one is encoded as a whole.
+    Byte-level tokenizers cut a text into pieces (words with the space before them, numbers, runs of
+    other signs, white space) and encode each piece by itself. Pieces are found here for many texts
+    at once, with the cut rule of the vocabulary, and looked up by a 64-bit hash in a bounded table; new
+    ones go to the tokenizer. Texts beyond the Latin letters, or with a special token, go to it whole.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, known_pieces: int = KNOWN_PIECES):
         self.tokenizer = Tokenizer.from_file(path)
-        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.known: dict[str, bytes] = {}
+        self.special = [t.content.encode()
+                        for t in self.tokenizer.get_added_tokens_decoder().values()]
         ends = np.zeros(self.tokenizer.get_vocab_size() + 1, dtype=bool)
         for token, i in self.tokenizer.get_vocab().items():
             ends[i] = token[-1] in ".!?" or token.endswith("Ċ")  # Ċ stands for a newline
         self.ends_sentence = ends
-
-    def _encode(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, dtype="<u4").tobytes()
-                for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-
-    @staticmethod
-    def _words(text: str) -> list[str]:
-        plain = text.isascii() and not ("  " in text or "\n " in text or " \n" in text
-                                        or any(c in text for c in "\t\r\v\f\x1c\x1d\x1e\x1f"))
-        if plain or not _BESIDE_SPACE.search(text):
-            return text.split(" ")
-        return _SINGLE_SPACE.split(text)
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        parts: list[list[str] | None] = []
-        missing: dict[str, None] = {}
-        if len(self.known) > CACHED_WORDS:
-            self.known.clear()
-        known = self.known
-        for text in texts:
-            if any(s in text for s in self.special):
-                parts.append(None)
-                continue
-            words = self._words(text)
-            # All but the first have the space they were cut at.
-            tail = words[1:]
-            words = [words[0], *[" " + w for w in tail]]
-            parts.append(words)
-            missing.update((w, None) for w in words if w not in known)
-        fresh = list(missing)
-        known.update(zip(fresh, self._encode(fresh)))
-        return [self._encode([t])[0] if p is None else b"".join([known[w] for w in p])
-                for t, p in zip(texts, parts)]
+        self.limit = known_pieces
+        self._forget()
+
+    def _forget(self, at_least: int = 0) -> None:
+        # An open-addressing table that is at most half full; a single text may ask for more.
+        size = 1 << (2 * max(self.limit, at_least) - 1).bit_length()
+        self.keys = np.zeros(size, dtype=np.uint64)
+        self.place = np.zeros(size, dtype=np.int32)
+        self.count = 0
+        self.begin = np.zeros(1 << 16, dtype=np.int64)  # of each piece in ids, and the end
+        self.ids = np.zeros(1 << 18, dtype="<u4")
+
+    def _slots(self, hashes: np.ndarray) -> np.ndarray:
+        """For each hash its slot, or the free one where it belongs."""
+        mask = np.uint64(len(self.keys) - 1)
+        slot = (hashes & mask).astype(np.int64)
+        open_ = np.flatnonzero((self.keys[slot] != hashes) & (self.keys[slot] != 0))
+        while len(open_):
+            slot[open_] = (slot[open_] + 1) & int(mask)
+            there = self.keys[slot[open_]]
+            open_ = open_[(there != hashes[open_]) & (there != 0)]
+        return slot
+
+    def _learn(self, block: Block, hashes: np.ndarray, begin: np.ndarray, end: np.ndarray) -> None:
+        """Put the pieces of these hashes into the table."""
+        fresh, at = np.unique(hashes, return_index=True)
+        raw = block.data.tobytes()
+        texts = [raw[a:b].decode() for a, b in zip(begin[at].tolist(), end[at].tolist())]
+        ids, sizes = self._encode_pieces(texts)
+        self._append(ids, sizes)
+        left = np.arange(len(fresh))
+        while len(left):  # pieces that want one slot get theirs in turn
+            slot, first = np.unique(self._slots(fresh[left]), return_index=True)
+            self.keys[slot], self.place[slot] = fresh[left[first]], self.count + left[first]
+            left = np.delete(left, first)
+        self.count += len(fresh)
+
+    def _append(self, ids: np.ndarray, sizes: np.ndarray) -> None:
+        used = self.begin[self.count]
+        while len(self.begin) <= self.count + len(sizes):
+            self.begin = np.concatenate([self.begin, np.zeros_like(self.begin)])
+        while len(self.ids) < used + len(ids):
+            self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
+        self.begin[self.count + 1:self.count + 1 + len(sizes)] = used + np.cumsum(sizes)
+        self.ids[used:used + len(ids)] = ids
+
+    def _encode_pieces(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of the pieces, and how many each has.
+
+        Pieces that begin with a space before a sign are encoded as one text, in which the tokenizer
+        finds the same pieces again; it numbers them.
+        """
+        joined = [t[0] == " " and len(t) > 1 and not t[1].isspace() for t in texts]
+        parts: list[np.ndarray] = [np.zeros(0, "<u4")] * len(texts)
+        many = [i for i, j in enumerate(joined) if j]
+        if many:
+            found = self.tokenizer.encode("".join([texts[i] for i in many]),
+                                          add_special_tokens=False)
+            counts = np.bincount(np.array(found.word_ids, dtype=np.int64), minlength=len(many))
+            if len(counts) != len(many):
+                raise ValueError("the vocabulary cuts texts by another rule")
+            ids = np.array(found.ids, dtype="<u4")
+            cut = np.concatenate([[0], np.cumsum(counts)]).tolist()
+            for i, a, b in zip(many, cut[:-1], cut[1:]):
+                parts[i] = ids[a:b]
+        single = [i for i, j in enumerate(joined) if not j]
+        for i, e in zip(single, self.tokenizer.encode_batch_fast(
+                [texts[i] for i in single], add_special_tokens=False)):
+            parts[i] = np.array(e.ids, dtype="<u4")
+        sizes = np.fromiter(map(len, parts), dtype=np.int64, count=len(parts))
+        return np.concatenate(parts) if parts else np.zeros(0, "<u4"), sizes
+
+    def encode(self, column: pa.Array) -> Iterator[bytes]:
+        """The ids of each text, in order."""
+        for block in blocks(column, PIECE_BYTES):
+            yield from self._encode_block(block)
+
+    def _encode_block(self, block: Block) -> list[bytes]:
+        begin, odd = pieces(block)
+        for special in self.special:
+            raw = block.data.tobytes()
+            at = raw.find(special)
+            while at >= 0:
+                odd[np.searchsorted(block.ends, at, side="right")] = True
+                at = raw.find(special, at + 1)
+        owner = np.searchsorted(block.ends, begin, side="right")
+        end = np.append(begin[1:], len(block.data))
+        if odd.any():
+            usual = ~odd[owner]
+            begin, end, owner = begin[usual], end[usual], owner[usual]
+        hashes = byte_ranges(block.data, begin, end) | np.uint64(1)  # 0 marks a free slot
+        slot = self._slots(hashes)
+        new = self.keys[slot] == 0
+        if new.any():
+            if self.count + np.count_nonzero(new) > self.limit:
+                self._forget(len(hashes))
+                new[:] = True
+            self._learn(block, hashes[new], begin[new], end[new])
+            slot = self._slots(hashes)
+        number = self.place[slot]
+        first, sizes = self.begin[number], self.begin[number + 1] - self.begin[number]
+        upto = np.cumsum(sizes)
+        ids = self.ids[np.arange(sizes.sum()) + np.repeat(first - (upto - sizes), sizes)]
+        cut = np.searchsorted(owner, np.arange(len(block) + 1))
+        cut = np.concatenate([[0], upto])[cut].tolist()
+        raw = ids.tobytes()
+        out = [raw[4 * a:4 * b] for a, b in zip(cut[:-1], cut[1:])]
+        whole = np.flatnonzero(odd)
+        if len(whole):
+            texts = [block.data[block.starts[i]:block.ends[i]].tobytes().decode() for i in whole]
+            for i, e in zip(whole, self.tokenizer.encode_batch_fast(
+                    texts, add_special_tokens=False)):
+                out[i] = np.array(e.ids, dtype="<u4").tobytes()
+        return out
 
 
 _ENCODERS: dict[str, Encoder] = {}
@@ -245,13 +386,10 @@ def pack(docs: DataFrame, vocabulary: str | None = None, sequence: int = SEQUENC
         coder = encoder(vocabulary)
         stream = Stream(coder.ends_sentence, TaskContext.get().partitionId() << 32, sequence)
         for batch in batches:
-            for at in range(0, len(batch), 256):
-                part = batch.slice(at, 256)
-                texts = [t or "" for t in part.column(1).to_pylist()]
-                for doc_id, ids in zip(part.column(0).to_pylist(), coder.encode(texts)):
-                    stream.add(doc_id, ids + end)
-                    if stream.end >= block_tokens and (rows := stream.settle(False)):
-                        yield batch_of(rows)
+            for doc_id, ids in zip(batch.column(0).to_pylist(), coder.encode(batch.column(1))):
+                stream.add(doc_id, ids + end)
+                if stream.end >= block_tokens and (rows := stream.settle(False)):
+                    yield batch_of(rows)
         if rows := stream.settle(True):
             yield batch_of(rows)
 

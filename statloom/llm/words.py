@@ -80,6 +80,22 @@ class _Powers:
         return cls.up[:n], cls.down[:n]
 
 
+def _running(data: np.ndarray) -> np.ndarray:
+    total = np.zeros(len(data) + 1, dtype=np.uint64)
+    np.cumsum(_BYTE[data] * _Powers.of(len(data) + 1)[0][:-1], out=total[1:])
+    return total
+
+
+def _between(total: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+    sums = (total[end] - total[begin]) * _Powers.of(len(total))[1][begin]
+    return mix(sums + (end - begin).astype(np.uint64))
+
+
+def byte_ranges(data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """64-bit hashes of ranges of bytes: equal bytes, equal hash."""
+    return _between(_running(data), begin, end)
+
+
 class Words:
     """The words of a block: byte ranges, the text each belongs to, and 64-bit hashes."""
 
@@ -105,12 +121,9 @@ class Words:
 
     def ranges(self, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
         """Hashes of the byte ranges: equal bytes, equal hash."""
-        up, down = _Powers.of(len(self.data) + 1)
         if self._total is None:
-            self._total = np.zeros(len(self.data) + 1, dtype=np.uint64)
-            np.cumsum(_BYTE[self.data] * up[:-1], out=self._total[1:])
-        sums = (self._total[end] - self._total[begin]) * down[begin]
-        return mix(sums + (end - begin).astype(np.uint64))
+            self._total = _running(self.data)
+        return _between(self._total, begin, end)
 
     def hashes(self) -> np.ndarray:
         return self.ranges(self.begin, self.end)

@@ -8,6 +8,7 @@ from collections import defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -18,17 +19,41 @@ from statloom.llm.packing import SEQUENCE, UNPADDED, WINDOW
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 PIECES = ["a", " ", "  ", "\n", "\t", "it's", "don't ", "É", "x1", "1234", "...", "\x1c", "\xa0",
-          "\x85", "😀", "word", "Word.", " the", "\r\n", "　", "'", "<|endoftext|>", "<|"]
+          "\x85", "😀", "word", "Word.", " the", "\r\n", "　", "'", "<|endoftext|>", "<|", "'s", "'ll", "''", "'t's", "s", "é'd",
+          " 're", "²", "ⅷ", "ß "]
 
 
-@settings(max_examples=400, deadline=None)
+@pytest.fixture(scope="module")
+def encoders():
+    """With a table for all pieces, and with one that is emptied all the time."""
+    return packing.encoder(VOCABULARY), packing.Encoder(VOCABULARY, 3)
+
+
+@settings(max_examples=600, deadline=None)
 @given(st.lists(st.lists(st.sampled_from(PIECES), max_size=12).map("".join), max_size=5))
-def test_ids_are_the_tokenizers(texts):
+def test_ids_are_the_tokenizers(encoders, texts):
+    plain = Tokenizer.from_file(VOCABULARY)
+    want = [plain.encode(t, add_special_tokens=False).ids for t in texts]
+    for coder in encoders:
+        got = coder.encode(pa.array([*texts, None], pa.string()))
+        assert [np.frombuffer(ids, "<u4").tolist() for ids in got] == [*want, []]
+
+
+def test_ids_of_any_latin_sign(encoders):
+    plain = Tokenizer.from_file(VOCABULARY)
+    signs = [chr(c) for c in [*range(1, 0x260), 0x370, 0x2028, 0x3000, 0x1F600]]
+    texts = [x for s in signs for x in (s, f"a{s}b", f" {s}1", f"{s} {s}", f".{s}\n{s}'s")]
+    want = [plain.encode(t, add_special_tokens=False).ids for t in texts]
+    got = [np.frombuffer(i, "<u4").tolist() for i in encoders[0].encode(pa.array(texts))]
+    assert got == want
+
+
+def test_ids_of_the_sample_table(encoders, sample):
     plain = Tokenizer.from_file(VOCABULARY)
-    got = packing.encoder(VOCABULARY).encode(texts)
-    for text, ids in zip(texts, got):
-        assert np.frombuffer(ids, "<u4").tolist() == plain.encode(
-            text, add_special_tokens=False).ids
+    texts = [r.text for r in sample[1]]
+    for coder in encoders:
+        got = [np.frombuffer(i, "<u4").tolist() for i in coder.encode(pa.array(texts))]
+        assert got == [plain.encode(t, add_special_tokens=False).ids for t in texts]
 
 
 def cost(cuts, costs, sequence):
