@@ -7,7 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from statloom.llm import chat, merkle, minmax, mixing, packing, ppm, quality, sanitise, toxicity
+from statloom.llm import (
+    chat,
+    merkle,
+    minmax,
+    mixing,
+    packing,
+    ppm,
+    quality,
+    sanitise,
+    separators,
+    toxicity,
+)
 from statloom.llm.tables import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -222,3 +233,8 @@ def op7_merkle_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op9_order_preserving_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read(spark, sf_dir, "documents"))
+
+
+@query
+def op2_separator_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return separators.token_counts(read(spark, sf_dir, "documents"))
