@@ -2,22 +2,45 @@
 
 from __future__ import annotations
 
+import atexit
 import math
 import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
-# One shuffle partition holds about this much input, so that a sort stays in memory.
-SHUFFLE_PARTITION_BYTES = 128 << 20
+from statloom.sources import files
+
+# A task reads and a reducer sorts about this much at most; what does not fit in memory spills.
+TASK_BYTES = 1 << 30
+SMALL_TASK_BYTES = 128 << 20
+# Blocks of a shuffle are maps times reducers, and the driver keeps track of both.
+MOST_PARTITIONS = 30_000
+
+
+def partition_bytes(input_bytes: int) -> int:
+    """Input per task: 128 MB for small inputs, growing with the input up to 1 GB, and beyond only
+    where MOST_PARTITIONS would be exceeded."""
+    wanted = min(TASK_BYTES, max(SMALL_TASK_BYTES, input_bytes // 4096))
+    return max(wanted, math.ceil(input_bytes / MOST_PARTITIONS))
 
 
 def shuffle_partitions(input_bytes: int, cores: int) -> int:
-    """Shuffle width for an input size: ~128 MB each, and two waves of the cores at least.
+    """Shuffle width for an input size: two waves of the cores at least, MOST_PARTITIONS at most
+    unless there are more cores."""
+    return max(2 * cores, math.ceil(input_bytes / partition_bytes(input_bytes)))
 
-    AQE merges what turns out too small, so erring on the high side is cheap.
+
+def fit_to_input(spark: SparkSession, *paths: str) -> int:
+    """Set split size and shuffle width for a job over these paths; returns their bytes.
+
+    Sizes come from the listing, no data is read.
     """
-    return max(2 * cores, math.ceil(input_bytes / SHUFFLE_PARTITION_BYTES))
+    total = sum(files.total_bytes(spark, p) for p in paths)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(partition_bytes(total)))
+    spark.conf.set("spark.sql.shuffle.partitions",
+                   str(shuffle_partitions(total, spark.sparkContext.defaultParallelism)))
+    return total
 
 
 def build_session(app_name: str = "statloom", master: str | None = None,
@@ -52,7 +75,7 @@ def shared_folder(spark: SparkSession) -> str:
     """
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not folder:
-        if not spark.sparkContext.master.startswith("local"):
+        if not _one_machine(spark):
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
         folder = tempfile.mkdtemp(prefix="statloom-")
     if spark.sparkContext.getCheckpointDir() is None:
@@ -60,6 +83,25 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+def _one_machine(spark: SparkSession) -> bool:
+    """``local`` and ``local[n]``; ``local-cluster`` has executors of its own."""
+    return spark.sparkContext.master.split("[")[0] == "local"
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A new path below the shared folder."""
-    return f"{shared_folder(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    """A new path below the shared folder, removed when this program ends."""
+    path = f"{shared_folder(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    if not _SCRATCH:
+        atexit.register(_clear_scratch, spark)
+    _SCRATCH.append(path)
+    return path
+
+
+_SCRATCH: list[str] = []
+
+
+def _clear_scratch(spark: SparkSession) -> None:
+    # Without its context the program can reach no storage, and the paths stay.
+    if getattr(spark.sparkContext, "_jsc", None):
+        for path in _SCRATCH:
+            files.delete(spark, path)

@@ -29,9 +29,10 @@ def test_the_named_folder_is_used():
     assert scratch_path(spark, "x").startswith("hdfs://shared/ck/x-")
 
 
-def test_a_cluster_must_name_a_folder():
+@pytest.mark.parametrize("master", ["spark://host", "local-cluster[2,1,1024]"])
+def test_a_cluster_must_name_a_folder(master):
     with pytest.raises(RuntimeError):
-        shared_folder(session("spark://host", {}))
+        shared_folder(session(master, {}))
 
 
 def test_a_local_session_keeps_one_temporary_folder():
