@@ -21,15 +21,44 @@ _WHOLE_PART = f"^{_PADDING}([+-]?[0-9]+)(?:[.][0-9]*)?{_PADDING}$"
 _FRACTION_ONLY = f"^{_PADDING}[+-]?[.][0-9]*{_PADDING}$"
 
 
-def _from_text(name: str, target: str) -> Column:
+# How Spark's JSON writer spells doubles that JSON has no number for.
+_NOT_FINITE = ("NaN", "Infinity", "-Infinity")
+
+
+def _is_text(name: str) -> Column:
+    """Whether a variant holds a JSON text; numbers follow another rule."""
+    return ((F.schema_of_variant(name) == "STRING")
+            & ~F.expr(f"try_cast(`{name}` as string)").isin(*_NOT_FINITE))
+
+
+def to_text(name: str, source: T.DataType) -> Column:
+    """The named column as text; a JSON null is null."""
+    if isinstance(source, T.VariantType):
+        return F.expr(f"try_cast(`{name}` as string)")
+    return F.col(name).cast("string")
+
+
+def _from_text(value: Column, target: str) -> Column:
     """The whole part of a decimal number; null for other text and for values out of range.
 
     The pattern comes before the cast, because a cast that fails costs an exception per row.
     """
-    whole_part = F.nullif(F.regexp_extract(name, _WHOLE_PART, 1), F.lit(""))
+    whole_part = F.nullif(F.regexp_extract(value, _WHOLE_PART, 1), F.lit(""))
     return F.coalesce(
         whole_part.try_cast(target),
-        F.when(F.col(name).rlike(_FRACTION_ONLY), F.lit(0).cast(target)),
+        F.when(value.rlike(_FRACTION_ONLY), F.lit(0).cast(target)),
+    )
+
+
+def _from_variant(name: str, target: str) -> Column:
+    """Text by the rule of text, whole numbers as they are, other numbers by the rule of doubles."""
+    double = f"try_cast(`{name}` as double)"
+    whole = F.expr(f"try_cast(`{name}` as {target})")
+    return (
+        F.when(_is_text(name), _from_text(to_text(name, T.VariantType()), target))
+        .when(F.schema_of_variant(name) == "BIGINT", F.coalesce(
+            whole, F.expr(_FROM_FLOATING[target].format(double))))
+        .otherwise(F.expr(_FROM_FLOATING[target].format(double)))
     )
 
 
@@ -37,8 +66,10 @@ def to_integral(name: str, source: T.DataType, target: str = "int") -> Column:
     """Cast the named column, of type ``source``, to ``int`` or ``bigint``."""
     if isinstance(source, (T.FloatType, T.DoubleType)):
         return F.expr(_FROM_FLOATING[target].format(f"`{name}`"))
+    if isinstance(source, T.VariantType):
+        return _from_variant(name, target)
     if isinstance(source, T.StringType):
-        return _from_text(name, target)
+        return _from_text(F.col(name), target)
     if isinstance(source, T.LongType) and target == "int":
         # Keep the low 32 bits, sign-extended.
         return F.expr(f"cast(shiftright(shiftleft(`{name}`, 32), 32) as int)")
@@ -50,6 +81,6 @@ def to_float(name: str) -> Column:
     return F.expr(f"try_cast(`{name}` as float)")
 
 
-def to_date(name: str, fmt: str) -> Column:
+def to_date(name: str, fmt: str, source: T.DataType | None = None) -> Column:
     """Parse a date; text that does not fit the format gives null."""
-    return F.try_to_date(name, fmt)
+    return F.try_to_date(to_text(name, source or T.StringType()), fmt)

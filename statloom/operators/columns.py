@@ -33,7 +33,7 @@ def cast_float(df: DataFrame, columns: Iterable[str]) -> DataFrame:
 
 def parse_date(df: DataFrame, column: str, fmt: str) -> DataFrame:
     """Replace a text column by its date."""
-    return df.withColumn(column, casts.to_date(column, fmt))
+    return df.withColumn(column, casts.to_date(column, fmt, _types(df)[column.lower()]))
 
 
 def stamp(df: DataFrame, run_date: date | str, column: str = "ingestion_date") -> DataFrame:
@@ -56,6 +56,8 @@ def conform(df: DataFrame, contract: T.StructType) -> DataFrame:
     types = _types(df)
     return df.select(*[
         F.col(f.name) if types[f.name] == f.dataType
+        else casts.to_text(f.name, types[f.name]).alias(f.name)
+        if isinstance(f.dataType, T.StringType)
         else casts.to_integral(f.name, types[f.name], "bigint").alias(f.name)
         if isinstance(f.dataType, T.LongType)
         else F.col(f.name).cast(f.dataType).alias(f.name)

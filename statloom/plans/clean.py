@@ -11,10 +11,7 @@ from pyspark.sql import types as T
 
 from statloom.functions import casts
 from statloom.operators import columns, rows
-from statloom.schemas import CORRUPT, TableSpec
-
-
-STAMP = "ingestion_date"
+from statloom.schemas import CORRUPT, STAMP, TableSpec
 
 
 def typed(raw: DataFrame, spec: TableSpec) -> DataFrame:
@@ -29,8 +26,8 @@ def typed(raw: DataFrame, spec: TableSpec) -> DataFrame:
         .transform(columns.parse_date, spec.date_column, spec.date_format)
         .transform(columns.cast_int, spec.int_columns)
         .transform(columns.cast_float, spec.float_columns)
-        .transform(rows.drop_null_keys, spec.required)
         .transform(columns.conform, contract)
+        .transform(rows.drop_null_keys, spec.required)
     )
 
 
@@ -44,24 +41,79 @@ def clean(raw: DataFrame, spec: TableSpec, run_date: date | str) -> DataFrame:
     )
 
 
-def rejects(raw: DataFrame, spec: TableSpec) -> DataFrame:
-    """Records with a value the casts cannot read, or (read with ``keep_corrupt``) broken lines.
+def _has_value(name: str, source: T.DataType) -> Column:
+    if isinstance(source, T.VariantType):
+        return F.col(name).isNotNull() & ~F.is_variant_null(name)
+    return F.col(name).isNotNull()
 
-    ``rejected`` names the columns concerned. Only text can be unreadable; it is tested once per
-    record, and the names are put together for the rejected records alone.
+
+def _judged(raw: DataFrame, spec: TableSpec) -> DataFrame:
+    """Records with ``rejected``, the columns that can't be read, and ``dropped``: no key is left.
+
+    Both follow from the values, so they do not depend on what a caller selects.
     """
     low = raw.transform(columns.lowercase_columns)
-    texts = {f.name for f in low.schema.fields if isinstance(f.dataType, T.StringType)}
+    types = {f.name: f.dataType for f in low.schema.fields}
+    wide = [f.name for f in spec.contract.fields if isinstance(f.dataType, T.LongType)
+            and f.name not in spec.int_columns and f.name in types]
     parsed = {
-        spec.date_column: casts.to_date(spec.date_column, spec.date_format),
-        **{c: casts.to_integral(c, T.StringType()) for c in spec.int_columns},
-        **{c: casts.to_float(c) for c in spec.float_columns},
+        spec.date_column: casts.to_date(spec.date_column, spec.date_format,
+                                        types[spec.date_column]),
+        **{c: casts.to_integral(c, types[c]) for c in spec.int_columns if c in types},
+        **{c: casts.to_float(c) for c in spec.float_columns if c in types},
+        **{c: casts.to_integral(c, types[c], "bigint") for c in wide},
     }
-    failed = {c: F.col(c).isNotNull() & v.isNull() for c, v in parsed.items() if c in texts}
-    if CORRUPT in texts:
+    # Of typed columns only text can be unreadable.
+    failed = {c: _has_value(c, types[c]) & v.isNull() for c, v in parsed.items()
+              if isinstance(types[c], (T.StringType, T.VariantType))}
+    if CORRUPT in types:
         failed[CORRUPT] = F.col(CORRUPT).isNotNull()
-    if not failed:
-        return low.withColumn("rejected", F.array().cast("array<string>")).limit(0)
+    key = parsed.get(spec.required)
+    if key is None:
+        key = casts.to_text(spec.required, types[spec.required])
     names = F.array(*[F.when(test, F.lit(c)) for c, test in failed.items()])
-    return low.filter(reduce(Column.__or__, failed.values())).withColumn(
-        "rejected", F.array_compact(names))
+    any_failed = reduce(Column.__or__, failed.values(), F.lit(False))
+    return low.select(
+        "*", F.when(any_failed, F.array_compact(names)).otherwise(F.array().cast("array<string>"))
+        .alias("rejected"), key.isNull().alias("dropped"))
+
+
+def rejects(raw: DataFrame, spec: TableSpec) -> DataFrame:
+    """Records that are dropped for want of a key, or that have a value the casts cannot read.
+
+    ``rejected`` names the columns concerned, ``_corrupt_record`` standing for a broken line.
+    ``dropped`` tells the records that are not stored; the others are, with null in those columns.
+    """
+    return _judged(raw, spec).filter((F.size("rejected") > 0) | F.col("dropped"))
+
+
+def as_text(df: DataFrame) -> DataFrame:
+    """Variants as text, for sinks without that type."""
+    return df.select(*[
+        casts.to_text(f.name, f.dataType).alias(f.name) if isinstance(f.dataType, T.VariantType)
+        else F.col(f.name) for f in df.schema.fields])
+
+
+def audit(raw: DataFrame, spec: TableSpec) -> DataFrame:
+    """One row: records read, kept, dropped and duplicate (read is the sum of the others), and the
+    records with an unreadable value.
+
+    Counted per key before the shuffle, so copies of a key are one row.
+    """
+    keys = [F.col(k) for k in spec.keys]
+    judged = _judged(raw, spec).select(
+        "dropped", (F.size("rejected") > 0).alias("flagged"), *(
+            casts.to_integral(f.name, t, "bigint").alias(f.name)
+            if isinstance(f.dataType, T.LongType) and isinstance(t, (T.VariantType, T.StringType))
+            else casts.to_text(f.name, t).alias(f.name)
+            for f in spec.contract.fields if f.name in spec.keys
+            for t in [raw.transform(columns.lowercase_columns).schema[f.name].dataType]))
+    by_key = judged.groupBy("dropped", *keys).agg(
+        F.count("*").alias("n"), F.sum(F.col("flagged").cast("long")).alias("flagged"))
+    stored = ~F.col("dropped")
+    return by_key.agg(
+        F.coalesce(F.sum("n"), F.lit(0)).alias("records_read"),
+        F.count(F.when(stored, 1)).alias("kept"),
+        F.coalesce(F.sum(F.when(~stored, F.col("n"))), F.lit(0)).alias("dropped"),
+        F.coalesce(F.sum(F.when(stored, F.col("n") - 1)), F.lit(0)).alias("duplicates"),
+        F.coalesce(F.sum("flagged"), F.lit(0)).alias("unreadable"))

@@ -7,6 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import types as T
 
 CORRUPT = "_corrupt_record"
+STAMP = "ingestion_date"
 
 # Column names and their order are the data contract of the two tables.
 GAME_COLUMNS = (
@@ -23,6 +24,7 @@ PLAYER_COLUMNS = (
 TEXT_COLUMNS = {"season_id", "team_abbreviation", "team_name", "player_name", "game_id",
                 "matchup", "wl"}
 DATE_COLUMNS = {"game_date", "ingestion_date"}
+# Which columns the two feeds cast to floats and to integers.
 RATE_COLUMNS = ("fg_pct", "fg3_pct", "ft_pct", "plus_minus")
 COUNT_COLUMNS = ("pts", "reb", "ast", "stl", "blk", "tov")
 

@@ -1,11 +1,17 @@
-"""JSON lines: one record per line, always read with a declared schema."""
+"""JSON lines: one record per line, never with an inferred schema.
+
+A feed is read as records: keys match without regard to case, and every value keeps its JSON type (as a
+variant), so that a number spelled as text, or a decimal id, reaches the tolerant casts instead of
+being lost to a declared type. ``read_json_lines`` is for files whose types are our own.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from statloom.schemas import CORRUPT
+from statloom.schemas import CORRUPT, STAMP, TableSpec
 
 
 def write_json_lines(df: DataFrame, path: str) -> None:
@@ -26,3 +32,38 @@ def read_json_lines(spark: SparkSession, path: str | list[str], schema: T.Struct
         .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
         .json(path)
     )
+
+
+def records(lines: DataFrame, spec: TableSpec, *kept: str) -> DataFrame:
+    """Lines of text (column ``value``) as records of a feed.
+
+    One variant column per contract column, under its lower-cased name, the text of a line that is no
+    JSON object, and the columns ``kept``. Blank lines are skipped, other keys ignored; a record with
+    two spellings of one key is an error.
+    """
+    parsed = F.transform_keys(F.from_json("value", "map<string,variant>"), lambda k, _: F.lower(k))
+    names = [n for n in spec.contract.names if n != STAMP]
+    return (
+        lines.filter(F.trim("value") != "").select("value", parsed.alias("_record"), *kept)
+        .select(*(F.col("_record")[n].alias(n) for n in names),
+                F.when(F.col("_record").isNull(), F.col("value")).alias(CORRUPT), *kept)
+    )
+
+
+def read_records(spark: SparkSession, path: str | list[str], spec: TableSpec) -> DataFrame:
+    """Records of a feed from one or many paths in a single scan."""
+    return records(spark.read.text(path), spec)
+
+
+def presence(spec: TableSpec) -> list[Column]:
+    """Aggregates over records: how many there are, and whether each contract column occurs."""
+    names = [n for n in spec.contract.names if n != STAMP]
+    return [F.count(F.when(F.col(CORRUPT).isNull(), 1)).alias("_n"),
+            *(F.max(F.col(n).isNotNull().cast("int")).alias(n) for n in names)]
+
+
+def require_columns(seen: dict[str, int | None], spec: TableSpec) -> None:
+    """Raise if a contract column occurs in no record; an empty feed passes."""
+    missing = [n for n in spec.contract.names if n != STAMP and not seen[n]]
+    if seen["_n"] and missing:
+        raise ValueError(f"{spec.name}: no record has {', '.join(missing)}")
