@@ -55,7 +55,8 @@ def filter_season(df: DataFrame, season: str, league: str | None = None,
 
 
 def dedupe(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """One row per key, nulls in a key being equal; the smallest row by the other columns stays.
+    """One row per key, nulls in a key being equal; of a key's rows the one with the fewest nulls
+    stays, among those the smallest by the other columns.
 
     A minimum over a struct is aggregated before the shuffle, so each task sends one row per key
     however many copies a key has, and the same row wins on every run. The hash leads the grouping
@@ -64,9 +65,10 @@ def dedupe(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     rest = [c for c in df.columns if c not in keys]
     if not rest:
         return df.distinct()
+    gaps = F.size(F.filter(F.array(*(F.col(c).isNull() for c in rest)), lambda gap: gap))
     return (
         df.groupBy(F.xxhash64(*keys).alias("_hash"), *keys)
-        .agg(F.min(F.struct(*rest)).alias("_row"))
+        .agg(F.min(F.struct(gaps.alias("_gaps"), *rest)).alias("_row"))
         .select(*keys, "_row.*").select(*df.columns)
     )
 

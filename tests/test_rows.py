@@ -15,20 +15,25 @@ def collected(df):
 
 
 def test_duplicates_leave_one_row(spark):
-    df = spark.createDataFrame([(2544, "0022400001", "2025-01-15", 30)] * 2,
-                               ["PLAYER_ID", "GAME_ID", "GAME_DATE", "PTS"])
-    assert rows.dedupe(df, ["PLAYER_ID", "GAME_ID"]).count() == 1
+    df = spark.createDataFrame([(7, "g1", 4)] * 3 + [(7, "g2", 4)], ["k", "g", "v"])
+    assert collected(rows.dedupe(df, ["k", "g"])) == [(7, "g1", 4), (7, "g2", 4)]
 
 
 def test_null_keys_are_dropped(spark):
-    df = spark.createDataFrame([(2544, "0022400001", 30), (None, "0022400002", 25)],
-                               ["PLAYER_ID", "GAME_ID", "PTS"])
-    assert rows.drop_null_keys(df, "PLAYER_ID").count() == 1
+    df = spark.createDataFrame([(None, "a"), (3, None), (None, None)], "k long, v string")
+    assert collected(rows.drop_null_keys(df, "k")) == [(3, None)]
+
+
+def test_the_complete_record_is_kept(spark):
+    df = spark.createDataFrame([(1, None, "a"), (1, 9, "b"), (1, 9, None), (1, None, None)],
+                               "k long, v long, w string")
+    assert collected(rows.dedupe(df, ["k"])) == [(1, 9, "b")]
 
 
 def _smallest_by_key(data, width):
     def rank(row):
-        return tuple((v is not None, 0 if v is None else v) for v in row[width:])
+        return (sum(v is None for v in row[width:]),
+                *((v is not None, 0 if v is None else v) for v in row[width:]))
     best = {}
     for row in data:
         key = row[:width]
@@ -150,15 +155,34 @@ def test_selection_by_an_empty_frame(spark, fact):
         [], "player_id long")).count() == 0
 
 
-def test_small_lookup_is_broadcast_and_large_is_salted(spark, fact):
+@pytest.mark.parametrize("hot_rows", [20, 10_000])
+def test_hot_or_not_the_rows_are_the_same(spark, fact, hot_rows):
+    dimension = spark.createDataFrame([(1, "One"), (3, "Three")], "id long, full_name string")
+    assert collected(joins.lookup_name(fact, dimension, broadcast_bytes=0, hot_rows=hot_rows)) == \
+        collected(joins.lookup_name(fact, dimension))
+    wanted = dimension.selectExpr("id AS player_id")
+    assert collected(joins.semi_lookup(fact, wanted, "player_id", 0, hot_rows)) == \
+        collected(joins.semi_lookup(fact, wanted, "player_id"))
+
+
+def test_selection_keeps_the_order_of_columns(spark, fact):
+    turned = fact.select("pts", "player_id")
+    wanted = spark.createDataFrame([(1,)], "player_id long")
+    for limit in LIMITS:
+        assert joins.semi_lookup(turned, wanted, "player_id", limit).columns == turned.columns
+
+
+def test_small_lookup_is_broadcast_and_large_is_salted_where_hot(spark, fact):
     dimension = spark.createDataFrame([(1, "One")], "id long, full_name string")
     assert "BroadcastHashJoin" in plan_of(joins.lookup_name(fact, dimension))
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         plan = plan_of(joins.lookup_name(fact, dimension, broadcast_bytes=0))
+        hot = plan_of(joins.lookup_name(fact, dimension, broadcast_bytes=0, hot_rows=20))
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    assert "Broadcast" not in plan and "_salt" in plan
+    assert "Broadcast" not in plan and "_salt" not in plan
+    assert "_salt" in hot and "SortMergeJoin" in hot
 
 
 def test_hot_key_is_spread_by_the_salt(spark):
@@ -168,7 +192,7 @@ def test_hot_key_is_spread_by_the_salt(spark):
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     spark.conf.set("spark.sql.shuffle.partitions", "16")
     try:
-        out = joins.lookup_name(fact, dimension, broadcast_bytes=0)
+        out = joins.lookup_name(fact, dimension, broadcast_bytes=0, hot_rows=2000)
         sizes = out.groupBy(F.spark_partition_id().alias("p")).count().collect()
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
