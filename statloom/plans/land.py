@@ -15,17 +15,19 @@ def land_games(raw: DataFrame, path: str, season: str, league: str | None = None
         raw.transform(rows.filter_season, season, league, season_column, league_column), path)
 
 
-def selected_players(raw: DataFrame, entities, dimension: DataFrame,
-                     key: str = "Player_ID") -> DataFrame:
-    """The chosen players' records, gaps filled with zero, with their names."""
+def selected_players(raw: DataFrame, season: str, entities, dimension: DataFrame,
+                     key: str = "Player_ID", season_column: str = "SEASON_ID") -> DataFrame:
+    """The chosen players' records of one season, gaps filled with zero, with their names."""
     return (
-        raw.transform(rows.select_entities, key, entities)
+        raw.transform(rows.filter_season, season, season_column=season_column)
+        .transform(rows.select_entities, key, entities)
         .transform(columns.fill_missing)
         .transform(joins.lookup_name, dimension, key, "player_name")
     )
 
 
-def land_players(raw: DataFrame, path: str, entities, dimension: DataFrame,
-                 key: str = "Player_ID") -> None:
-    """Write the records of the chosen players in one job."""
-    write_json_lines(selected_players(raw, entities, dimension, key), path)
+def land_players(raw: DataFrame, path: str, season: str, entities, dimension: DataFrame,
+                 key: str = "Player_ID", season_column: str = "SEASON_ID") -> None:
+    """Write the chosen players' records of one season in one job."""
+    write_json_lines(
+        selected_players(raw, season, entities, dimension, key, season_column), path)

@@ -3,41 +3,62 @@
 from __future__ import annotations
 
 from concurrent.futures import ThreadPoolExecutor
-from datetime import date
+from datetime import date, timedelta
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
-from statloom.operators import reports
-from statloom.plans.clean import clean
+from statloom.operators.rows import union_entities
+from statloom.plans.clean import as_text, audit, clean, rejects
 from statloom.plans.land import land_games, land_players
+from statloom.plans.views import create_views
 from statloom.schemas import GAMES, PLAYERS, TableSpec
-from statloom.session import shared_folder
-from statloom.sources import tables
-from statloom.sources.jsonl import read_json_lines
+from statloom.session import fit_to_input, shared_folder
+from statloom.sources import files, tables
+from statloom.sources.jsonl import presence, read_records, require_columns, write_json_lines
 from statloom.sources.paths import Zones
 
 FEEDS = ((GAMES, "games"), (PLAYERS, "player_stats"))
 
 
+def prepare(spark: SparkSession, zones: Zones) -> None:
+    """Create the database and its tables unless they exist, and know the dates stored before."""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{zones.database}`")
+    for spec, _ in FEEDS:
+        if not spark.catalog.tableExists(zones.table(spec.name)):
+            tables.create_table(spark, zones.table(spec.name), spec, zones.warehouse(spec.name))
+            if files.children(spark, zones.warehouse(spec.name)):
+                spark.catalog.recoverPartitions(zones.table(spec.name))
+
+
 def store(spark: SparkSession, spec: TableSpec, feed: str, zones: Zones, run_date: date | str,
           mode: str = tables.APPEND) -> None:
-    """Clean one feed of a run date and write it to the processed zone and the warehouse.
+    """Clean one feed of a run date and write it to the processed zone and the warehouse table.
 
-    The batch is computed once, cut into storage ranges and checkpointed in the shared folder. Both
-    sinks read that copy, so they hold the same rows and need no further shuffle.
+    The batch is cleaned once and written as Parquet in storage order; the warehouse is written
+    from those files, so both hold the same rows and nothing else is kept. Records that are dropped
+    or hold an unreadable value are written beside the processed zone. A contract column that no
+    record has is an error, found in the same pass, before anything is stored.
     """
-    shared_folder(spark)
-    raw = read_json_lines(spark, zones.raw(run_date, feed), spec.raw)
-    batch = clean(raw, spec, run_date).transform(tables.cluster_ranges, spec).checkpoint()
-    for path in (zones.processed(run_date, feed), zones.warehouse(spec.name)):
-        tables.write_partitioned(
-            batch.transform(tables.cluster_sort, spec), path, spec.partition, mode)
+    raw = read_records(spark, zones.raw(run_date, feed), spec)
+    seen = Observation()
+    write_json_lines(
+        raw.observe(seen, *presence(spec)).transform(rejects, spec).transform(as_text),
+        zones.rejects(run_date, feed))
+    require_columns(seen.get, spec)
+    processed = zones.processed(run_date, feed)
+    written = tables.write_marked(
+        tables.cluster_layout(clean(raw, spec, run_date), spec), processed, spec, mode)
+    if written is not None:
+        tables.add_rows(written, zones.table(spec.name), spec, mode)
 
 
 def transform(spark: SparkSession, zones: Zones, run_date: date | str,
               mode: str = tables.APPEND) -> None:
     """Clean and store both feeds of a run date, side by side: neither needs the other."""
     shared_folder(spark)
+    fit_to_input(spark, *(zones.raw(run_date, feed) for _, feed in FEEDS))
+    prepare(spark, zones)
     with ThreadPoolExecutor(len(FEEDS)) as pool:
         jobs = [pool.submit(store, spark, spec, feed, zones, run_date, mode)
                 for spec, feed in FEEDS]
@@ -45,38 +66,59 @@ def transform(spark: SparkSession, zones: Zones, run_date: date | str,
         job.result()
 
 
-def report_views(games: DataFrame, players: DataFrame, since: date | str,
-                 as_of: date | str | None = None) -> dict[str, DataFrame]:
-    """The four reporting queries by name."""
-    return {
-        "top_scorers": reports.top_scorers(players, since),
-        "player_performance_over_time": reports.performance_over_time(players, since),
-        "win_loss_by_team": reports.win_loss_by_team(games, since),
-        "pipeline_health_check": reports.pipeline_health(games, as_of),
-    }
+def audits(spark: SparkSession, zones: Zones, run_date: date | str) -> DataFrame:
+    """Per feed of a run date: records read, kept, dropped, duplicate and unreadable."""
+    return union_entities([
+        audit(read_records(spark, zones.raw(run_date, feed), spec), spec)
+        .select(F.lit(feed).alias("feed"), "*") for spec, feed in FEEDS])
 
 
 def warehouse_tables(spark: SparkSession, zones: Zones) -> dict[str, DataFrame]:
-    """The stored tables by name."""
-    return {spec.name: tables.read_table(spark, zones.warehouse(spec.name), spec.contract)
+    """The catalog tables by name; a date filter lists only the dates it wants."""
+    prepare(spark, zones)
+    return {spec.name: spark.table(zones.table(spec.name)).select(*spec.contract.names)
             for spec, _ in FEEDS}
 
 
 def register_views(spark: SparkSession, zones: Zones, since: date | str,
                    as_of: date | str | None = None) -> dict[str, DataFrame]:
-    """Register the tables and the reporting queries over them, for ``spark.sql``."""
-    stored = warehouse_tables(spark, zones)
-    views = report_views(stored[GAMES.name], stored[PLAYERS.name], since, as_of)
-    for name, df in {**stored, **views}.items():
-        df.createOrReplaceTempView(name)
-    return views
+    """Create the permanent views over the tables, for any session; returns them by name."""
+    prepare(spark, zones)
+    return {name: spark.table(zones.table(name))
+            for name in create_views(spark, zones.database, since, as_of)}
+
+
+def expire_runs(spark: SparkSession, zones: Zones, days: int = 30,
+                as_of: date | str | None = None) -> list[str]:
+    """Remove raw and processed run dates older than ``days``, and warehouse dates that no later run
+    wrote; returns the run dates removed. No row is read: run dates are folders."""
+    today = date.fromisoformat(as_of) if isinstance(as_of, str) else as_of or date.today()
+    first = (today - timedelta(days=days)).isoformat()
+    gone = set()
+    for zone in zones.run_folders():
+        for name in files.children(spark, zone):
+            if _is_day(name) and name < first:
+                files.delete(spark, f"{zone}/{name}")
+                gone.add(name)
+    prepare(spark, zones)
+    for spec, _ in FEEDS:
+        tables.drop_expired(spark, zones.table(spec.name), spec, days, today)
+    return sorted(gone)
+
+
+def _is_day(name: str) -> bool:
+    try:
+        return date.fromisoformat(name).isoformat() == name
+    except ValueError:
+        return False
 
 
 def run(spark: SparkSession, raw_games: DataFrame, raw_players: DataFrame, dimension: DataFrame,
         entities, season: str, zones: Zones, run_date: date | str, since: date | str,
-        as_of: date | str | None = None, mode: str = tables.APPEND) -> dict[str, DataFrame]:
-    """The whole job for one run date; returns the reporting queries."""
-    land_games(raw_games, zones.raw(run_date, "games"), season)
-    land_players(raw_players, zones.raw(run_date, "player_stats"), entities, dimension)
+        as_of: date | str | None = None, mode: str = tables.APPEND,
+        league: str | None = None) -> dict[str, DataFrame]:
+    """The whole job for one run date; returns the reporting views."""
+    land_games(raw_games, zones.raw(run_date, "games"), season, league)
+    land_players(raw_players, zones.raw(run_date, "player_stats"), season, entities, dimension)
     transform(spark, zones, run_date, mode)
     return register_views(spark, zones, since, as_of)

@@ -10,10 +10,14 @@ from pyspark.sql import types as T
 
 from statloom.functions.dates import day
 from statloom.operators.columns import project
-from statloom.schemas import TableSpec
+from statloom.schemas import STAMP, TableSpec
+from statloom.sources import files
 
 APPEND = "append"
 REPLACE_DATES = "replace_dates"
+# The folder of rows without a date, as Spark names it.
+NO_DATE = "__HIVE_DEFAULT_PARTITION__"
+_MARK = "/part-[0-9]+-([0-9a-f-]{36})[^/]*$"
 
 
 def date_layout(df: DataFrame, partition: str = "game_date") -> DataFrame:
@@ -36,7 +40,10 @@ def cluster_ranges(df: DataFrame, spec: TableSpec) -> DataFrame:
     one file; a huge date is cut along the cluster column and the key, so no task holds a whole hot
     date or entity, and every file covers a narrow range of the cluster column.
     """
-    return df.repartitionByRange(*_storage_order(spec))
+    # The width is the session's, which a job fits to its input: a file per date and task takes its
+    # time to open however small it is, so small ranges are not merged into few tasks.
+    width = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartitionByRange(width, *_storage_order(spec))
 
 
 def cluster_sort(df: DataFrame, spec: TableSpec) -> DataFrame:
@@ -85,27 +92,72 @@ def create_table(spark: SparkSession, name: str, spec: TableSpec,
               f"PARTITIONED BY (`{spec.partition}`){at}")
 
 
+def write_marked(df: DataFrame, path: str, spec: TableSpec, mode: str = APPEND) -> DataFrame | None:
+    """Write date partitions and return the rows of this write alone, read from its files.
+
+    Spark names the files of one write alike; those that were there before are told apart by
+    name, and a filter on the file name keeps the others from being opened. None if df was empty.
+    """
+    spark = df.sparkSession
+    before = _marks(spark, path)
+    write_partitioned(df, path, spec.partition, mode)
+    marks = _marks(spark, path) - before
+    if not marks:
+        return None
+    (mark,) = marks
+    return read_table(spark, path, spec.contract).filter(
+        F.col("_metadata.file_name").contains(mark))
+
+
+def _marks(spark: SparkSession, path: str) -> set[str]:
+    """What the names of each write's data files share: one entry per write. Lists, reads nothing."""
+    if not files.children(spark, path):
+        return set()
+    names = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+             .select(F.regexp_extract("path", _MARK, 1).alias("mark")))
+    return {r["mark"] for r in names.filter("mark <> ''").distinct().collect()}
+
+
 def append_to_table(df: DataFrame, name: str, spec: TableSpec) -> None:
     """Append to a catalog table in the storage layout; columns go by name."""
-    (
-        cluster_layout(df, spec).write.format("parquet").mode("append")
-        .partitionBy(spec.partition).saveAsTable(name)
-    )
+    add_rows(cluster_layout(df, spec), name, spec)
+
+
+def add_rows(df: DataFrame, name: str, spec: TableSpec, mode: str = APPEND) -> None:
+    """Add rows that are laid out already to a catalog table, or replace their dates."""
+    values = [c for c in spec.contract.names if c != spec.partition]
+    writer = df.select(*values, spec.partition).write
+    if mode == REPLACE_DATES:
+        writer.option("partitionOverwriteMode", "dynamic").insertInto(name, overwrite=True)
+    elif mode == APPEND:
+        writer.insertInto(name)
+    else:
+        raise ValueError(f"unknown mode: {mode}")
 
 
-def drop_expired(spark: SparkSession, name: str, column: str, days: int = 30,
+def drop_expired(spark: SparkSession, name: str, spec: TableSpec, days: int = 30,
                  as_of: date | str | None = None) -> int:
-    """Drop the date partitions of a catalog table older than ``days``; no data is read.
+    """Drop the dates of a catalog table whose rows all come from runs older than ``days``, the
+    undated rows among them, and remove their files; returns how many dates went.
 
-    Returns how many were dropped. The list is one entry per day of the table.
+    Only the run date is read, and one entry per date reaches the driver. External tables keep the
+    files of a dropped partition, so its folder is removed as well.
     """
-    value = F.regexp_extract("partition", f"{column}=([0-9-]+)", 1).try_cast("date")
-    expired = [
-        r["value"].isoformat() for r in
-        spark.sql(f"SHOW PARTITIONS {name}").select(value.alias("value"))
-        .filter(F.col("value") < F.date_sub(day(as_of), days)).collect()
-    ]
-    if expired:
-        parts = ", ".join(f"PARTITION (`{column}`='{d}')" for d in expired)
-        spark.sql(f"ALTER TABLE {name} DROP IF EXISTS {parts}")
+    last = spark.table(name).groupBy(spec.partition).agg(F.max(STAMP).alias("last"))
+    expired = [r[spec.partition] for r in
+               last.filter(F.col("last") < F.date_sub(day(as_of), days)).collect()]
+    if not expired:
+        return 0
+    location = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").filter(
+        "col_name = 'Location'").first()["data_type"]
+    parts = ", ".join(
+        f"PARTITION (`{spec.partition}`={_sql_date(d)})" for d in expired)
+    spark.sql(f"ALTER TABLE {name} DROP IF EXISTS {parts}")
+    for value in expired:
+        files.delete(spark, f"{location}/{spec.partition}={value or NO_DATE}")
+    spark.catalog.refreshTable(name)
     return len(expired)
+
+
+def _sql_date(value: date | None) -> str:
+    return "null" if value is None else f"'{value.isoformat()}'"

@@ -1,4 +1,4 @@
-"""Pick up new run dates as a stream: the same cleaning, one micro-batch at a time."""
+"""Pick up new raw files as a stream: the same cleaning, tables and layout as the batch job."""
 
 from __future__ import annotations
 
@@ -7,10 +7,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
 
 from statloom.operators import columns, rows
-from statloom.plans.clean import STAMP, typed
-from statloom.schemas import TableSpec
+from statloom.plans.clean import typed
+from statloom.plans.pipeline import prepare
+from statloom.schemas import STAMP, TableSpec
+from statloom.sources import tables
+from statloom.sources.jsonl import records
 from statloom.sources.paths import Zones
-from statloom.sources.tables import cluster_layout
 
 _RUN_DATE = "/([0-9]{4}-[0-9]{2}-[0-9]{2})/[^/]+[.]json"
 
@@ -24,27 +26,36 @@ def _clean_runs(raw: DataFrame, spec: TableSpec) -> DataFrame:
     )
 
 
+def _unstored(batch: DataFrame, stored: DataFrame, spec: TableSpec) -> DataFrame:
+    """Rows whose key the table does not hold for their run date."""
+    keys = [*spec.keys, STAMP]
+    held = stored.select(*(F.col(k).alias(f"_{k}") for k in keys))
+    same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]
+    return batch.join(held.hint("merge"), same, "left_anti")
+
+
 def stream_table(spark: SparkSession, spec: TableSpec, feed: str, zones: Zones,
                  state: str) -> StreamingQuery:
-    """Clean every new raw file of a feed into the warehouse and stop when none is left.
+    """Clean every new raw file of a feed into the warehouse table and stop when none is left.
 
-    A micro-batch owns one folder and replaces it, so a batch that runs twice after a failure
-    leaves one copy. ``state`` is the stream's checkpoint in shared storage.
+    A row is added only if the table has no row of its key for that run date. So a later file of a run
+    adds what is new in it, and a micro-batch that runs again after a failure adds nothing twice. Only
+    the run dates of the batch are looked up, by the statistics of their files.
     """
-    path = zones.warehouse(spec.name)
+    prepare(spark, zones)
+    name = zones.table(spec.name)
     run_date = F.regexp_extract("_metadata.file_path", _RUN_DATE, 1).try_cast("date")
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        # A stream may run without AQE, so the layout has to balance hot dates by itself.
-        (
-            _clean_runs(batch, spec).transform(cluster_layout, spec)
-            .write.mode("overwrite").partitionBy(spec.partition)
-            .parquet(f"{path}/batch={batch_id}")
-        )
+        session = batch.sparkSession
+        runs = [r[0] for r in batch.select(STAMP).distinct().collect()]
+        stored = session.table(name).filter(F.col(STAMP).isin(runs))
+        fresh = _unstored(_clean_runs(batch, spec), stored, spec)
+        tables.append_to_table(fresh, name, spec)
 
+    lines = spark.readStream.text(zones.raw_runs(feed)).select("value", run_date.alias(STAMP))
     return (
-        spark.readStream.schema(spec.raw).json(zones.raw_runs(feed))
-        .select("*", run_date.alias(STAMP))
+        records(lines, spec, STAMP)
         .writeStream.foreachBatch(write)
         .option("checkpointLocation", state)
         .trigger(availableNow=True).start()

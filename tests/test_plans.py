@@ -8,13 +8,14 @@ from conftest import plan_of
 from pyspark.sql import functions as F
 
 import run
+from statloom.operators import reports
 from statloom.plans import pipeline
 from statloom.plans.clean import clean, rejects, typed
 from statloom.plans.land import land_games, land_players
 from statloom.schemas import GAMES, PLAYERS
 from statloom.session import scratch_path
-from statloom.sources import tables
-from statloom.sources.jsonl import read_json_lines
+from statloom.sources import files, tables
+from statloom.sources.jsonl import read_json_lines, read_records
 from statloom.sources.paths import Zones
 from statloom.streaming.landing import stream_table
 
@@ -128,13 +129,14 @@ def test_land_games_keeps_one_season(spark, tmp_path):
 @pytest.mark.parametrize("as_frame", [True, False])
 def test_land_players_selects_fills_and_names(spark, tmp_path, as_frame):
     raw = spark.createDataFrame(
-        [(1, "a", None, None), (2, "b", float("nan"), "W"), (3, "c", 4.0, "L")],
-        "Player_ID long, Game_ID string, PTS double, WL string")
+        [("22024", 1, "a", None, None), ("22024", 2, "b", float("nan"), "W"),
+         ("22024", 3, "c", 4.0, "L"), ("22023", 1, "d", 9.0, "W"), (None, 1, "e", 9.0, "W")],
+        "SEASON_ID string, Player_ID long, Game_ID string, PTS double, WL string")
     names = spark.createDataFrame([(1, "One"), (3, "Three")], "id long, full_name string")
     chosen = spark.createDataFrame([(1,), (2,)], "Player_ID long") if as_frame else [1, 2]
     path = str(tmp_path / "player_stats.json")
-    land_players(raw, path, chosen, names)
-    out = spark.read.schema(raw.schema.add("player_name", "string")).json(path)
+    land_players(raw, path, "22024", chosen, names)
+    out = spark.read.schema(raw.schema.add("player_name", "string")).json(path).drop("SEASON_ID")
     assert sorted(map(tuple, out.collect())) == [
         (1, "a", 0.0, "0", "One"), (2, "b", 0.0, "W", "2")]
 
@@ -159,32 +161,83 @@ def test_both_sinks_hold_the_same_rows(spark, zones):
 
 
 def test_reruns_append_or_replace(spark, zones):
-    games = zones.warehouse(GAMES.name)
+    games = lambda: pipeline.warehouse_tables(spark, zones)[GAMES.name].count()
     for _ in range(2):
         pipeline.transform(spark, zones, RUN_DATE)
-    assert tables.read_table(spark, games, GAMES.contract).count() == 14
+    assert games() == 14
     pipeline.transform(spark, zones, RUN_DATE, tables.REPLACE_DATES)
-    assert tables.read_table(spark, games, GAMES.contract).count() == 7
+    assert games() == 7
 
 
-def test_stored_batch_needs_no_second_shuffle(spark, zones):
-    raw = read_json_lines(spark, zones.raw(RUN_DATE, "games"), GAMES.raw)
-    batch = clean(raw, GAMES, RUN_DATE).transform(tables.cluster_ranges, GAMES).checkpoint()
-    plan = plan_of(batch.transform(tables.cluster_sort, GAMES))
-    assert "Exchange" not in plan and "Scan json" not in plan
+def test_rejects_are_written_and_records_add_up(spark, zones):
+    pipeline.transform(spark, zones, RUN_DATE)
+    for spec, feed in pipeline.FEEDS:
+        raw = read_records(spark, zones.raw(RUN_DATE, feed), spec)
+        written = spark.read.json(zones.rejects(RUN_DATE, feed))
+        assert written.count() == rejects(raw, spec).count() > 0
+    for r in pipeline.audits(spark, zones, RUN_DATE).collect():
+        assert r["records_read"] == r["kept"] + r["dropped"] + r["duplicates"]
+        assert r["kept"] == {"games": 7, "player_stats": 5}[r["feed"]]
+
+
+def test_a_feed_without_a_column_is_refused(spark, zones, tmp_path):
+    lines = [{k: v for k, v in line.items() if k != "MATCHUP"} for line in GAME_LINES]
+    write(tmp_path / "raw" / "league" / "2025-04-14" / "games.json", lines)
+    write(tmp_path / "raw" / "league" / "2025-04-14" / "player_stats.json", PLAYER_LINES)
+    with pytest.raises(ValueError, match="matchup"):
+        pipeline.transform(spark, zones, "2025-04-14")
+    assert pipeline.warehouse_tables(spark, zones)[GAMES.name].count() == 0
 
 
-def test_views_are_queryable_by_name(spark, zones):
+def test_views_answer_in_another_session(spark, zones):
     pipeline.transform(spark, zones, RUN_DATE)
     views = pipeline.register_views(spark, zones, "2024-10-01", RUN_DATE)
     assert set(views) == {"top_scorers", "player_performance_over_time", "win_loss_by_team",
                           "pipeline_health_check"}
-    assert spark.sql("SELECT player_id, games_played FROM top_scorers").collect() == [
-        (99, 1), (2544, 3)]
-    assert spark.sql("SELECT count(*) FROM game_stats").collect() == [(7,)]
-    assert spark.sql("SELECT count(*) FROM player_stats").collect() == [(5,)]
-    assert spark.sql("SELECT * FROM pipeline_health_check").collect() == [(date(2025, 4, 13), 7)]
-    assert spark.sql("SELECT game_count FROM win_loss_by_team").collect() == [(4,)]
+    other = spark.newSession()
+    sql = lambda what, name: other.sql(f"SELECT {what} FROM {zones.table(name)}").collect()
+    assert sql("player_id, games_played", "top_scorers") == [(99, 1), (2544, 3)]
+    assert sql("count(*)", "game_stats") == [(7,)]
+    assert sql("count(*)", "player_stats") == [(5,)]
+    assert sql("*", "pipeline_health_check") == [(date(2025, 4, 13), 7)]
+    assert sql("game_count", "win_loss_by_team") == [(4,)]
+    assert sql("count(*)", "player_performance_over_time") == [(4,)]
+
+
+def test_views_equal_the_reports(spark, zones):
+    pipeline.transform(spark, zones, RUN_DATE)
+    views = pipeline.register_views(spark, zones, "2024-10-01", RUN_DATE)
+    stored = pipeline.warehouse_tables(spark, zones)
+    games, players = stored[GAMES.name], stored[PLAYERS.name]
+    for name, report in {
+        "top_scorers": reports.top_scorers(players, "2024-10-01"),
+        "player_performance_over_time": reports.performance_over_time(players, "2024-10-01"),
+        "win_loss_by_team": reports.win_loss_by_team(games, "2024-10-01"),
+        "pipeline_health_check": reports.pipeline_health(games, RUN_DATE),
+    }.items():
+        assert views[name].columns == report.columns
+        assert list(map(repr, views[name].collect())) == list(map(repr, report.collect()))
+
+
+def test_a_lost_catalog_is_rebuilt_from_the_files(spark, zones):
+    pipeline.transform(spark, zones, RUN_DATE)
+    spark.sql(f"DROP DATABASE `{zones.database}` CASCADE")
+    assert pipeline.warehouse_tables(spark, zones)[GAMES.name].count() == 7
+
+
+def test_old_runs_are_removed(spark, zones):
+    for run_date in ("2025-04-12", RUN_DATE):
+        pipeline.transform(spark, zones, run_date)
+    assert pipeline.expire_runs(spark, zones, 30, "2025-05-12") == []
+    # The warehouse dates were written by the later run too, so they stay.
+    assert pipeline.expire_runs(spark, zones, 30, "2025-05-13") == ["2025-04-12"]
+    stored = pipeline.warehouse_tables(spark, zones)[GAMES.name]
+    assert stored.count() == 14
+    assert files.children(spark, f"{zones.root}/raw/league") == [RUN_DATE]
+    assert files.children(spark, f"{zones.root}/processed/league") == [RUN_DATE]
+    pipeline.expire_runs(spark, zones, 30, "2025-05-14")
+    assert pipeline.warehouse_tables(spark, zones)[GAMES.name].count() == 0
+    assert tables.read_table(spark, zones.warehouse(GAMES.name), GAMES.contract).count() == 0
 
 
 def test_command_line_stores_and_counts(spark, zones, capsys):
@@ -195,25 +248,35 @@ def test_command_line_stores_and_counts(spark, zones, capsys):
 
 def test_stream_matches_batch_per_run_date(spark, zones):
     state = scratch_path(spark, "state")
+    stored = lambda: pipeline.warehouse_tables(spark, zones)[GAMES.name]
     stream_table(spark, GAMES, "games", zones, state).awaitTermination(120)
-    got = tables.read_table(spark, zones.warehouse(GAMES.name), GAMES.contract)
+    got = stored()
     expected = None
     for run_date in ("2025-04-12", RUN_DATE):
-        raw = read_json_lines(spark, zones.raw(run_date, "games"), GAMES.raw)
+        raw = read_records(spark, zones.raw(run_date, "games"), GAMES)
         part = clean(raw, GAMES, run_date)
         expected = part if expected is None else expected.union(part)
     assert got.count() == 14
     assert got.exceptAll(expected).count() == 0 and expected.exceptAll(got).count() == 0
-    # Nothing new: a second run adds nothing.
+    # Nothing new: a second run adds nothing, nor does a stream that has lost its state.
     stream_table(spark, GAMES, "games", zones, state).awaitTermination(120)
-    assert tables.read_table(spark, zones.warehouse(GAMES.name), GAMES.contract).count() == 14
+    stream_table(spark, GAMES, "games", zones, scratch_path(spark, "state")).awaitTermination(120)
+    assert stored().count() == 14
 
 
-def test_stream_takes_only_new_runs(spark, zones, tmp_path):
+def test_a_late_file_of_a_run_adds_only_new_keys(spark, zones, tmp_path):
     state = scratch_path(spark, "state")
     stream_table(spark, PLAYERS, "player_stats", zones, state).awaitTermination(120)
-    write(tmp_path / "raw" / "league" / "2025-04-14" / "player_stats.json", PLAYER_LINES[:1])
+    folder = tmp_path / "raw" / "league"
+    write(folder / "2025-04-14" / "player_stats.json", PLAYER_LINES[:1])
+    late = [*PLAYER_LINES, player(Game_ID="0022400099", PTS=3.0)]
+    (folder / RUN_DATE / "player_stats.json" / "late.json").write_text(
+        "\n".join(map(json.dumps, late)))
     stream_table(spark, PLAYERS, "player_stats", zones, state).awaitTermination(120)
-    out = tables.read_table(spark, zones.warehouse(PLAYERS.name), PLAYERS.contract)
+    out = pipeline.warehouse_tables(spark, zones)[PLAYERS.name]
     assert {tuple(r) for r in out.groupBy("ingestion_date").agg(F.count("*")).collect()} == {
-        (date(2025, 4, 12), 5), (date(2025, 4, 13), 5), (date(2025, 4, 14), 1)}
+        (date(2025, 4, 12), 5), (date(2025, 4, 13), 6), (date(2025, 4, 14), 1)}
+    # The batch job appends to the same table, by the same layout.
+    pipeline.transform(spark, zones, RUN_DATE)
+    assert pipeline.warehouse_tables(spark, zones)[PLAYERS.name].count() == 12 + 6
+    assert tables.read_table(spark, zones.warehouse(PLAYERS.name), PLAYERS.contract).count() == 18

@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from statloom.operators import columns, rows
 from statloom.schemas import GAMES, PLAYERS
-from statloom.session import scratch_path, shuffle_partitions
+from statloom.plans.clean import audit, rejects, typed
+from statloom.session import fit_to_input, partition_bytes, scratch_path, shuffle_partitions
 from statloom.sources import jsonl, tables
 from statloom.sources.paths import Zones
 
@@ -174,11 +175,22 @@ def test_catalog_table_is_created_once_and_appended_by_name(spark, players):
 def test_expired_partitions_are_dropped(spark, players):
     name = "expiring_players"
     tables.create_table(spark, name, PLAYERS)
-    tables.append_to_table(players, name, PLAYERS)
-    kept = players.filter("game_date >= date'2024-10-11' or game_date is null").count()
-    assert tables.drop_expired(spark, name, "game_date", 30, "2024-11-10") == 6
-    assert spark.table(name).count() == kept
-    assert tables.drop_expired(spark, name, "game_date", 30, "2024-11-10") == 0
+    path = scratch_path(spark, "expiring")
+    spark.sql(f"DROP TABLE {name}")
+    tables.create_table(spark, name, PLAYERS, path)
+    # The undated rows and the days up to the 10th come from an old run, the 4th from both.
+    old = "game_date is null or game_date <= date'2024-10-10'"
+    runs = players.withColumn("ingestion_date", F.expr(
+        f"case when {old} and not (game_date <=> date'2024-10-04' and id % 3 = 0) "
+        "then date'2024-10-11' else date'2024-11-01' end".replace("id % 3", "pts % 3")))
+    tables.append_to_table(runs, name, PLAYERS)
+    kept = players.filter(f"not ({old}) or game_date = date'2024-10-04'")
+    dates = players.filter(old).select("game_date").distinct().count()
+    assert tables.drop_expired(spark, name, PLAYERS, 30, "2024-11-12") == dates - 1
+    assert spark.table(name).count() == kept.count()
+    # The files are gone as well.
+    assert tables.read_table(spark, path, PLAYERS.contract).count() == kept.count()
+    assert tables.drop_expired(spark, name, PLAYERS, 30, "2024-11-12") == 0
     spark.sql(f"DROP TABLE {name}")
 
 
@@ -191,4 +203,78 @@ def test_game_table_columns(spark):
 
 def test_shuffle_width_follows_the_input():
     assert shuffle_partitions(0, 8) == 16
-    assert shuffle_partitions(100 * 10**12, 4000) == 745059
+    assert shuffle_partitions(10 * 10**9, 8) == 75
+    assert shuffle_partitions(10**12, 400) == 4096
+    for size in (10**9, 10**12, 100 * 10**12, 10**15):
+        maps, reducers = -(-size // partition_bytes(size)), shuffle_partitions(size, 4000)
+        assert maps * reducers <= 1.01e9
+    assert 3 * 10**9 < partition_bytes(100 * 10**12) < 4 * 10**9
+
+
+def test_a_job_fits_the_session_to_its_input(spark, tmp_path):
+    (tmp_path / "x.json").write_text("x" * 1000)
+    keys = ("spark.sql.files.maxPartitionBytes", "spark.sql.shuffle.partitions")
+    before = {k: spark.conf.get(k) for k in keys}
+    try:
+        assert fit_to_input(spark, str(tmp_path), str(tmp_path / "none")) == 1000
+        assert [spark.conf.get(k) for k in keys] == [str(128 << 20), "16"]
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
+SPELLED = [
+    '{"PLAYER_ID": 2544.0, "Pts": "30", "GAME_id": "g1", "fg_pct": "0.5", "MIN": 35.9}',
+    '{"player_id": "77", "PTS": NaN, "Game_ID": 22, "TOV": 1e3, "REB": "1e3", "MIN": "x"}',
+    '{"Player_ID": 5, "PTS": null, "AST": 3000000000, "STL": "3000000000", "other": {"a": 1}}',
+    '{"PTS": 1}', '{"broken', '', '[1]',
+]
+
+
+def test_records_keep_every_spelling_and_type(spark, tmp_path):
+    (tmp_path / "p.json").write_text("\n".join(SPELLED))
+    feed = jsonl.read_records(spark, str(tmp_path), PLAYERS)
+    got = {r["player_id"]: r for r in feed.transform(typed, PLAYERS).collect()}
+    assert set(got) == {2544, 77, 5}
+    assert (got[2544]["pts"], got[2544]["min"], got[2544]["fg_pct"]) == (30, 35, 0.5)
+    assert (got[2544]["game_id"], got[77]["game_id"]) == ("g1", "22")
+    # Numbers and texts have rules of their own: 1e3 counts as a number only.
+    assert (got[77]["pts"], got[77]["tov"], got[77]["reb"], got[77]["min"]) == (0, 1000, None, None)
+    assert (got[5]["pts"], got[5]["ast"], got[5]["stl"]) == (None, 2147483647, None)
+
+
+def test_rejects_do_not_depend_on_what_is_selected(spark, tmp_path):
+    (tmp_path / "p.json").write_text("\n".join(SPELLED))
+    out = jsonl.read_records(spark, str(tmp_path), PLAYERS).transform(rejects, PLAYERS)
+    got = sorted((r["rejected"], r["dropped"]) for r in out.collect())
+    assert got == [([], True), (["_corrupt_record"], True), (["_corrupt_record"], True),
+                   (["reb", "min"], False), (["stl"], False)]
+    assert out.count() == len(out.select("rejected").collect()) == len(got)
+    row = jsonl.read_records(spark, str(tmp_path), PLAYERS).transform(audit, PLAYERS).first()
+    assert row.asDict() == {"records_read": 6, "kept": 3, "dropped": 3, "duplicates": 0,
+                            "unreadable": 4}
+
+
+def test_two_spellings_in_one_record_are_an_error(spark, tmp_path):
+    (tmp_path / "p.json").write_text('{"PTS": 1, "pts": 2}')
+    with pytest.raises(Exception, match="DUPLICATED_MAP_KEY"):
+        jsonl.read_records(spark, str(tmp_path), PLAYERS).collect()
+
+
+def test_a_column_that_no_record_has_is_an_error(spark, tmp_path):
+    (tmp_path / "p.json").write_text("\n".join(SPELLED))
+    feed = jsonl.read_records(spark, str(tmp_path), PLAYERS)
+    seen = feed.agg(*jsonl.presence(PLAYERS)).first().asDict()
+    with pytest.raises(ValueError, match="matchup"):
+        jsonl.require_columns(seen, PLAYERS)
+    empty = feed.limit(0).agg(*jsonl.presence(PLAYERS)).first().asDict()
+    jsonl.require_columns(empty, PLAYERS)
+
+
+def test_a_write_gives_back_its_own_rows(spark, players):
+    path = scratch_path(spark, "marked")
+    for part in ("pts < 500", "pts >= 500"):
+        own = players.filter(part)
+        assert bag(tables.write_marked(own, path, PLAYERS)) == bag(own)
+    assert tables.read_table(spark, path, PLAYERS.contract).count() == 2000
+    assert tables.write_marked(players.limit(0), path, PLAYERS) is None
