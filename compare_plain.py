@@ -57,10 +57,10 @@ def main() -> None:
     })
     spark.sparkContext.setLogLevel("ERROR")
     raw = Zones(scratch_path(spark, "raw"), "league")
-    write_json_lines(standins.raw_games(spark, sf_dir, monthly=True).repartition(int(cpus)),
+    write_json_lines(standins.raw_games(spark, sf_dir).repartition(int(cpus)),
                      raw.raw(RUN_DATE, "games"))
     write_json_lines(
-        standins.raw_players(spark, sf_dir, monthly=True, named=True).repartition(int(cpus)),
+        standins.raw_players(spark, sf_dir, named=True).repartition(int(cpus)),
         raw.raw(RUN_DATE, "player_stats"))
     times = {"plain": [], "ours": []}
     files = {}

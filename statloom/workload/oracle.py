@@ -59,17 +59,15 @@ def _typed(spec: TableSpec, source: str, casts: bool = True) -> str:
 
 
 def _deduped(source: str, keys: tuple[str, ...] | list[str], columns: list[str]) -> str:
-    rest = ", ".join(f'"{c}" ASC NULLS FIRST' for c in columns if c not in keys)
+    others = [c for c in columns if c not in keys]
+    gaps = " + ".join(f'("{c}" IS NULL)::INT' for c in others)
+    rest = ", ".join([gaps, *(f'"{c}" ASC NULLS FIRST' for c in others)])
     return (f"SELECT * FROM ({source}) QUALIFY row_number() OVER "
             f"(PARTITION BY {', '.join(keys)} ORDER BY {rest}) = 1")
 
 
-def _stamped(spec: TableSpec, source: str, monthly: bool = False,
-             run_date: str = RUN_DATE) -> str:
+def _stamped(spec: TableSpec, source: str, run_date: str = RUN_DATE) -> str:
     columns = [f'"{n}"' for n in spec.contract.names if n != "ingestion_date"]
-    if monthly:
-        columns = ["cast(date_trunc('month', game_date) as date) AS game_date"
-                   if c == '"game_date"' else c for c in columns]
     return f"SELECT {', '.join(columns)}, DATE '{run_date}' AS ingestion_date FROM ({source})"
 
 
@@ -78,8 +76,7 @@ def _clean(spec: TableSpec, source: str, run_date: str = RUN_DATE) -> str:
     return _stamped(spec, _deduped(_typed(spec, source), spec.keys, columns), run_date=run_date)
 
 
-RAW_GAMES = _select(raw_game_columns(DUCKDB))
-MONTHLY_GAMES = _select(raw_game_columns(DUCKDB, monthly=True))
+RAW_GAMES = _select(raw_game_columns())
 NAMED_PLAYERS = _select([*raw_player_columns(DUCKDB), PLAYER_NAME])
 PLAYER_ROWS = _select(PLAYER_TABLE)
 GAME_ROWS = _select(GAME_TABLE)
@@ -103,7 +100,7 @@ PERFORMANCE = f"""
 SELECTED = "player_name IN (SELECT s_name FROM supplier WHERE s_acctbal > 0)"
 
 
-def _landed_players(monthly: bool) -> str:
+def _landed_players() -> str:
     filled = []
     for field in PLAYERS.raw.fields:
         name = f'"{field.name}"'
@@ -113,13 +110,22 @@ def _landed_players(monthly: bool) -> str:
             filled.append(f"coalesce({name}, '0') AS {name}")
         else:
             filled.append(f"CASE WHEN {name} IS NULL OR isnan({name}) THEN 0 ELSE {name} END AS {name}")
-    raw = _select(raw_player_columns(DUCKDB, monthly))
+    raw = _select(raw_player_columns(DUCKDB))
     return f"""
         SELECT {', '.join(filled)} FROM (
             SELECT r.*, coalesce(s.s_name, cast(r.Player_ID as varchar)) AS player_name
             FROM ({raw}) r
             LEFT JOIN (SELECT * FROM supplier WHERE s_acctbal > 1000) s ON s.s_suppkey = r.Player_ID
-            WHERE r.Player_ID IN (SELECT s_suppkey FROM supplier WHERE s_acctbal > 0))"""
+            WHERE r.SEASON_ID = '{SEASON}'
+              AND r.Player_ID IN (SELECT s_suppkey FROM supplier WHERE s_acctbal > 0))"""
+
+
+LANDED_GAMES = f"""
+    SELECT * FROM ({RAW_GAMES}) WHERE SEASON_ID = '{SEASON}' AND LEAGUE_ID = '{LEAGUE}'"""
+
+
+def _twice(source: str) -> str:
+    return f"SELECT * FROM ({source}) UNION ALL SELECT * FROM ({source})"
 
 
 def _tile_top(source: str) -> str:
@@ -142,12 +148,13 @@ ORACLE: dict[str, str] = {
     # Sources and sinks
     "json_roundtrip": """
         SELECT * REPLACE (cast(l_shipdate as date) AS l_shipdate) FROM lineitem""",
-    "parquet_partitioned_roundtrip": _stamped(GAMES, _typed(GAMES, RAW_GAMES), monthly=True),
-    "clustered_table_roundtrip": _stamped(PLAYERS, _typed(PLAYERS, NAMED_PLAYERS), monthly=True),
-    "table_contract": _stamped(GAMES, _typed(GAMES, RAW_GAMES), monthly=True),
+    "parquet_partitioned_roundtrip": _stamped(GAMES, _typed(GAMES, RAW_GAMES)),
+    "clustered_table_roundtrip": _stamped(PLAYERS, _typed(PLAYERS, NAMED_PLAYERS)),
+    "table_contract": _stamped(GAMES, _typed(GAMES, RAW_GAMES)),
     "expired_partitions": f"""
-        SELECT * FROM ({_stamped(GAMES, _typed(GAMES, RAW_GAMES), monthly=True)})
-        WHERE game_date IS NULL OR game_date >= DATE '{RUN_DATE}' - INTERVAL {EXPIRE_DAYS} DAY""",
+        SELECT * REPLACE (cast(game_date + INTERVAL 30 DAY as date) AS ingestion_date)
+        FROM ({_stamped(GAMES, _typed(GAMES, RAW_GAMES))})
+        WHERE game_date + INTERVAL 30 DAY >= DATE '{RUN_DATE}' - INTERVAL {EXPIRE_DAYS} DAY""",
     "append_batches": f"""
         {EVENT_DAYS.format('game_date')} UNION ALL {EVENT_DAYS.format('game_date')}""",
     "replace_batches": EVENT_DAYS.format("game_date"),
@@ -184,7 +191,8 @@ ORACLE: dict[str, str] = {
                case when o_orderpriority = '5-LOW' then '0' else o_orderpriority end
                    AS o_orderpriority
         FROM orders""",
-    "case_insensitive_columns": f"SELECT {LINE}, l_quantity * 2 AS l_quantity FROM lineitem",
+    "case_insensitive_columns": _typed(PLAYERS, NAMED_PLAYERS),
+    "read_any_spelling": _clean(PLAYERS, NAMED_PLAYERS),
     "widen_types": """
         SELECT l_orderkey, cast(l_linenumber as bigint) AS l_linenumber, l_partkey,
                cast(trunc(l_quantity) as bigint) AS l_quantity,
@@ -255,13 +263,30 @@ ORACLE: dict[str, str] = {
     "clean_players": _clean(PLAYERS, NAMED_PLAYERS),
     "rejected_records": f"""
         SELECT Player_ID AS player_id, Game_ID AS game_id, GAME_DATE AS game_date,
-               'game_date' AS rejected
-        FROM ({NAMED_PLAYERS}) WHERE GAME_DATE = 'bad'""",
-    "land_games": f"""
-        SELECT * FROM ({RAW_GAMES}) WHERE SEASON_ID = '{SEASON}' AND LEAGUE_ID = '{LEAGUE}'""",
-    "land_players": _landed_players(monthly=False),
+               Player_ID IS NULL AS dropped,
+               CASE WHEN GAME_DATE = 'bad' THEN 'game_date' ELSE '' END AS rejected
+        FROM ({NAMED_PLAYERS}) WHERE GAME_DATE = 'bad' OR Player_ID IS NULL""",
+    "audit_players": f"""
+        WITH broken AS (SELECT count(*) AS n FROM orders WHERE o_orderstatus = 'P'),
+        fed AS (SELECT count(*) AS n, count(*) FILTER (Player_ID IS NULL) AS keyless,
+                       count(DISTINCT (Player_ID, Game_ID)) FILTER (Player_ID IS NOT NULL) AS kept,
+                       count(*) FILTER (GAME_DATE = 'bad') AS bad
+                FROM ({NAMED_PLAYERS}))
+        SELECT fed.n + broken.n AS records_read, kept, keyless + broken.n AS dropped,
+               fed.n - keyless - kept AS duplicates, bad + broken.n AS unreadable
+        FROM fed, broken""",
+    "land_games": LANDED_GAMES,
+    "land_players": _landed_players(),
     "stream_games": " UNION ALL ".join(
-        _clean(GAMES, f"SELECT * FROM ({MONTHLY_GAMES}) WHERE MATCHUP LIKE '%{outcome}'", run_date)
+        _clean(GAMES, f"SELECT * FROM ({RAW_GAMES}) WHERE MATCHUP LIKE '%{outcome}'", run_date)
         for run_date, outcome in STREAM_RUNS.items()),
-    "end_to_end": _top_scorers(_clean(PLAYERS, _landed_players(monthly=True))),
+    "end_to_end": _top_scorers(_clean(PLAYERS, _landed_players())),
+    "stored_players": _twice(_clean(PLAYERS, _landed_players())),
+    "stored_games": _twice(_clean(GAMES, LANDED_GAMES)),
+    "health_check_today": """
+        SELECT ingestion_date, count(*) AS records_ingested FROM (
+            SELECT cast(cast(now() AT TIME ZONE 'UTC' as date) - (event_id % 14)::INT as date)
+                AS ingestion_date FROM events)
+        WHERE ingestion_date >= cast(now() AT TIME ZONE 'UTC' as date) - 7
+        GROUP BY ingestion_date""",
 }

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 from statloom.functions.dates import month_bucket, round_half_up
 from statloom.operators import columns, joins, reports, rows
 from statloom.plans import pipeline
-from statloom.plans.clean import clean, rejects, typed
+from statloom.plans.clean import audit, clean, rejects, typed
 from statloom.plans.land import land_games, land_players
 from statloom.schemas import GAMES, PLAYERS, TableSpec
 from statloom.session import scratch_path
@@ -26,6 +27,7 @@ FIRST, LAST = "1997-10-01", "1998-04-13"
 SEASON = "21998"
 LEAGUE = "00"
 EXPIRE_DAYS = 9500
+EARLY_RUN = "1992-01-01"
 EVENTS_AS_OF = "2024-01-30"
 RETAIN_AS_OF = "2024-02-14"
 STREAM_RUNS = {"2025-04-12": "O", "2025-04-13": "F"}
@@ -44,10 +46,9 @@ def query(name: str) -> Callable[[Query], Query]:
 
 
 def _stamped(df: DataFrame, spec: TableSpec) -> DataFrame:
-    """Contract rows for the sinks, one date per month."""
+    """Contract rows for the sinks."""
     return (
         df.transform(typed, spec)
-        .withColumn("game_date", month_bucket(F.col("game_date")))
         .transform(columns.stamp, RUN_DATE)
         .transform(columns.project, spec.contract)
     )
@@ -101,9 +102,12 @@ def expired_partitions(spark, sf_dir):
     name = "expiring_" + path[-32:]
     tables.create_table(spark, name, GAMES, path)
     df = standins.raw_games(spark, sf_dir).transform(_stamped, GAMES)
-    tables.append_to_table(df, name, GAMES)
-    tables.drop_expired(spark, name, "game_date", EXPIRE_DAYS, RUN_DATE)
-    return spark.table(name).transform(columns.project, GAMES.contract)
+    # Every game is known from a run a month after it; undated ones from an early run.
+    runs = F.coalesce(F.date_add("game_date", 30), F.lit(date.fromisoformat(EARLY_RUN)))
+    tables.append_to_table(df.withColumn("ingestion_date", runs), name, GAMES)
+    tables.drop_expired(spark, name, GAMES, EXPIRE_DAYS, RUN_DATE)
+    # Read by path: the files are gone, not just their catalog entries.
+    return tables.read_table(spark, path, GAMES.contract)
 
 
 @query("append_batches")
@@ -210,12 +214,30 @@ def fill_missing(spark, sf_dir):
 
 @query("case_insensitive_columns")
 def case_insensitive_columns(spark, sf_dir):
-    df = table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_linenumber", "l_partkey", "l_quantity")
-    return (
-        df.withColumn("l_quantity", F.col("L_QUANTITY") * 2)
-        .filter(F.col("L_LineNumber").isNotNull())
-    )
+    """A feed whose keys are all in another case than the contract's, read as records."""
+    path = scratch_path(spark, "cases")
+    raw = standins.raw_players(spark, sf_dir, named=True)
+    jsonl.write_json_lines(raw.toDF(*[c.swapcase() for c in raw.columns]), path)
+    return jsonl.read_records(spark, path, PLAYERS).transform(typed, PLAYERS)
+
+
+@query("read_any_spelling")
+def read_any_spelling(spark, sf_dir):
+    """The players feed in three spellings of its keys, ids as decimal and as text, points as text."""
+    raw = standins.raw_players(spark, sf_dir, named=True)
+    part = F.pmod(F.xxhash64("Game_ID", "Player_ID"), F.lit(3))
+    spellings = [
+        (str.upper, {"Player_ID": F.col("Player_ID").cast("decimal(20,1)")}),
+        (str.lower, {"Player_ID": F.col("Player_ID").cast("string")}),
+        (str.title, {"PTS": F.when(~F.isnan("PTS"), F.col("PTS").cast("decimal(9,2)")
+                                   .cast("string")).otherwise(
+                         F.when(F.col("PTS").isNotNull(), "0"))}),
+    ]
+    paths = [scratch_path(spark, "spelled") for _ in spellings]
+    for i, (path, (spell, other)) in enumerate(zip(paths, spellings)):
+        own = raw.filter(part == i).withColumns(other)
+        jsonl.write_json_lines(own.toDF(*map(spell, own.columns)), path)
+    return jsonl.read_records(spark, paths, PLAYERS).transform(clean, PLAYERS, RUN_DATE)
 
 
 @query("widen_types")
@@ -413,7 +435,8 @@ def clean_players(spark, sf_dir):
 def rejected_records(spark, sf_dir):
     return (
         standins.raw_players(spark, sf_dir, named=True).transform(rejects, PLAYERS)
-        .select("player_id", "game_id", "game_date", F.concat_ws(",", "rejected").alias("rejected"))
+        .select("player_id", "game_id", "game_date", "dropped",
+                F.concat_ws(",", "rejected").alias("rejected"))
     )
 
 
@@ -432,36 +455,86 @@ def _chosen(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("land_players")
 def land_chosen_players(spark, sf_dir):
     path = scratch_path(spark, "players")
-    land_players(standins.raw_players(spark, sf_dir), path, _chosen(spark, sf_dir),
+    land_players(standins.raw_players(spark, sf_dir), path, SEASON, _chosen(spark, sf_dir),
                  standins.dimension(spark, sf_dir))
     return jsonl.read_json_lines(spark, path, PLAYERS.raw)
 
 
-@query("stream_games")
-def stream_games(spark, sf_dir):
-    """Two run dates landed as files and picked up by the stream."""
-    zones = Zones(scratch_path(spark, "stream"), "league")
-    raw = standins.raw_games(spark, sf_dir, monthly=True)
-    for run_date, outcome in STREAM_RUNS.items():
-        jsonl.write_json_lines(raw.filter(F.col("MATCHUP").endswith(outcome)),
-                               zones.raw(run_date, "games"))
-    stream_table(spark, GAMES, "games", zones, scratch_path(spark, "state")).awaitTermination()
-    return tables.read_table(spark, zones.warehouse(GAMES.name), GAMES.contract)
+@query("audit_players")
+def audit_players(spark, sf_dir):
+    """What became of every record; broken lines among them."""
+    path = scratch_path(spark, "audited")
+    jsonl.write_json_lines(standins.raw_players(spark, sf_dir, named=True), path)
+    broken = table(spark, sf_dir, "orders").filter("o_orderstatus = 'P'").selectExpr(
+        "'{\"Player_ID\": ' || o_orderkey AS value")
+    broken.write.mode("append").text(path)
+    return jsonl.read_records(spark, path, PLAYERS).transform(audit, PLAYERS)
 
 
-@query("end_to_end")
-def end_to_end(spark, sf_dir):
-    """Land, clean, store and report; dates are rolled to months to match the small tables."""
-    views = pipeline.run(
+def _league(spark: SparkSession) -> Zones:
+    """Zones and a catalog database that no other query uses."""
+    return Zones(scratch_path(spark, "zones"), "league")
+
+
+@query("stream_games")
+def stream_games(spark, sf_dir):
+    """Two run dates that arrive in two steps; what arrives later repeats what was there."""
+    zones = _league(spark)
+    raw, state = standins.raw_games(spark, sf_dir), scratch_path(spark, "state")
+    for part in ("TEAM_ID <= 4", "true"):
+        for run_date, outcome in STREAM_RUNS.items():
+            own = raw.filter(F.col("MATCHUP").endswith(outcome)).filter(part)
+            own.write.mode("append").option("ignoreNullFields", "false").json(
+                zones.raw(run_date, "games"))
+        stream_table(spark, GAMES, "games", zones, state).awaitTermination()
+    return pipeline.warehouse_tables(spark, zones)[GAMES.name]
+
+
+def _whole_job(spark: SparkSession, sf_dir: str) -> Zones:
+    zones = _league(spark)
+    pipeline.run(
         spark,
-        raw_games=standins.raw_games(spark, sf_dir, monthly=True),
-        raw_players=standins.raw_players(spark, sf_dir, monthly=True),
+        raw_games=standins.raw_games(spark, sf_dir),
+        raw_players=standins.raw_players(spark, sf_dir),
         dimension=standins.dimension(spark, sf_dir),
         entities=_chosen(spark, sf_dir),
         season=SEASON,
-        zones=Zones(scratch_path(spark, "zones"), "league"),
+        league=LEAGUE,
+        zones=zones,
         run_date=RUN_DATE,
         since=SINCE,
         as_of=RUN_DATE,
     )
-    return views["top_scorers"]
+    return zones
+
+
+@query("end_to_end")
+def end_to_end(spark, sf_dir):
+    """Land, clean, store and report; the view is read by name in another session."""
+    zones = _whole_job(spark, sf_dir)
+    return spark.newSession().sql(f"SELECT * FROM {zones.table('top_scorers')}")
+
+
+@query("stored_players")
+def stored_players(spark, sf_dir):
+    """All stored columns of the players, from both sinks: a row counts once for each."""
+    zones = _whole_job(spark, sf_dir)
+    processed = tables.read_table(
+        spark, zones.processed(RUN_DATE, "player_stats"), PLAYERS.contract)
+    return processed.unionByName(pipeline.warehouse_tables(spark, zones)[PLAYERS.name])
+
+
+@query("stored_games")
+def stored_games(spark, sf_dir):
+    """All stored columns of the games, from both sinks."""
+    zones = _whole_job(spark, sf_dir)
+    processed = tables.read_table(spark, zones.processed(RUN_DATE, "games"), GAMES.contract)
+    return processed.unionByName(pipeline.warehouse_tables(spark, zones)[GAMES.name])
+
+
+@query("health_check_today")
+def health_check_today(spark, sf_dir):
+    """The health check against the current date."""
+    return table(spark, sf_dir, "events").select(
+        F.date_sub(F.current_date(), F.pmod("event_id", F.lit(14)).cast("int"))
+        .alias("ingestion_date")).transform(reports.pipeline_health)

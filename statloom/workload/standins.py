@@ -15,12 +15,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 @dataclass(frozen=True)
 class Dialect:
-    month: str
     long_date: str
 
 
-SPARK = Dialect("trunc({0}, 'MM')", "upper(date_format({0}, 'MMM dd, yyyy'))")
-DUCKDB = Dialect("cast(date_trunc('month', {0}) as date)", "upper(strftime({0}, '%b %d, %Y'))")
+SPARK = Dialect("upper(date_format({0}, 'MMM dd, yyyy'))")
+DUCKDB = Dialect("upper(strftime({0}, '%b %d, %Y'))")
 
 _DAY = "cast(l_shipdate as date)"
 _SEASON = "'2' || cast(year(l_shipdate) as string)"
@@ -54,17 +53,12 @@ def _aliased(columns: dict[str, str]) -> list[str]:
     return [f"{expr} AS {name}" for name, expr in columns.items()]
 
 
-def _game_day(dialect: Dialect, monthly: bool) -> str:
-    return dialect.month.format(_DAY) if monthly else _DAY
-
-
 def _some_bad(text: str) -> str:
     return f"case when l_linenumber = 3 and l_tax = 0.0 then 'bad' else {text} end"
 
 
-def raw_game_columns(dialect: Dialect, monthly: bool = False) -> list[str]:
+def raw_game_columns() -> list[str]:
     """The games feed; some keys, dates, points and outcomes are missing or unreadable."""
-    day = _game_day(dialect, monthly)
     return _aliased({
         "SEASON_ID": _SEASON,
         "LEAGUE_ID": "case when l_returnflag = 'N' then '00' else '10' end",
@@ -72,7 +66,7 @@ def raw_game_columns(dialect: Dialect, monthly: bool = False) -> list[str]:
         "TEAM_ABBREVIATION": "l_returnflag",
         "TEAM_NAME": "'Team ' || l_returnflag",
         "GAME_ID": "lpad(cast(nullif(l_orderkey, l_partkey) as string), 10, '0')",
-        "GAME_DATE": _some_bad(f"cast({day} as string)"),
+        "GAME_DATE": _some_bad(f"cast({_DAY} as string)"),
         "MATCHUP": "l_returnflag || ' vs. ' || l_linestatus",
         "WL": _OUTCOME,
         "PTS": "case when l_tax < 0.08 then l_quantity end",
@@ -80,14 +74,13 @@ def raw_game_columns(dialect: Dialect, monthly: bool = False) -> list[str]:
     })
 
 
-def raw_player_columns(dialect: Dialect, monthly: bool = False) -> list[str]:
+def raw_player_columns(dialect: Dialect) -> list[str]:
     """The players feed before names are added; points hold NaN, some keys are null."""
-    day = _game_day(dialect, monthly)
     return _aliased({
         "SEASON_ID": _SEASON,
         "Player_ID": "nullif(l_suppkey, 7)",
         "Game_ID": "lpad(cast(l_orderkey as string), 10, '0')",
-        "GAME_DATE": _some_bad(dialect.long_date.format(day)),
+        "GAME_DATE": _some_bad(dialect.long_date.format(_DAY)),
         "MATCHUP": "l_returnflag || ' vs. ' || l_linestatus",
         "WL": _OUTCOME,
         "PTS": "case when l_tax < 0.08 then l_quantity else cast('NaN' as double) end",
@@ -123,13 +116,12 @@ def lineitem(spark: SparkSession, sf_dir: str, columns: list[str]) -> DataFrame:
     return table(spark, sf_dir, "lineitem").selectExpr(*columns)
 
 
-def raw_games(spark: SparkSession, sf_dir: str, monthly: bool = False) -> DataFrame:
-    return lineitem(spark, sf_dir, raw_game_columns(SPARK, monthly))
+def raw_games(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lineitem(spark, sf_dir, raw_game_columns())
 
 
-def raw_players(spark: SparkSession, sf_dir: str, monthly: bool = False,
-                named: bool = False) -> DataFrame:
-    columns = raw_player_columns(SPARK, monthly)
+def raw_players(spark: SparkSession, sf_dir: str, named: bool = False) -> DataFrame:
+    columns = raw_player_columns(SPARK)
     return lineitem(spark, sf_dir, [*columns, PLAYER_NAME] if named else columns)
 
 
