@@ -20,6 +20,7 @@ no rows.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -30,11 +31,15 @@ from pyspark.sql import functions as F
 from statloom.llm.packing import encoder
 from statloom.llm.tables import settled, shipped
 from statloom.session import scratch_path
+from statloom.sources import files
 
 #: As bytes C4 80, which is the letter Ā in UTF-8.
 END, END_LETTER = 0xC480, "Ā"
 HEADER, HEADER_BITS = 5, 13
-FILE_DOCUMENTS = 20_000
+FILE_DOCUMENTS = 4_000
+#: Flat files are scratch: documents are written, scanned and removed in so many slices, so that a
+#: part of the corpus lies there at a time.
+SLICES = 2
 BLOCK_TOKENS = 1 << 18
 
 _BLOCK = ("file string, block long, n_ends long, first_end long, last_end long, head array<int>, "
@@ -115,8 +120,8 @@ def scan_blocks(spark: SparkSession, path: str, block_tokens: int = BLOCK_TOKENS
                     yield pa.RecordBatch.from_arrays(
                         [pa.array([found[n]], k) for n, k in zip(names, kinds)], names=names)
 
-    files = spark.read.format("binaryFile").load(path).where("length > 0")
-    return files.select(F.element_at(F.split("path", "/"), -1).alias("file"), "content").mapInArrow(
+    flat = spark.read.format("binaryFile").load(path).where("length > 0")
+    return flat.select(F.element_at(F.split("path", "/"), -1).alias("file"), "content").mapInArrow(
         run, _BLOCK)
 
 
@@ -164,6 +169,11 @@ def token_counts(docs: DataFrame, vocabulary: str | None = None,
     """Write the documents as flat files and scan them: file, number, doc_id, start, n_tokens."""
     spark = docs.sparkSession
     shipped(spark)
-    path = scratch_path(spark, "flat")
-    write_flat(docs, path, vocabulary)
-    return stitched(settled(scan_blocks(spark, path, block_tokens), "blocks"))
+    slice_of = F.pmod(F.xxhash64("doc_id", "text"), F.lit(SLICES))
+    found = []
+    for i in range(SLICES):
+        path = scratch_path(spark, "flat")
+        write_flat(docs.where(slice_of == i), path, vocabulary)
+        found.append(settled(scan_blocks(spark, path, block_tokens), "blocks"))
+        files.delete(spark, path)
+    return stitched(reduce(DataFrame.unionByName, found))
