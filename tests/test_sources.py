@@ -114,13 +114,13 @@ def test_date_filter_prunes_partitions_and_columns(spark, players):
 
 
 def test_cluster_layout_splits_a_hot_date_along_the_cluster(spark, players):
-    parts = (
-        tables.cluster_layout(players.repartition(8), PLAYERS)
-        .withColumn("p", F.spark_partition_id())
-    )
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     spark.conf.set("spark.sql.shuffle.partitions", "16")
     try:
+        parts = (
+            tables.cluster_layout(players.repartition(8), PLAYERS)
+            .withColumn("p", F.spark_partition_id())
+        )
         got = parts.groupBy("p").agg(
             F.count("*").alias("n"), F.countDistinct("player_id").alias("ids"),
             F.countDistinct("game_date").alias("dates")).collect()
