@@ -45,7 +45,7 @@ SENTENCE_CUT, HARD_CUT, WINDOW = 4, 24, 32
 HARD_EVERY = 32
 BLOCK_TOKENS = 1 << 20
 #: Entries of the table from pieces to tokens, which is emptied when full; texts at a time.
-KNOWN_PIECES = 1_500_000
+KNOWN_PIECES = 1_000_000
 PIECE_BYTES = 1 << 20
 
 _PIECE = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long, "

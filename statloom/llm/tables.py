@@ -16,11 +16,20 @@ from statloom.session import scratch_path
 #: A word in SQL regular expressions.
 WORD = r"[^\x20\x09-\x0D]+"
 
+BATCH_ROWS = 2000
+
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
 _SHIPPED: set[str] = set()
 
 
 def shipped(spark: SparkSession) -> None:
-    """Send this package to the executors once, unless their Python path has it already."""
+    """Send this package to the executors once, unless their Python path has it already.
+
+    Texts are long rows: if the session has Spark's own number of rows for a batch that goes to
+    Python, fewer are sent at a time.
+    """
+    if spark.conf.get(_BATCH) == "10000":
+        spark.conf.set(_BATCH, str(BATCH_ROWS))
     context = spark.sparkContext
     root = Path(statloom.__file__).resolve().parent.parent
     known = [p for p in os.environ.get("PYTHONPATH", "").split(os.pathsep) if p]

@@ -41,8 +41,9 @@ def blocks(column: pa.Array, limit: int = BLOCK_BYTES) -> Iterator[Block]:
     """The column's texts in order, cut between texts into blocks of about `limit` bytes."""
     if not len(column):
         return
-    column = column.cast(pa.large_string())
-    offsets = np.frombuffer(column.buffers()[1], dtype=np.int64)[column.offset:][:len(column) + 1]
+    wide = pa.types.is_large_string(column.type)
+    offsets = np.frombuffer(column.buffers()[1], dtype=np.int64 if wide else np.int32)
+    offsets = offsets[column.offset:][:len(column) + 1].astype(np.int64)
     raw = column.buffers()[2]
     data = np.frombuffer(raw, dtype=np.uint8) if raw is not None else np.zeros(0, np.uint8)
     at = 0

@@ -29,7 +29,7 @@ def encoders():
     return packing.encoder(VOCABULARY), packing.Encoder(VOCABULARY, 3)
 
 
-@settings(max_examples=600, deadline=None)
+@settings(max_examples=200, deadline=None)
 @given(st.lists(st.lists(st.sampled_from(PIECES), max_size=12).map("".join), max_size=5))
 def test_ids_are_the_tokenizers(encoders, texts):
     plain = Tokenizer.from_file(VOCABULARY)
