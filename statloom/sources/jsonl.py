@@ -44,7 +44,9 @@ def records(lines: DataFrame, spec: TableSpec, *kept: str) -> DataFrame:
     parsed = F.transform_keys(F.from_json("value", "map<string,variant>"), lambda k, _: F.lower(k))
     names = [n for n in spec.contract.names if n != STAMP]
     return (
-        lines.filter(F.trim("value") != "").select("value", parsed.alias("_record"), *kept)
+        lines.filter(F.trim("value") != "")
+        # Exploding a list of one keeps the optimizer from parsing the line anew for each column.
+        .select("value", F.explode(F.array(parsed)).alias("_record"), *kept)
         .select(*(F.col("_record")[n].alias(n) for n in names),
                 F.when(F.col("_record").isNull(), F.col("value")).alias(CORRUPT), *kept)
     )
