@@ -1,13 +1,14 @@
 """Information-theoretic sanitisation of personal data.
 
-Entities are what fixed patterns find: e-mail and IP addresses, card and phone numbers. A term near
-an entity may give it away as well: what it tells about the entity is their pointwise mutual information,
+Entities are what fixed patterns find: e-mail and IP addresses, card and phone numbers. A term of a
+text with an entity may give it away as well: what it tells about the entity is their pointwise mutual information,
 estimated from co-occurrence over the whole corpus, and it tells all when that equals the entity's
 information content. Terms beyond a share of it are disclosed: beyond REMOVE they are removed, beyond
 GENERALISE replaced by a general word, wherever they occur in a text that holds the entity.
 
-Counts are over documents: N, those with the term, those with the entity, those with the term within
-WINDOW terms of the entity. A pair counts once it is seen in MIN_TEXTS different texts; copies of one
+Counts are over documents: N, those with the term, those with the entity, those with both, however
+far apart. The work on a text is its entities times its terms, for entities in MIN_TEXTS texts; no
+others can have a pair that counts. A pair counts once it is seen in MIN_TEXTS different texts; copies of one
 text are one piece of evidence. Terms are runs of letters and digits, A-Z lower-cased; those
 without a letter or shorter than three bytes are left out.
 
@@ -38,6 +39,7 @@ _IP = re.compile(r"[0-9]+(?:\.[0-9]+)(?:\.[0-9]+)(?:\.[0-9]+)")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 
+#: Only the tests' plain counts look at so many terms around an entity; the operator has no window.
 WINDOW = 5
 MIN_TEXTS = 3
 #: Shares of the entity's information.
@@ -52,8 +54,8 @@ _LETTER = _TERM.copy()
 _LETTER[ord("0"):ord("9") + 1] = False
 
 _SPAN = "start int, kind int, end int"
-_FOUND = (f"doc_id long, text_key long, base array<struct<{_SPAN}>>, "
-          "near array<struct<entity long, term long, places array<struct<start int, end int>>>>")
+_FOUND = (f"doc_id long, text_key long, base array<struct<{_SPAN}>>, entities array<long>, "
+          "text string")
 
 
 def _luhn(digits: str) -> bool:
@@ -112,35 +114,23 @@ def _entity_key(kind: int, value: str) -> int:
     return int(words.ranges(np.array([0]), np.array([len(raw)])).view(np.int64)[0])
 
 
-def near_terms(text: str, base: list[tuple[int, int, int]], window: int = WINDOW) -> list[dict]:
-    """For each entity and term within `window` terms of it: keys, and all places of the term."""
+def told_spans(text: str, base: list[dict], told: list[dict]) -> list[dict]:
+    """Spans of the told terms, at all their places in the text that touch no base span."""
     raw = np.frombuffer(text.encode(), np.uint8)
     words = _term_words(Block(0, raw, np.array([len(raw)])))
     points = np.concatenate([[0], np.cumsum((raw & 0xC0) != 0x80)])
-    start, end = points[words.begin], points[words.end]
+    kinds = {t["term"]: t["kind"] for t in told}
+    terms = words.hashes().view(np.int64)
     taken = np.zeros(len(text) + 1, dtype=np.int32)
-    for s, _, e in base:
-        taken[s] += 1
-        taken[e] -= 1
+    for span in base:
+        taken[span["start"]] += 1
+        taken[span["end"]] -= 1
     covered = np.concatenate([[0], np.cumsum(np.cumsum(taken[:-1]) > 0)])
-    # Terms that touch no entity.
-    usable = _usable(words) & (covered[end] == covered[start])
-    keys = words.hashes().view(np.int64)[usable]
-    start, end = start[usable], end[usable]
-    order = np.argsort(keys, kind="stable")
-    pairs: dict[tuple[int, int], None] = {}
-    for s, kind, e in base:
-        entity = _entity_key(kind, text[s:e])
-        a, b = np.searchsorted(start, [s, e])
-        for term in {*keys[max(0, a - window):a].tolist(), *keys[b:b + window].tolist()}:
-            pairs[entity, term] = None
     out = []
-    for entity, term in pairs:
-        a, b = np.searchsorted(keys, [term, term + 1] if term < (1 << 63) - 1 else [term, term],
-                               sorter=order)
-        at = order[a:b]
-        out.append({"entity": entity, "term": term, "places": [
-            {"start": int(start[i]), "end": int(end[i])} for i in at]})
+    for i in np.flatnonzero(np.isin(terms, np.array(list(kinds), np.int64))):
+        start, end = int(points[words.begin[i]]), int(points[words.end[i]])
+        if covered[end] == covered[start]:
+            out.append({"start": start, "kind": kinds[int(terms[i])], "end": end})
     return out
 
 
@@ -149,10 +139,9 @@ _HAS_DIGIT_OR_AT[[*b"0123456789@"]] = True
 
 
 def find(docs: DataFrame) -> DataFrame:
-    """doc_id, text_key (a hash of the text), base spans, and terms near entities with their places."""
+    """doc_id, text_key (a hash of the text), base spans, and of rows that have some the entities
+    and the text."""
     span = pa.struct([(c, pa.int32()) for c in ("start", "kind", "end")])
-    place = pa.struct([(c, pa.int32()) for c in ("start", "end")])
-    pair = pa.struct([("entity", pa.int64()), ("term", pa.int64()), ("places", pa.list_(place))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -160,21 +149,51 @@ def find(docs: DataFrame) -> DataFrame:
                 part = batch.slice(block.first, len(block))
                 hits = np.concatenate([[0], np.cumsum(_HAS_DIGIT_OR_AT[block.data])])
                 maybe = hits[block.ends] > hits[block.starts]
-                base, near = [[] for _ in range(len(block))], [[] for _ in range(len(block))]
+                base, entities = [[] for _ in range(len(block))], [[] for _ in range(len(block))]
+                texts = [None] * len(block)
                 for i in np.flatnonzero(maybe):
                     text = block.data[block.starts[i]:block.ends[i]].tobytes().decode()
                     if spans := base_spans(text):
                         base[i] = [{"start": s, "kind": k, "end": e} for s, k, e in spans]
-                        near[i] = near_terms(text, spans)
+                        entities[i] = list({_entity_key(k, text[s:e]) for s, k, e in spans})
+                        texts[i] = text
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), part.column(1), pa.array(base, pa.list_(span)),
-                     pa.array(near, pa.list_(pair))],
-                    names=["doc_id", "text_key", "base", "near"])
+                     pa.array(entities, pa.list_(pa.int64())), pa.array(texts, pa.string())],
+                    names=["doc_id", "text_key", "base", "entities", "text"])
 
     return docs.select("doc_id", F.xxhash64("text").alias("text_key"), "text").mapInArrow(
         run, _FOUND)
 
 
+def free_terms(texts: DataFrame) -> DataFrame:
+    """text_key and each distinct term that has a place touching no base span, of text_key, base and
+    text."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys = batch.column(0).to_numpy()
+            bases = batch.column(1).to_pylist()
+            for block in blocks(batch.column(2)):
+                words = _term_words(block)
+                points = np.concatenate([[0], np.cumsum((block.data & 0xC0) != 0x80)])
+                taken = np.zeros(points[-1] + 1, dtype=np.int32)
+                for i in range(len(block)):
+                    for span in bases[block.first + i]:
+                        taken[points[block.starts[i]] + span["start"]] += 1
+                        taken[points[block.starts[i]] + span["end"]] -= 1
+                covered = np.concatenate([[0], np.cumsum(np.cumsum(taken[:-1]) > 0)])
+                free = _usable(words) & (covered[points[words.end]] == covered[points[words.begin]])
+                hashes = words.hashes()[free]
+                owner = np.repeat(np.arange(len(block)), words.counts)[free]
+                _, first = np.unique(hashes + mix(owner.astype(np.uint64)), return_index=True)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(keys[block.first + owner[first]]),
+                     pa.array(hashes[first].view(np.int64))], names=["text_key", "term"])
+
+    return texts.select("text_key", "base", "text").mapInArrow(run, "text_key long, term long")
+
+
 def term_documents(docs: DataFrame) -> DataFrame:
     """term and n_term: in how many documents each term occurs. Summed per block before the shuffle."""
 
@@ -199,53 +218,61 @@ def term_documents(docs: DataFrame) -> DataFrame:
 
 
 def disclosing(found: DataFrame, docs: DataFrame) -> DataFrame:
-    """entity, term and kind (a number of KINDS) of the terms that give an entity away."""
-    near = found.where(F.size("near") > 0).select("text_key", F.explode("near").alias("p")).select(
-        "text_key", "p.entity", "p.term")
+    """text_key, and told: term and kind (a number of KINDS) of what gives away an entity of the text."""
+    holding = found.where(F.size("entities") > 0)
     # Counted per text first: a hot group of copies is one row from here on.
-    by_text = near.groupBy("entity", "term", "text_key").agg(F.count("*").alias("n"))
-    pairs = by_text.groupBy("entity", "term").agg(
+    by_text = holding.select("text_key", F.explode("entities").alias("entity")).groupBy(
+        "entity", "text_key").agg(F.count("*").alias("n"))
+    several = by_text.groupBy("entity").agg(F.count("*").alias("texts")).where(
+        F.col("texts") >= MIN_TEXTS)
+    often = settled(by_text.join(several, "entity", "left_semi"), "often")
+    texts = holding.groupBy("text_key").agg(
+        F.first("base").alias("base"), F.first("text").alias("text")).join(
+        often.select("text_key").distinct(), "text_key", "left_semi")
+    pairs = free_terms(texts).join(often, "text_key").groupBy("entity", "term").agg(
         F.sum("n").alias("n_both"), F.count("*").alias("texts")).where(F.col("texts") >= MIN_TEXTS)
-    entities = (
-        found.where(F.size("near") > 0)
-        .select(F.explode(F.array_distinct(F.transform("near", lambda p: p["entity"])))
-                .alias("entity"))
-        .groupBy("entity").agg(F.count("*").alias("n_entity")))
+    n_entity = often.groupBy("entity").agg(F.sum("n").alias("n_entity"))
     total = docs.agg(F.count("*").alias("n")).scalar()
     share = F.log2(F.col("n_both") * total / (F.col("n_entity") * F.col("n_term"))) \
         / F.log2(total / F.col("n_entity"))
-    return (
-        pairs.join(entities, "entity").join(term_documents(docs), "term")
+    told = (
+        pairs.join(n_entity, "entity").join(term_documents(docs), "term")
         .withColumn("share", F.when(total > F.col("n_entity"), share))
         .select("entity", "term",
                 F.when(F.col("share") >= REMOVE, KINDS.index("term"))
                 .when(F.col("share") >= GENERALISE, KINDS.index("generalised")).alias("kind"))
         .where("kind IS NOT NULL")
     )
+    return (
+        often.join(told, "entity")
+        # A term that gives several entities away is removed if it must be for one of them.
+        .groupBy("text_key", "term").agg(F.min("kind").alias("kind"))
+        .groupBy("text_key").agg(F.collect_list(F.struct("term", "kind")).alias("told"))
+    )
 
 
 def spans_of(docs: DataFrame) -> DataFrame:
     """doc_id, text_key, base and spans (both arrays of start, kind, end) for each row."""
     found = settled(find(docs), "found")
-    told = disclosing(found, docs)
-    added = (
-        found.where(F.size("near") > 0)
-        .select("doc_id", "text_key", F.explode("near").alias("p"))
-        .select("doc_id", "text_key", "p.entity", "p.term", "p.places")
-        .join(told, ["entity", "term"])
-        .select("doc_id", "text_key", "kind", F.explode("places").alias("at"))
-        # A term that gives several entities away is removed if it must be for one of them.
-        .groupBy(F.col("doc_id").alias("of"), F.col("text_key").alias("of_text"), "at")
-        .agg(F.min("kind").alias("kind"))
-        .groupBy("of", "of_text").agg(F.collect_list(F.struct(
-            F.col("at.start").alias("start"), "kind", F.col("at.end").alias("end")))
-            .alias("added"))
-    )
-    same = F.col("doc_id").eqNullSafe(F.col("of")) & (F.col("text_key") == F.col("of_text"))
-    return found.join(added, same, "left").select(
-        "doc_id", "text_key", "base",
-        F.array_sort(F.concat("base", F.coalesce("added", F.array().cast(
-            f"array<struct<{_SPAN}>>")))).alias("spans"))
+    joined = found.where(F.size("entities") > 0).join(disclosing(found, docs), "text_key", "left")
+    span = pa.struct([(c, pa.int32()) for c in ("start", "kind", "end")])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            base, told = batch.column(2).to_pylist(), batch.column(4).to_pylist()
+            added = [told_spans(batch.column(3)[i].as_py(), base[i], t) if t else []
+                     for i, t in enumerate(told)]
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns[:3], pa.array(added, pa.list_(span))],
+                names=["doc_id", "text_key", "base", "added"])
+
+    marked = joined.select("doc_id", "text_key", "base", "text", "told").mapInArrow(
+        run, f"doc_id long, text_key long, base array<struct<{_SPAN}>>, "
+             f"added array<struct<{_SPAN}>>")
+    return marked.select(
+        "doc_id", "text_key", "base", F.array_sort(F.concat("base", "added")).alias("spans")
+    ).unionByName(found.where(F.size("entities") == 0).select(
+        "doc_id", "text_key", "base", F.col("base").alias("spans")))
 
 
 def written(spans: str) -> Column:

@@ -139,6 +139,27 @@ def test_disclosing_terms(documents):
     assert "term" not in got[1000] and "term" not in got[3]
 
 
+def test_terms_far_from_the_entity(documents):
+    """A name that stands first in every text whose last word is the address."""
+    rng = random.Random(7)
+    filler = lambda n: " ".join(f"w{rng.randint(0, 300):03d}x" for _ in range(n))
+    rows = [(i, filler(40)) for i in range(400)]
+    rows += [(400 + i, f"Dear Zebulon {filler(30 + i)} zeb@mail.example.com") for i in range(8)]
+    rows += [(500, "Dear " + filler(30))]
+    got = {r.doc_id: r.spans for r in sanitise.report(documents(rows)).collect()}
+    assert all("term:5:12" in got[400 + i].split(",") for i in range(8))
+    assert got[0] == got[500] == ""
+
+
+def test_judged_term_far_away_in_one_text(documents):
+    """Seen beside the address elsewhere, a name is removed at the far end of a text as well."""
+    rows = [(i, f"plain text {i}x nothing") for i in range(300)]
+    rows += [(300 + i, f"ask Zebulon zeb@mail.example.com v{i}v") for i in range(6)]
+    far = "zeb@mail.example.com " + " ".join(f"q{i}q" for i in range(50)) + " Zebulon"
+    got = {r.doc_id: r.spans for r in sanitise.report(documents([*rows, (400, far)])).collect()}
+    assert f"term:{len(far) - 7}:{len(far)}" in got[400].split(",")
+
+
 def test_odd_rows(documents):
     rows = [(None, None), (None, "a@b.cd"), (1, ""), (2, "9" * 20_000 + ".1"), (3, "0" * 3000 + ".0.0.1"),
             (4, "word " * 100_000 + "a@b.cd"), (4, "word " * 100_000 + "a@b.cd"), (5, "+" * 50_000)]
