@@ -9,8 +9,8 @@ GENERALISE replaced by a general word, wherever they occur in a text that holds
 Counts are over documents: N, those with the term, those with the entity, those with both, however
 far apart. The work on a text is its entities times its terms, for entities in MIN_TEXTS texts; no
 others can have a pair that counts. A pair counts once it is seen in MIN_TEXTS different texts; copies of one
-text are one piece of evidence. Terms are runs of letters and digits, A-Z lower-cased; those
-without a letter or shorter than three bytes are left out.
+text are one piece of evidence. Terms are runs of letters and digits, A-Z lower-cased; numbers are
+terms like others. Only those of one or two letters a-z are left out.
 
 Defined results: a null text is empty and has no spans; spans are code points, end exclusive; ties of
 start go by kind in the order of KINDS; repeated rows give the same result each; other
@@ -50,8 +50,8 @@ PLACEHOLDER = {"email": "[EMAIL]", "ip": "[IP]", "card": "[CARD]", "phone": "[PH
 _TERM = np.zeros(256, dtype=bool)
 _TERM[[*b"abcdefghijklmnopqrstuvwxyz0123456789", *range(0x80, 0x100)]] = True
 _TERM[ord("A"):ord("Z") + 1] = True
-_LETTER = _TERM.copy()
-_LETTER[ord("0"):ord("9") + 1] = False
+_A_TO_Z = np.zeros(256, dtype=bool)
+_A_TO_Z[ord("a"):ord("z") + 1] = True
 
 _SPAN = "start int, kind int, end int"
 _FOUND = (f"doc_id long, text_key long, base array<struct<{_SPAN}>>, entities array<long>, "
@@ -103,9 +103,8 @@ def _term_words(block: Block) -> Words:
 
 
 def _usable(words: Words) -> np.ndarray:
-    letters = np.concatenate([[0], np.cumsum(_LETTER[words.data])])
-    return ((words.end - words.begin >= 3)
-            & (letters[words.end] > letters[words.begin]))
+    others = np.concatenate([[0], np.cumsum(~_A_TO_Z[words.data])])
+    return (words.end - words.begin >= 3) | (others[words.end] > others[words.begin])
 
 
 def _entity_key(kind: int, value: str) -> int:

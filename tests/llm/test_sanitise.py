@@ -160,6 +160,15 @@ def test_judged_term_far_away_in_one_text(documents):
     assert f"term:{len(far) - 7}:{len(far)}" in got[400].split(",")
 
 
+def test_numbers_disclose(documents):
+    """A case number and a short code that stand with one address only; a common number stays."""
+    rows = [(i, f"plain text {i}x in 2024") for i in range(300)]
+    rows += [(300 + i, f"case 4821 unit b7 in 2024 zeb@mail.example.com v{i}v") for i in range(6)]
+    got = {r.doc_id: r.spans for r in sanitise.report(documents(rows)).collect()}
+    assert {"term:5:9", "term:15:17"} <= set(got[300].split(","))
+    assert "term:21:25" not in got[300] and "generalised:21:25" not in got[300]
+
+
 def test_odd_rows(documents):
     rows = [(None, None), (None, "a@b.cd"), (1, ""), (2, "9" * 20_000 + ".1"), (3, "0" * 3000 + ".0.0.1"),
             (4, "word " * 100_000 + "a@b.cd"), (4, "word " * 100_000 + "a@b.cd"), (5, "+" * 50_000)]
