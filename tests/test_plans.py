@@ -4,7 +4,7 @@ import json
 from datetime import date
 
 import pytest
-from conftest import plan_of
+from plans import plan_of
 from pyspark.sql import functions as F
 
 import run

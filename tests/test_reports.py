@@ -3,7 +3,7 @@ from __future__ import annotations
 from datetime import date
 
 import pytest
-from conftest import plan_of
+from plans import plan_of
 from pyspark.sql import functions as F
 
 from statloom.operators import reports, rows
