@@ -13,6 +13,7 @@ from statloom.llm import (
     minmax,
     mixing,
     packing,
+    periods,
     ppm,
     quality,
     sanitise,
@@ -238,3 +239,58 @@ def op9_order_preserving_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op2_separator_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return separators.token_counts(read(spark, sf_dir, "documents"))
+
+
+#: crc32 of a list of bytes, as DuckDB has none: the table of 256 entries, and the steps over the bytes.
+_CRC_TABLE = """crc AS (SELECT list_transform(range(256), lambda b: list_reduce(range(8),
+    lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, b::BIGINT)) AS t)"""
+_CRC = """xor(list_reduce({0}, lambda c, x: xor(c >> 8, t[(xor(c, x) & 255) + 1]),
+    4294967295::BIGINT), 4294967295)"""
+
+
+@query
+def op13_descending_lcp_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periods.digest(periods.find(periods.planted(read(spark, sf_dir, "documents"))))
+
+
+# Runs are found without suffixes: places with equal five-word windows at one distance, in a row.
+ORACLE["op13_descending_lcp_runs"] = r"""
+WITH {table},
+given AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w,
+    {crc} AS h
+  FROM documents, crc),
+placed AS (
+  SELECT *, h // 10 % greatest(len(w), 1) AS a, h % 10 = 0 AND len(w) > 0 AS hit FROM given),
+stepped AS (SELECT *, 1 + (len(w) - a) // (3 + h // 10 % 8) AS p FROM placed),
+worded AS (
+  SELECT doc_id, CASE WHEN hit THEN list_transform(range(len(w)),
+    lambda i: w[CASE WHEN i < a THEN i ELSE a + (i - a) % p END + 1]) ELSE w END AS w FROM stepped),
+grams AS (
+  SELECT doc_id, i, array_to_string(w[i + 1:i + 5], ' ') AS g, len(w) AS n
+  FROM (SELECT doc_id, w, unnest(range(len(w) - 4)) AS i FROM worded)),
+met AS (
+  SELECT x.doc_id, x.i, y.i - x.i AS d FROM grams x JOIN grams y
+    ON x.doc_id = y.doc_id AND x.g = y.g AND y.i > x.i AND 4 * (y.i - x.i) <= x.n),
+stretched AS (
+  SELECT doc_id, d, min(i) AS s, count(*) + 4 AS same
+  FROM (SELECT *, i - row_number() OVER (PARTITION BY doc_id, d ORDER BY i) AS island FROM met)
+  GROUP BY doc_id, d, island),
+runs AS (
+  SELECT doc_id, s, same + d AS l, min(d) AS q FROM stretched
+  WHERE same >= 3 * d AND same + d >= 6 GROUP BY ALL),
+dropped AS (SELECT DISTINCT doc_id, unnest(range(s + q, s + l)) AS i FROM runs),
+kept AS (
+  SELECT doc_id, string_agg(v.word, ' ' ORDER BY i) AS text
+  FROM (SELECT doc_id, unnest(range(len(w))) AS i, unnest(w) AS word FROM worded) v
+  ANTI JOIN dropped USING (doc_id, i) GROUP BY doc_id),
+best AS (
+  SELECT doc_id, count(*) AS n_runs, min((-l, s, q)) AS longest,
+    string_agg(s || ',' || l || ',' || q || chr(10), '' ORDER BY s, q) AS lines
+  FROM runs GROUP BY doc_id)
+SELECT d.doc_id, coalesce(n_runs, 0) AS n_runs, longest[2] AS start, (-longest[1])::BIGINT AS length,
+  longest[3] AS period, ((-longest[1]) * 1000 // longest[3])::BIGINT AS exponent_milli,
+  sha256(coalesce(lines, '')) AS runs_sha256, sha256(coalesce(k.text, '')) AS collapsed_sha256
+FROM documents d LEFT JOIN best USING (doc_id) LEFT JOIN kept k USING (doc_id)
+""".format(table=_CRC_TABLE, crc=_CRC.format(
+    "list_transform(string_split(doc_id::VARCHAR, ''), lambda x: ascii(x)::BIGINT)"))
