@@ -19,6 +19,7 @@ from statloom.llm import (
     sanitise,
     separators,
     toxicity,
+    variants,
 )
 from statloom.llm.tables import read
 
@@ -294,3 +295,45 @@ SELECT d.doc_id, coalesce(n_runs, 0) AS n_runs, longest[2] AS start, (-longest[1
 FROM documents d LEFT JOIN best USING (doc_id) LEFT JOIN kept k USING (doc_id)
 """.format(table=_CRC_TABLE, crc=_CRC.format(
     "list_transform(string_split(doc_id::VARCHAR, ''), lambda x: ascii(x)::BIGINT)"))
+
+
+@query
+def op12_reduced_alphabet_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return variants.variants(read(spark, sf_dir, "documents"), garbled_in=31)
+
+
+# Near words without a reduced alphabet: equal after one deletion at the same place, or one a deletion of the other.
+ORACLE["op12_reduced_alphabet_variants"] = r"""
+WITH RECURSIVE {table},
+runs AS (
+  SELECT doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[a-z\x{{00C0}}-\x{{00FF}}]+')) AS r FROM documents),
+once AS (SELECT doc_id, r, count(*) AS n FROM runs WHERE length(r) >= 7 GROUP BY ALL),
+hashed AS (SELECT *, {crc} AS h FROM once, crc),
+made AS (
+  SELECT n, CASE WHEN h % 31 = 0 THEN substr(r, 1, h % length(r)) || substr(r, h % length(r) + 2)
+    ELSE r END AS word FROM hashed),
+vocabulary AS (
+  SELECT word, sum(n)::BIGINT AS n FROM made WHERE length(word) >= 7 GROUP BY word HAVING sum(n) >= 2),
+cut AS (
+  SELECT word, n, i, substr(word, 1, i - 1) || substr(word, i + 1) AS rest
+  FROM (SELECT *, unnest(range(1, length(word) + 1)) AS i FROM vocabulary)),
+pairs AS (
+  SELECT a.word, b.word AS other, b.n FROM cut a JOIN cut b
+    ON a.rest = b.rest AND a.i = b.i AND a.word <> b.word
+  UNION SELECT a.word, b.word, b.n FROM cut a JOIN vocabulary b ON a.rest = b.word
+  UNION SELECT b.word, a.word, a.n FROM cut a JOIN vocabulary b ON a.rest = b.word),
+near AS (
+  SELECT word, count(*) AS n_near, max(n) AS most, min(other) FILTER (n = top) AS best
+  FROM (SELECT *, max(n) OVER (PARTITION BY word) AS top FROM pairs) GROUP BY word),
+judged AS (
+  SELECT word, v.n, coalesce(n_near, 0) AS n_near, CASE WHEN most >= 10 * v.n THEN best END AS form,
+    CASE WHEN most >= 10 * v.n THEN most END AS form_n FROM vocabulary v LEFT JOIN near USING (word)),
+reached AS (
+  SELECT word, word AS last FROM judged
+  UNION ALL SELECT r.word, j.form FROM reached r JOIN judged j ON r.last = j.word WHERE j.form IS NOT NULL)
+SELECT word, form, last AS root, j.n, j.n_near, j.form_n FROM judged j
+JOIN (SELECT r.word, r.last FROM reached r JOIN judged e ON r.last = e.word WHERE e.form IS NULL) USING (word)
+""".format(table=_CRC_TABLE, crc=_CRC.format(
+    "flatten(list_transform(string_split(doc_id || ':' || r, ''), lambda x: CASE WHEN unicode(x) < 128 "
+    "THEN [unicode(x)::BIGINT] ELSE [195::BIGINT, unicode(x)::BIGINT - 64] END))"))

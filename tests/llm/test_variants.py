@@ -1,0 +1,110 @@
+"""Forms and roots against a comparison of all words."""
+
+from __future__ import annotations
+
+import re
+import zlib
+from collections import Counter
+
+import numpy as np
+import pyarrow as pa
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+import __spark_entry__ as entries
+from statloom.llm import variants
+
+RUN = re.compile("[A-Za-zÀ-ÿ]+")
+
+
+def one_edit(word, letters):
+    for i in range(len(word) + 1):
+        yield word[:i] + word[i + 1:]
+        for c in letters:
+            yield word[:i] + c + word[i:]
+            yield word[:i] + c + word[i + 1:]
+
+
+def expected(rows, garbled_in=31):
+    seen = Counter()
+    for doc_id, text in rows:
+        for run in RUN.findall(text or ""):
+            low = "".join(c.lower() if "A" <= c <= "Z" else c for c in run)
+            h = zlib.crc32(f"{'' if doc_id is None else doc_id}:{low}".encode())
+            if garbled_in and h % garbled_in == 0:
+                k = h % len(low)
+                low = low[:k] + low[k + 1:]
+            seen[low] += 1
+    n = {w: k for w, k in seen.items() if len(w) >= 7 and k >= 2}
+    letters = sorted(set("".join(n)))
+    near = {w: {x for x in one_edit(w, letters) if x != w and x in n} for w in n}
+    form = {}
+    for w in n:
+        best = min(near[w], key=lambda x: (-n[x], x), default=None)
+        form[w] = best if best and n[best] >= 10 * n[w] else None
+    out = []
+    for w in n:
+        root = w
+        while form[root]:
+            root = form[root]
+        out.append((w, form[w], root, n[w], len(near[w]), form[w] and n[form[w]]))
+    return sorted(out)
+
+
+def sorted_rows(df):
+    return sorted(map(tuple, df.collect()))
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.text("abéêz", min_size=1, max_size=7))
+def test_neighbourhood_is_full(word):
+    """Hashes of the neighbourhood equal those of all edited reduced words, each once."""
+    ((_, symbols),) = variants._symbols(pa.array([word]))
+    row = tuple(int(s) for s in symbols[0])
+    all_of = {tuple(x) for x in one_edit(list(row), [[s] for s in range(1, variants.SYMBOLS + 1)])} - {row}
+    got = np.concatenate([k for _, k in variants.neighbourhood(symbols)])
+    want = {int(variants._reduced(np.array([r], dtype=np.uint64))[0]) for r in all_of}
+    assert len(got) == len(want) and set(got.tolist()) == want
+
+
+def test_sample_table(spark):
+    rows = spark.read.parquet(f"{entries.SMOKE_DIR}/documents.parquet").select("doc_id", "text").collect()
+    got = sorted_rows(entries.queries()["op12_reduced_alphabet_variants"](spark, entries.SMOKE_DIR))
+    assert got == expected(map(tuple, rows))
+
+
+def chain():
+    """Counts 3,000, 300, 30 and 3, words alike, in letters of one and of two bytes."""
+    words = {"kéyboard": 3000, "kéyboord": 300, "kéyboor": 30, "kêyboor": 3, "keyboard": 9,
+             "Zürichs": 30, "zurichs": 3, "zurichx": 30}
+    return [(i, " ".join([w] * n)) for i, (w, n) in enumerate(words.items())]
+
+
+def test_roots_of_a_chain(documents):
+    rows = chain()
+    got = {r.word: r for r in variants.variants(documents(rows)).collect()}
+    assert sorted(map(tuple, got.values())) == expected(rows, 0)
+    assert got["kêyboor"].root == "kéyboard" and got["kêyboor"].form == "kéyboor"
+    # zürichs and zurichx are as frequent: the first in code-point order.
+    assert got["zurichs"].form == "zurichx"
+
+
+@pytest.mark.parametrize("garbled", [0, 3, 31])
+def test_odd_rows(documents, garbled):
+    rows = [(None, None), (None, "Wörterbuch wörterbuch"), (1, ""), (2, "x" * 5000 + " " + "x" * 5000),
+            (3, "abc日abcdefg日abcdefg"), (3, "abc日abcdefg日abcdefg"), (4, "straßen×÷ straßen×÷ straßen×"),
+            (5, "mississippi mississipi " * 30_000), (6, "ĀabcdefgĿ abcdefh abcdefh ÿÿÿÿÿÿÿ ÿÿÿÿÿÿÿ"), (7, "a b c")]
+    docs = documents(rows, extra=("word", "n", "key", "form", "root"))
+    assert sorted_rows(variants.variants(docs, garbled)) == expected(rows, garbled)
+
+
+def test_empty_table(documents):
+    assert variants.variants(documents([])).count() == 0
+
+
+def test_crowded_bitmap_loses_nothing(documents, monkeypatch):
+    rows = chain()
+    monkeypatch.setattr(variants, "MOST_BITS", 64)
+    monkeypatch.setattr(variants, "LEAST_BITS", 64)
+    assert sorted_rows(variants.variants(documents(rows))) == expected(rows, 0)
