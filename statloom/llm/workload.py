@@ -13,6 +13,7 @@ from statloom.llm import (
     minmax,
     mixing,
     packing,
+    paths,
     periods,
     ppm,
     quality,
@@ -337,3 +338,8 @@ JOIN (SELECT r.word, r.last FROM reached r JOIN judged e ON r.last = e.word WHER
 """.format(table=_CRC_TABLE, crc=_CRC.format(
     "flatten(list_transform(string_split(doc_id || ':' || r, ''), lambda x: CASE WHEN unicode(x) < 128 "
     "THEN [unicode(x)::BIGINT] ELSE [195::BIGINT, unicode(x)::BIGINT - 64] END))"))
+
+
+@query
+def op11_tag_path_ratios(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return paths.extract(read(spark, sf_dir, "pages"))
