@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from datetime import date
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from statloom.functions.dates import day
@@ -54,9 +55,9 @@ def filter_season(df: DataFrame, season: str, league: str | None = None,
     return kept if league is None else kept.filter(F.col(league_column) == league)
 
 
-def dedupe(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+def dedupe(df: DataFrame, keys: Sequence[str], first: Sequence[Column] = ()) -> DataFrame:
     """One row per key, nulls in a key being equal; of a key's rows the one with the fewest nulls
-    stays, among those the smallest by the other columns.
+    stays, among those the smallest by the other columns. ``first`` are values to compare before that.
 
     A minimum over a struct is aggregated before the shuffle, so each task sends one row per key
     however many copies a key has, and the same row wins on every run. The hash leads the grouping
@@ -65,14 +66,25 @@ def dedupe(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     rest = [c for c in df.columns if c not in keys]
     if not rest:
         return df.distinct()
-    gaps = F.size(F.filter(F.array(*(F.col(c).isNull() for c in rest)), lambda gap: gap))
+    gaps = reduce(Column.__add__, (F.col(c).isNull().cast("int") for c in rest))
+    before = [value.alias(f"_first{i}") for i, value in enumerate(first)]
     return (
         df.groupBy(F.xxhash64(*keys).alias("_hash"), *keys)
-        .agg(F.min(F.struct(gaps.alias("_gaps"), *rest)).alias("_row"))
+        .agg(F.min(F.struct(*before, gaps.alias("_gaps"), *rest)).alias("_row"))
         .select(*keys, "_row.*").select(*df.columns)
     )
 
 
+def latest(df: DataFrame, keys: Sequence[str], stamp: str = "ingestion_date") -> DataFrame:
+    """One row per key: of its newest run, by the rule of ``dedupe`` within that run."""
+    return dedupe(df, keys, [newest_first(stamp)])
+
+
+def newest_first(stamp: str = "ingestion_date") -> Column:
+    """Sorts later days first, null last."""
+    return F.coalesce(-F.unix_date(stamp), F.lit(2**31 - 1))
+
+
 def union_entities(frames: Sequence[DataFrame]) -> DataFrame:
     """Concatenate frames by column name, copies included; absent columns become null.
 

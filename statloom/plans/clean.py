@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import date
 from functools import reduce
 
@@ -11,7 +12,41 @@ from pyspark.sql import types as T
 
 from statloom.functions import casts
 from statloom.operators import columns, rows
-from statloom.schemas import CORRUPT, STAMP, TableSpec
+from statloom.schemas import CORRUPT, ODD, STAMP, TableSpec
+
+
+def _are_records(df: DataFrame) -> bool:
+    """Whether a frame comes from ``sources.jsonl.records``, with declared and variant columns."""
+    return "odd" in df.columns and any(c.startswith(ODD) for c in df.columns)
+
+
+class _Values:
+    """Expressions over the columns of a raw frame, by lower-cased name, whichever way a record was read."""
+
+    def __init__(self, df: DataFrame):
+        self.types = {f.name: f.dataType for f in df.schema.fields}
+        self.both = _are_records(df)
+
+    def of(self, name: str, make: Callable[[str, T.DataType], Column]) -> Column:
+        plain = make(name, self.types[name])
+        if not self.both or ODD + name not in self.types:
+            return plain
+        return F.when(F.col("odd"), make(ODD + name, T.VariantType())).otherwise(plain)
+
+
+def _cast(spec: TableSpec, field: T.StructField) -> Callable[[str, T.DataType], Column]:
+    """How a raw column becomes the contract's: the feed's own cast, then the contract's type."""
+    def make(name: str, source: T.DataType) -> Column:
+        if field.name == spec.date_column:
+            return casts.to_date(name, spec.date_format, source)
+        if field.name in spec.int_columns:
+            return casts.to_integral(name, source)
+        if field.name in spec.float_columns:
+            return casts.to_float(name)
+        if isinstance(field.dataType, T.LongType):
+            return casts.to_integral(name, source, "bigint")
+        return casts.to_text(name, source)
+    return make
 
 
 def typed(raw: DataFrame, spec: TableSpec) -> DataFrame:
@@ -21,6 +56,11 @@ def typed(raw: DataFrame, spec: TableSpec) -> DataFrame:
     """
     stamped = STAMP in raw.columns
     contract = T.StructType([f for f in spec.contract.fields if stamped or f.name != STAMP])
+    if _are_records(raw):
+        value = _Values(raw)
+        return raw.select(*[
+            F.col(STAMP) if f.name == STAMP else value.of(f.name, _cast(spec, f)).cast(f.dataType).alias(f.name)
+            for f in contract.fields]).transform(rows.drop_null_keys, spec.required)
     return (
         raw.transform(columns.lowercase_columns)
         .transform(columns.parse_date, spec.date_column, spec.date_format)
@@ -47,35 +87,64 @@ def _has_value(name: str, source: T.DataType) -> Column:
     return F.col(name).isNotNull()
 
 
-def _judged(raw: DataFrame, spec: TableSpec) -> DataFrame:
-    """Records with ``rejected``, the columns that can't be read, and ``dropped``: no key is left.
+def _judgement(low: DataFrame, spec: TableSpec) -> list[Column]:
+    """``rejected``, the columns that can't be read, and ``dropped``: no key is left.
 
     Both follow from the values, so they do not depend on what a caller selects.
     """
-    low = raw.transform(columns.lowercase_columns)
-    types = {f.name: f.dataType for f in low.schema.fields}
-    wide = [f.name for f in spec.contract.fields if isinstance(f.dataType, T.LongType)
-            and f.name not in spec.int_columns and f.name in types]
-    parsed = {
-        spec.date_column: casts.to_date(spec.date_column, spec.date_format,
-                                        types[spec.date_column]),
-        **{c: casts.to_integral(c, types[c]) for c in spec.int_columns if c in types},
-        **{c: casts.to_float(c) for c in spec.float_columns if c in types},
-        **{c: casts.to_integral(c, types[c], "bigint") for c in wide},
-    }
-    # Of typed columns only text can be unreadable.
-    failed = {c: _has_value(c, types[c]) & v.isNull() for c, v in parsed.items()
-              if isinstance(types[c], (T.StringType, T.VariantType))}
-    if CORRUPT in types:
+    value = _Values(low)
+    fields = {f.name: f for f in spec.contract.fields}
+    wide = [n for n, f in fields.items() if isinstance(f.dataType, T.LongType)]
+    checked = [fields[n] for n in dict.fromkeys(
+        [spec.date_column, *spec.int_columns, *spec.float_columns, *wide]) if n in value.types]
+
+    def unreadable(field: T.StructField) -> Callable[[str, T.DataType], Column]:
+        def test(name: str, source: T.DataType) -> Column:
+            # Of typed columns only text can be unreadable.
+            if not isinstance(source, (T.StringType, T.VariantType)):
+                return F.lit(False)
+            return _has_value(name, source) & _cast(spec, field)(name, source).isNull()
+        return test
+
+    failed = {f.name: value.of(f.name, unreadable(f)) for f in checked
+              if value.both or isinstance(value.types[f.name], (T.StringType, T.VariantType))}
+    if CORRUPT in value.types:
         failed[CORRUPT] = F.col(CORRUPT).isNotNull()
-    key = parsed.get(spec.required)
-    if key is None:
-        key = casts.to_text(spec.required, types[spec.required])
+    required = fields[spec.required]
     names = F.array(*[F.when(test, F.lit(c)) for c, test in failed.items()])
     any_failed = reduce(Column.__or__, failed.values(), F.lit(False))
-    return low.select(
-        "*", F.when(any_failed, F.array_compact(names)).otherwise(F.array().cast("array<string>"))
-        .alias("rejected"), key.isNull().alias("dropped"))
+    return [F.when(any_failed, F.array_compact(names)).otherwise(F.array().cast("array<string>"))
+            .alias("rejected"),
+            value.of(required.name, _cast(spec, required)).isNull().alias("dropped")]
+
+
+def _judged(raw: DataFrame, spec: TableSpec) -> DataFrame:
+    low = raw.transform(columns.lowercase_columns)
+    return low.select("*", *_judgement(low, spec))
+
+
+def judge(records: DataFrame, spec: TableSpec) -> DataFrame:
+    """Every record once, for all that a job makes of it: the contract's columns typed, ``rejected``, ``dropped``, and
+    of records with either the text (``record``)."""
+    value = _Values(records)
+    kept = [STAMP] if STAMP in records.columns else []
+    rejected, dropped = _judgement(records, spec)
+    return records.select(
+        *(value.of(f.name, _cast(spec, f)).cast(f.dataType).alias(f.name)
+          for f in spec.contract.fields if f.name != STAMP), rejected, dropped, "value", *kept
+    ).select("*", F.when((F.size("rejected") > 0) | F.col("dropped"), F.col("value")).alias("record")
+             ).drop("value")
+
+
+def refused(judged: DataFrame) -> DataFrame:
+    """Of judged records those that are dropped or hold an unreadable value, as their text."""
+    return judged.filter(F.col("record").isNotNull()).select("record", "rejected", "dropped")
+
+
+def accepted(judged: DataFrame, spec: TableSpec) -> DataFrame:
+    """Of judged records the rows to store, in the contract's columns (without a stamp if there is none)."""
+    return judged.filter(~F.col("dropped")).select(
+        *(n for n in spec.contract.names if n in judged.columns))
 
 
 def rejects(raw: DataFrame, spec: TableSpec) -> DataFrame:
@@ -87,28 +156,19 @@ def rejects(raw: DataFrame, spec: TableSpec) -> DataFrame:
     return _judged(raw, spec).filter((F.size("rejected") > 0) | F.col("dropped"))
 
 
-def as_text(df: DataFrame) -> DataFrame:
-    """Variants as text, for sinks without that type."""
-    return df.select(*[
-        casts.to_text(f.name, f.dataType).alias(f.name) if isinstance(f.dataType, T.VariantType)
-        else F.col(f.name) for f in df.schema.fields])
-
-
 def audit(raw: DataFrame, spec: TableSpec) -> DataFrame:
     """One row: records read, kept, dropped and duplicate (read is the sum of the others), and the
-    records with an unreadable value.
+    records with an unreadable value. Takes raw or judged records.
 
     Counted per key before the shuffle, so copies of a key are one row.
     """
-    keys = [F.col(k) for k in spec.keys]
-    judged = _judged(raw, spec).select(
-        "dropped", (F.size("rejected") > 0).alias("flagged"), *(
-            casts.to_integral(f.name, t, "bigint").alias(f.name)
-            if isinstance(f.dataType, T.LongType) and isinstance(t, (T.VariantType, T.StringType))
-            else casts.to_text(f.name, t).alias(f.name)
-            for f in spec.contract.fields if f.name in spec.keys
-            for t in [raw.transform(columns.lowercase_columns).schema[f.name].dataType]))
-    by_key = judged.groupBy("dropped", *keys).agg(
+    judged = raw if "dropped" in raw.columns else _judged(raw, spec)
+    value = _Values(judged)
+    fields = [f for f in spec.contract.fields if f.name in spec.keys]
+    by_key = judged.select(
+        "dropped", (F.size("rejected") > 0).alias("flagged"),
+        *(value.of(f.name, _cast(spec, f)).alias(f.name) for f in fields)
+    ).groupBy("dropped", *spec.keys).agg(
         F.count("*").alias("n"), F.sum(F.col("flagged").cast("long")).alias("flagged"))
     stored = ~F.col("dropped")
     return by_key.agg(

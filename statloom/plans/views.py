@@ -16,9 +16,11 @@ def _literal(value: date | str | None) -> str:
     return f"DATE '{day.isoformat()}'"
 
 
-def view_sql(database: str, since: date | str, as_of: date | str | None = None) -> dict[str, str]:
+def view_sql(database: str, since: date | str, as_of: date | str | None = None,
+             newest: bool = False) -> dict[str, str]:
     """Each view's query by name; the same results as the reports of ``operators.reports``."""
-    players, games = f"`{database}`.{PLAYERS.name}", f"`{database}`.{GAMES.name}"
+    table = "`{}`.{}_current" if newest else "`{}`.{}"
+    players, games = (table.format(database, spec.name) for spec in (PLAYERS, GAMES))
     first = _literal(since)
     averages = ", ".join(f"round(avg({m}), 1) AS avg_{m}" for m in METRICS)
     return {
@@ -42,9 +44,11 @@ def view_sql(database: str, since: date | str, as_of: date | str | None = None)
     }
 
 
-def create_views(spark, database: str, since: date | str, as_of: date | str | None = None) -> list[str]:
+def create_views(spark, database: str, since: date | str, as_of: date | str | None = None,
+                 newest: bool = False) -> list[str]:
     """Create or replace the views in the database of the tables; returns their names."""
-    queries = view_sql(database, since, as_of)
+    queries = {f"current_{name}" if newest else name: query
+               for name, query in view_sql(database, since, as_of, newest).items()}
     for name, query in queries.items():
         spark.sql(f"CREATE OR REPLACE VIEW `{database}`.{name} AS {query}")
     return list(queries)

@@ -8,6 +8,8 @@ from pyspark.sql import types as T
 
 CORRUPT = "_corrupt_record"
 STAMP = "ingestion_date"
+# Before a column's name: its variant, in records that the declared types can't read.
+ODD = "odd_"
 
 # Column names and their order are the data contract of the two tables.
 GAME_COLUMNS = (

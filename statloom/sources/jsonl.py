@@ -1,17 +1,19 @@
 """JSON lines: one record per line, never with an inferred schema.
 
-A feed is read as records: keys match without regard to case, and every value keeps its JSON type (as a
-variant), so that a number spelled as text, or a decimal id, reaches the tolerant casts instead of
-being lost to a declared type. ``read_json_lines`` is for files whose types are our own.
+A feed is read as records: keys match without regard to case, and a value that is not of the declared
+type keeps its JSON type (as a variant), so that a number spelled as text, or a decimal id, reaches the
+tolerant casts instead of being lost. ``read_json_lines`` is for files whose types are our own.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from statloom.schemas import CORRUPT, STAMP, TableSpec
+from statloom.schemas import CORRUPT, ODD, STAMP, TableSpec
 
 
 def write_json_lines(df: DataFrame, path: str) -> None:
@@ -34,38 +36,82 @@ def read_json_lines(spark: SparkSession, path: str | list[str], schema: T.Struct
     )
 
 
-def records(lines: DataFrame, spec: TableSpec, *kept: str) -> DataFrame:
+def _spec_keys(spec: TableSpec) -> list[str]:
+    return [n for n in spec.contract.names if n != STAMP]
+
+
+def spellings(lines: DataFrame, spec: TableSpec) -> list[str]:
+    """The keys of a feed that are contract columns, in every spelling that occurs: a few rows.
+
+    Lines are only split into tokens; those that are no JSON objects have no keys.
+    """
+    keys = lines.select(F.explode(F.json_object_keys("value")).alias("key")).distinct()
+    return sorted(r["key"] for r in keys.filter(F.lower("key").isin(_spec_keys(spec))).collect())
+
+
+def records(lines: DataFrame, spec: TableSpec, *kept: str, known: list[str] | None = None) -> DataFrame:
     """Lines of text (column ``value``) as records of a feed.
 
-    One variant column per contract column, under its lower-cased name, the text of a line that is no
-    JSON object, and the columns ``kept``. Blank lines are skipped, other keys ignored; a record with
-    two spellings of one key is an error.
+    Lines are parsed by the declared types under the spellings ``known``, by default the spec's own. Where that
+    can't read a record (a key spelled otherwise, another JSON type, a broken line) the record is ``odd``
+    and its values come as variants. So there are one column of the declared type and one variant column (ODD and the
+    name) for each contract column, under its lower-cased name; ``odd``; the text of a line that is no JSON object;
+    ``value`` and the columns ``kept``. Blank lines are skipped, other keys ignored; a record with two spellings of one
+    key is an error.
     """
-    parsed = F.transform_keys(F.from_json("value", "map<string,variant>"), lambda k, _: F.lower(k))
-    names = [n for n in spec.contract.names if n != STAMP]
+    names = _spec_keys(spec)
+    types = {f.name.lower(): f.dataType for f in spec.raw.fields}
+    own = {n: [f.name for f in spec.raw.fields if f.name.lower() == n] for n in names}
+    by_name = {n: [k for k in known if k.lower() == n] or own[n] for n in names} if known else own
+    keys = [k for n in names for k in by_name[n]]
+    schema = T.StructType([*(T.StructField(k, types[k.lower()]) for k in keys),
+                           T.StructField(CORRUPT, T.StringType())])
+    # Fields go by number from here on: Spark takes spellings of one name for the same field.
+    numbered = T.StructType([T.StructField(f"k{i}", f.dataType) for i, f in enumerate(schema.fields)])
+    declared = F.from_json("value", schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}).cast(numbered)
+    field = {k: F.col("_plain")[f"k{i}"] for i, k in enumerate([*keys, CORRUPT])}
+    several = [sum((field[k].isNotNull().cast("int") for k in by_name[n]), F.lit(0)) > 1
+               for n in names if len(by_name[n]) > 1]
+    unread = F.col("_plain").isNull() | field[CORRUPT].isNotNull() | ~F.ltrim("value").startswith("{")
+    if known is None:
+        # A column is null for want of its key under this spelling, or by its value: the keys tell.
+        others = F.filter(F.json_object_keys("value"), lambda k: F.lower(k).isin(names) & ~k.isin(keys))
+        several.append(reduce(Column.__or__, [field[k].isNull() for k in keys]) & (F.size(others) > 0))
+    odd = reduce(Column.__or__, several, unread)
+    values = F.transform_keys(F.from_json("value", "map<string,variant>"), lambda k, _: F.lower(k))
+    # Exploding a list of one keeps the optimizer from parsing the line anew for each column.
     return (
         lines.filter(F.trim("value") != "")
-        # Exploding a list of one keeps the optimizer from parsing the line anew for each column.
-        .select("value", F.explode(F.array(parsed)).alias("_record"), *kept)
-        .select(*(F.col("_record")[n].alias(n) for n in names),
-                F.when(F.col("_record").isNull(), F.col("value")).alias(CORRUPT), *kept)
+        .select("value", F.explode(F.array(declared)).alias("_plain"), *kept)
+        .select("*", F.explode(F.array(F.coalesce(odd, F.lit(True)))).alias("odd"))
+        .select("*", F.explode(F.array(F.when(F.col("odd"), values))).alias("_record"))
+        .select(*(F.coalesce(*(field[k] for k in by_name[n])).alias(n) for n in names),
+                *(F.col("_record")[n].alias(ODD + n) for n in names), "odd",
+                F.when(F.col("odd") & F.col("_record").isNull(), F.col("value")).alias(CORRUPT),
+                "value", *kept)
     )
 
 
 def read_records(spark: SparkSession, path: str | list[str], spec: TableSpec) -> DataFrame:
-    """Records of a feed from one or many paths in a single scan."""
-    return records(spark.read.text(path), spec)
+    """Records of a feed from one or many paths, under the spellings that a first pass finds."""
+    lines = spark.read.text(path)
+    return records(lines, spec, known=spellings(lines, spec))
 
 
 def presence(spec: TableSpec) -> list[Column]:
-    """Aggregates over records: how many there are, and whether each contract column occurs."""
-    names = [n for n in spec.contract.names if n != STAMP]
+    """Aggregates over records: how many there are, and whether each contract column has a value."""
     return [F.count(F.when(F.col(CORRUPT).isNull(), 1)).alias("_n"),
-            *(F.max(F.col(n).isNotNull().cast("int")).alias(n) for n in names)]
+            *(F.max((F.col(n).isNotNull() | F.col(ODD + n).isNotNull()).cast("int")).alias(n)
+              for n in _spec_keys(spec))]
 
 
-def require_columns(seen: dict[str, int | None], spec: TableSpec) -> None:
-    """Raise if a contract column occurs in no record; an empty feed passes."""
-    missing = [n for n in spec.contract.names if n != STAMP and not seen[n]]
+def require_columns(seen: dict[str, int | None], spec: TableSpec, lines: DataFrame | None = None) -> None:
+    """Raise if a contract column occurs in no record; an empty feed passes.
+
+    A column that only ever is null has its key in the ``lines``, which are searched for it.
+    """
+    missing = [n for n in _spec_keys(spec) if not seen[n]]
     if seen["_n"] and missing:
-        raise ValueError(f"{spec.name}: no record has {', '.join(missing)}")
+        held = {k.lower() for k in spellings(lines, spec)} if lines is not None else set()
+        if absent := [n for n in missing if n not in held]:
+            raise ValueError(f"{spec.name}: no record has {', '.join(absent)}")

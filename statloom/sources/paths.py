@@ -38,6 +38,10 @@ class Zones:
     def rejects(self, run_date: date | str, feed: str) -> str:
         return f"{self.root}/rejected/{self.dataset}/{_iso(run_date)}/{feed}.json"
 
+    def audits(self, run_date: date | str, feed: str) -> str:
+        """What became of a run's records, beside its rejects."""
+        return f"{self.root}/rejected/{self.dataset}/{_iso(run_date)}/{feed}.audit.json"
+
     def run_folders(self) -> list[str]:
         """The folders that hold one folder per run date."""
         return [f"{self.root}/{zone}/{self.dataset}" for zone in ("raw", "processed", "rejected")]

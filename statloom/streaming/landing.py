@@ -1,61 +1,107 @@
-"""Pick up new raw files as a stream: the same cleaning, tables and layout as the batch job."""
+"""Pick up new raw files as a stream: the same parsing, cleaning and sinks as the batch job."""
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+from datetime import date
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
 
 from statloom.operators import columns, rows
-from statloom.plans.clean import typed
+from statloom.plans.clean import accepted, judge, refused
 from statloom.plans.pipeline import prepare
 from statloom.schemas import STAMP, TableSpec
-from statloom.sources import tables
+from statloom.sources import files, tables
 from statloom.sources.jsonl import records
 from statloom.sources.paths import Zones
 
 _RUN_DATE = "/([0-9]{4}-[0-9]{2}-[0-9]{2})/[^/]+[.]json"
+# Columns of the stream beside the line: when it arrived, and what tells it from others.
+_ARRIVED, _DIGEST = "_arrived", "_digest"
+
 
+def new_lines(spark: SparkSession, zones: Zones, feed: str, delay: str) -> DataFrame:
+    """The lines of all raw files of a feed with their run date, repeated ones once.
 
-def _clean_runs(raw: DataFrame, spec: TableSpec) -> DataFrame:
-    """Clean stamped records of several run dates; each run is deduplicated on its own, as in batch."""
+    A line that comes again within ``delay`` of its first arrival, for the same run, is dropped before it is parsed. The state
+    store keeps a digest for each line that arrived within the delay, and no longer. The watermark follows the time of arrival
+    and not the run date, so nothing ever is too late: a file of an old run is taken like any other.
+    """
+    run_date = F.regexp_extract("_metadata.file_path", _RUN_DATE, 1).try_cast("date")
     return (
-        raw.transform(typed, spec)
-        .transform(rows.dedupe, [*spec.keys, STAMP])
-        .transform(columns.project, spec.contract)
+        spark.readStream.text(zones.raw_runs(feed))
+        .select("value", run_date.alias(STAMP), F.md5("value").alias(_DIGEST),
+                F.current_timestamp().alias(_ARRIVED))
+        .withWatermark(_ARRIVED, delay).dropDuplicatesWithinWatermark([_DIGEST, STAMP])
     )
 
 
-def _unstored(batch: DataFrame, stored: DataFrame, spec: TableSpec) -> DataFrame:
-    """Rows whose key the table does not hold for their run date."""
-    keys = [*spec.keys, STAMP]
-    held = stored.select(*(F.col(k).alias(f"_{k}") for k in keys))
-    same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]
-    return batch.join(held.hint("merge"), same, "left_anti")
+def merge_runs(batch: DataFrame, name: str, spec: TableSpec) -> int:
+    """Merge rows of several runs into the table, whose key here is the run date as well.
+
+    Of a key's rows in one run the most complete stays, whichever micro-batch brings it, as in a batch run. Only
+    the game dates of the batch are read and written; their other rows are kept as they are.
+    """
+    dates = tables.dates_of(batch, spec.partition)
+    if not dates:
+        return 0
+    stored = batch.sparkSession.table(name).select(*spec.contract.names).transform(
+        tables.on_dates, dates, spec.partition)
+    both = stored.unionByName(batch).transform(rows.dedupe, [spec.partition, *spec.keys, STAMP])
+    tables.add_rows(tables.cluster_layout(both, spec), name, spec, tables.REPLACE_DATES)
+    return len(dates)
 
 
-def stream_table(spark: SparkSession, spec: TableSpec, feed: str, zones: Zones,
-                 state: str) -> StreamingQuery:
-    """Clean every new raw file of a feed into the warehouse table and stop when none is left.
+def store_lines(lines: DataFrame, spec: TableSpec, feed: str, zones: Zones) -> None:
+    """Parse the lines of a micro-batch once, and bring rejects, processed zone and warehouse up to date for its runs.
 
-    A row is added only if the table has no row of its key for that run date. So a later file of a run
-    adds what is new in it, and a micro-batch that runs again after a failure adds nothing twice. Only
-    the run dates of the batch are looked up, by the statistics of their files.
+    Every step can run again after a failure: rejects are told apart by their text, rows are merged.
+    """
+    spark = lines.sparkSession
+    judged = tables.staged(judge(records(lines, spec, STAMP), spec), "judged")
+    rows_of = accepted(judged, spec).transform(columns.project, spec.contract)
+    # A row for each run date reaches the driver.
+    runs: list[date] = sorted(r[0] for r in judged.select(STAMP).distinct().collect())
+
+    def one_run(run_date: date) -> None:
+        own = F.col(STAMP) == F.lit(run_date)
+        path = zones.rejects(run_date, feed)
+        known = files.children(spark, path)
+        bad = refused(judged.filter(own))
+        if known:
+            held = spark.read.schema(bad.schema).json(path).select("record")
+            bad = bad.join(held.hint("merge"), "record", "left_anti")
+        bad.write.mode("append").json(path)
+        tables.merge_files(rows_of.filter(own), zones.processed(run_date, feed), spec, corrects=False)
+
+    with ThreadPoolExecutor(max(1, min(len(runs), RUNS_AT_ONCE))) as pool:
+        merging = pool.submit(merge_runs, rows_of.transform(rows.dedupe, [*spec.keys, STAMP]),
+                              zones.table(spec.name), spec)
+        for job in [pool.submit(one_run, d) for d in runs]:
+            job.result()
+        merging.result()
+
+
+# Run dates whose sinks are written side by side.
+RUNS_AT_ONCE = 4
+
+
+def stream_table(spark: SparkSession, spec: TableSpec, feed: str, zones: Zones, state: str,
+                 delay: str = "1 day") -> StreamingQuery:
+    """Clean every new raw file of a feed into both zones and the rejects, and stop when none is left.
+
+    A later file of a run adds what is new in it, and a micro-batch that runs again after a failure, or a stream that has
+    lost its state, changes nothing. A micro-batch looks up the rows of its own game dates only.
     """
     prepare(spark, zones)
-    name = zones.table(spec.name)
-    run_date = F.regexp_extract("_metadata.file_path", _RUN_DATE, 1).try_cast("date")
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        session = batch.sparkSession
-        runs = [r[0] for r in batch.select(STAMP).distinct().collect()]
-        stored = session.table(name).filter(F.col(STAMP).isin(runs))
-        fresh = _unstored(_clean_runs(batch, spec), stored, spec)
-        tables.append_to_table(fresh, name, spec)
+        store_lines(batch.select("value", STAMP), spec, feed, zones)
 
-    lines = spark.readStream.text(zones.raw_runs(feed)).select("value", run_date.alias(STAMP))
     return (
-        records(lines, spec, STAMP)
+        new_lines(spark, zones, feed, delay)
         .writeStream.foreachBatch(write)
         .option("checkpointLocation", state)
         .trigger(availableNow=True).start()

@@ -17,6 +17,7 @@ from statloom.workload.queries import (
     SEASON,
     SINCE,
     STREAM_RUNS,
+    WANTED_GAMES,
 )
 from statloom.workload.standins import (
     DUCKDB,
@@ -144,6 +145,26 @@ LINE = "l_orderkey, l_linenumber, l_partkey"
 LINE_COLUMNS = ("l_orderkey l_partkey l_suppkey l_linenumber l_quantity l_extendedprice l_discount "
                 "l_tax l_returnflag l_linestatus l_shipdate").split()
 
+def _two_runs() -> str:
+    corrected = LANDED_GAMES.replace(
+        "SELECT * FROM", "SELECT * REPLACE (case when FTM > 2 then PTS + 100 else PTS end AS PTS) FROM", 1)
+    first, second = STREAM_RUNS
+    return f"""{_clean(GAMES, LANDED_GAMES, first)} UNION ALL
+        {_clean(GAMES, f"SELECT * FROM ({corrected}) WHERE FG3M < 5", second)}"""
+
+
+LATEST = f"""
+    SELECT * FROM ({_two_runs()}) QUALIFY row_number() OVER (
+        PARTITION BY game_date, game_id, team_id ORDER BY ingestion_date DESC) = 1"""
+
+
+def _counts(feed: str, source: str, landed: str) -> str:
+    return f"""
+        SELECT '{feed}' AS feed, (SELECT count(*) FROM ({landed})) AS records_read, count(*) AS kept,
+               count(*) AS processed, (2 * count(*))::BIGINT AS noted, (2 * count(*))::BIGINT AS stored,
+               0::BIGINT AS missing_dates, true AS agrees FROM ({source})"""
+
+
 ORACLE: dict[str, str] = {
     # Sources and sinks
     "json_roundtrip": """
@@ -158,6 +179,18 @@ ORACLE: dict[str, str] = {
     "append_batches": f"""
         {EVENT_DAYS.format('game_date')} UNION ALL {EVENT_DAYS.format('game_date')}""",
     "replace_batches": EVENT_DAYS.format("game_date"),
+    "merge_runs": LATEST,
+    "latest_rows": LATEST,
+    "compacted_dates": f"""
+        SELECT game_date, count(*) AS games, sum(pts)::BIGINT AS pts, 1::BIGINT AS most_files
+        FROM ({_clean(GAMES, LANDED_GAMES)}) GROUP BY game_date""",
+    "bucketed_entities": f"""
+        SELECT player_id, avg(pts) AS avg_pts, avg(reb) AS avg_reb, avg(ast) AS avg_ast,
+               count(*) AS games_played
+        FROM ({PLAYER_ROWS}) WHERE player_id IN (SELECT s_suppkey FROM supplier WHERE s_acctbal > 0)
+        GROUP BY player_id""",
+    "bloom_entities": f"""
+        SELECT * FROM ({PLAYER_ROWS}) WHERE cast(game_id as bigint) IN ({', '.join(map(str, WANTED_GAMES))})""",
     "landed_counts": " UNION ALL ".join(
         f"SELECT '{t}' AS table_name, count(*) AS row_count FROM {t}" for t in ALL_TABLES),
     # Column transforms
@@ -283,6 +316,19 @@ ORACLE: dict[str, str] = {
     "end_to_end": _top_scorers(_clean(PLAYERS, _landed_players())),
     "stored_players": _twice(_clean(PLAYERS, _landed_players())),
     "stored_games": _twice(_clean(GAMES, LANDED_GAMES)),
+    "player_performance_view": f"""
+        SELECT player_id, player_name, game_date, pts, reb, ast, plus_minus
+        FROM ({_clean(PLAYERS, _landed_players())}) WHERE game_date >= DATE '{SINCE}'""",
+    "win_loss_view": f"""
+        SELECT team_abbreviation, wl, count(*) AS game_count FROM ({_clean(GAMES, LANDED_GAMES)})
+        WHERE game_date >= DATE '{SINCE}' GROUP BY team_abbreviation, wl""",
+    "health_view": f"""
+        SELECT ingestion_date, count(*) AS records_ingested FROM ({_clean(GAMES, LANDED_GAMES)})
+        GROUP BY ingestion_date""",
+    "current_top_scorers": _top_scorers(_clean(PLAYERS, _landed_players())),
+    "reconciled_runs": " UNION ALL ".join([
+        _counts("games", _clean(GAMES, LANDED_GAMES), LANDED_GAMES),
+        _counts("player_stats", _clean(PLAYERS, _landed_players()), _landed_players())]),
     "health_check_today": """
         SELECT ingestion_date, count(*) AS records_ingested FROM (
             SELECT cast(cast(now() AT TIME ZONE 'UTC' as date) - (event_id % 14)::INT as date)

@@ -31,6 +31,9 @@ EARLY_RUN = "1992-01-01"
 EVENTS_AS_OF = "2024-01-30"
 RETAIN_AS_OF = "2024-02-14"
 STREAM_RUNS = {"2025-04-12": "O", "2025-04-13": "F"}
+STREAM_DATES = tuple(STREAM_RUNS)
+BUCKETS = 8
+WANTED_GAMES = (1, 2, 3, 4, 5, 32, 33, 999)
 ALL_TABLES = ("region nation customer supplier part orders lineitem events documents embeddings "
               "pages benchmark labels conversations").split()
 
@@ -130,6 +133,76 @@ def replace_batches(spark, sf_dir):
     return spark.read.schema(df.schema).parquet(path)
 
 
+def _two_runs(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
+    """Contract rows of one season as two runs see it: the later one lacks some games and corrects the points of others."""
+    season = standins.raw_games(spark, sf_dir).transform(
+        rows.filter_season, SEASON, LEAGUE, "SEASON_ID", "LEAGUE_ID")
+    first = season.transform(clean, GAMES, STREAM_DATES[0])
+    second = season.filter("FG3M < 5").withColumn(
+        "PTS", F.when(F.col("FTM") > 2, F.col("PTS") + 100).otherwise(F.col("PTS")))
+    return [first, second.transform(clean, GAMES, STREAM_DATES[1])]
+
+
+def _game_table(spark: SparkSession, label: str) -> str:
+    path = scratch_path(spark, label)
+    name = f"{label}_{path[-32:]}"
+    tables.create_table(spark, name, GAMES, path)
+    return name
+
+
+@query("merge_runs")
+def merge_runs(spark, sf_dir):
+    """A table after both runs, the later one twice: one row for each key of a date, from its newest run."""
+    name = _game_table(spark, "merged")
+    first, second = _two_runs(spark, sf_dir)
+    for batch in (first, second, second):
+        tables.merge_rows(tables.staged(batch), name, GAMES)
+    return spark.table(name).transform(columns.project, GAMES.contract)
+
+
+@query("latest_rows")
+def latest_rows(spark, sf_dir):
+    """The same rows from an appended table that holds both runs, without storing them."""
+    first, second = _two_runs(spark, sf_dir)
+    return first.unionByName(second).transform(rows.latest, [GAMES.partition, *GAMES.keys])
+
+
+@query("compacted_dates")
+def compacted_dates(spark, sf_dir):
+    """A table that five appends filled, a quarter of its dates compacted; and how many files a date has at most."""
+    name = _game_table(spark, "compacted")
+    own = tables.staged(_two_runs(spark, sf_dir)[0])
+    for part in range(5):
+        tables.append_to_table(
+            own.filter(F.pmod(F.xxhash64("game_id"), F.lit(5)) == part), name, GAMES)
+    tables.compact(spark, name, GAMES, most_files=1)
+    most = tables.file_sizes(spark, tables.location(spark, name)).groupBy("folder").count().agg(
+        F.max("count").alias("most_files"))
+    return spark.table(name).groupBy("game_date").agg(
+        F.count("*").alias("games"), F.sum("pts").alias("pts")).join(F.broadcast(most))
+
+
+@query("bucketed_entities")
+def bucketed_entities(spark, sf_dir):
+    """Season averages of the selected players from the bucketed copy: neither the join nor the sums shuffle the table."""
+    name = "by_player_" + scratch_path(spark, "buckets")[-32:]
+    tables.bucketed_table(standins.players(spark, sf_dir), name, "player_id", BUCKETS, "player_id", "game_date")
+    chosen = standins.rostered(spark, sf_dir).selectExpr("s_suppkey AS player_id")
+    return spark.table(name).transform(rows.select_entities, "player_id", chosen).groupBy(
+        "player_id").agg(*(F.avg(c).alias(f"avg_{c}") for c in ("pts", "reb", "ast")),
+                         F.count("*").alias("games_played"))
+
+
+@query("bloom_entities")
+def bloom_entities(spark, sf_dir):
+    """Games looked up by id in files whose row groups hold Bloom filters of it."""
+    path = scratch_path(spark, "bloom")
+    standins.players(spark, sf_dir).write.options(**tables.bloom_options(["game_id"])).parquet(path)
+    wanted = [f"{k:010d}" for k in WANTED_GAMES]
+    return spark.read.schema(standins.players(spark, sf_dir).schema).parquet(path).transform(
+        rows.select_entities, "game_id", wanted)
+
+
 @query("landed_counts")
 def landed_counts(spark, sf_dir):
     return reports.landed_counts({n: table(spark, sf_dir, n) for n in ALL_TABLES})
@@ -532,6 +605,51 @@ def stored_games(spark, sf_dir):
     return processed.unionByName(pipeline.warehouse_tables(spark, zones)[GAMES.name])
 
 
+@query("player_performance_view")
+def player_performance_view(spark, sf_dir):
+    """The time-ordered view of the stored players, read by name in another session."""
+    zones = _whole_job(spark, sf_dir)
+    return spark.newSession().sql(f"SELECT * FROM {zones.table('player_performance_over_time')}")
+
+
+@query("win_loss_view")
+def win_loss_view(spark, sf_dir):
+    zones = _whole_job(spark, sf_dir)
+    return spark.newSession().sql(f"SELECT * FROM {zones.table('win_loss_by_team')}")
+
+
+@query("health_view")
+def health_view(spark, sf_dir):
+    zones = _whole_job(spark, sf_dir)
+    return spark.newSession().sql(f"SELECT * FROM {zones.table('pipeline_health_check')}")
+
+
+def _season_twice(spark: SparkSession, sf_dir: str) -> Zones:
+    """The whole job on two days for the same season, with the tables of newest rows."""
+    zones = _league(spark)
+    for run_date in STREAM_DATES:
+        land_games(standins.raw_games(spark, sf_dir), zones.raw(run_date, "games"), SEASON, LEAGUE)
+        land_players(standins.raw_players(spark, sf_dir), zones.raw(run_date, "player_stats"), SEASON,
+                     _chosen(spark, sf_dir), standins.dimension(spark, sf_dir))
+        pipeline.transform(spark, zones, run_date, keep_current=True)
+    pipeline.register_views(spark, zones, SINCE, RUN_DATE, newest=True)
+    return zones
+
+
+@query("current_top_scorers")
+def current_top_scorers(spark, sf_dir):
+    """A season that two runs stored counts once."""
+    zones = _season_twice(spark, sf_dir)
+    return spark.newSession().sql(f"SELECT * FROM {zones.table('current_top_scorers')}")
+
+
+@query("reconciled_runs")
+def reconciled_runs(spark, sf_dir):
+    """Counts of every zone for the second of two runs of a season."""
+    zones = _season_twice(spark, sf_dir)
+    return pipeline.reconcile(spark, zones, STREAM_DATES[1])
+
+
 @query("health_check_today")
 def health_check_today(spark, sf_dir):
     """The health check against the current date."""

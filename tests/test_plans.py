@@ -10,14 +10,14 @@ from pyspark.sql import functions as F
 import run
 from statloom.operators import reports
 from statloom.plans import pipeline
-from statloom.plans.clean import clean, rejects, typed
+from statloom.plans.clean import accepted, clean, rejects, typed
 from statloom.plans.land import land_games, land_players
 from statloom.schemas import GAMES, PLAYERS
 from statloom.session import scratch_path
 from statloom.sources import files, tables
 from statloom.sources.jsonl import read_json_lines, read_records
 from statloom.sources.paths import Zones
-from statloom.streaming.landing import stream_table
+from statloom.streaming.landing import new_lines, stream_table
 
 RUN_DATE = "2025-04-13"
 NUMBERS = {f.name: 1.0 for f in GAMES.raw.fields if f.dataType.simpleString() == "double"}
@@ -280,3 +280,122 @@ def test_a_late_file_of_a_run_adds_only_new_keys(spark, zones, tmp_path):
     pipeline.transform(spark, zones, RUN_DATE)
     assert pipeline.warehouse_tables(spark, zones)[PLAYERS.name].count() == 12 + 6
     assert tables.read_table(spark, zones.warehouse(PLAYERS.name), PLAYERS.contract).count() == 18
+
+
+def test_stream_fills_both_zones_and_the_rejects(spark, zones):
+    for _ in range(2):  # the second time with no state: everything comes again
+        stream_table(spark, GAMES, "games", zones, scratch_path(spark, "state")).awaitTermination(120)
+        for run_date in ("2025-04-12", RUN_DATE):
+            expected = clean(read_records(spark, zones.raw(run_date, "games"), GAMES), GAMES, run_date)
+            got = tables.read_table(spark, zones.processed(run_date, "games"), GAMES.contract)
+            assert got.exceptAll(expected).count() == 0 and expected.exceptAll(got).count() == 0
+            refused = spark.read.json(zones.rejects(run_date, "games"))
+            assert sorted(r["dropped"] for r in refused.collect()) == [False, True]
+
+
+def test_stream_keeps_the_most_complete_record(spark, zones, tmp_path):
+    """Whichever file of a run comes first."""
+    state, folder = scratch_path(spark, "state"), tmp_path / "raw" / "league" / "2025-04-15"
+    stored = lambda: {r["game_id"]: (r["wl"], r["pts"]) for r in
+                      pipeline.warehouse_tables(spark, zones)[GAMES.name]
+                      .filter("ingestion_date = date'2025-04-15'").collect()}
+    for n, lines in enumerate([[game(WL=None, PTS=3.0), game(GAME_ID="b")], [game(PTS=9.0), game(GAME_ID="b", WL=None)]]):
+        folder.mkdir(parents=True, exist_ok=True)
+        (folder / "games.json").mkdir(exist_ok=True)
+        (folder / "games.json" / f"{n}.json").write_text("\n".join(map(json.dumps, lines)))
+        stream_table(spark, GAMES, "games", zones, state).awaitTermination(120)
+    assert stored() == {"0022400001": ("W", 9), "b": ("W", 1)}
+
+
+def test_stream_plan_has_bounded_state(spark, zones):
+    lines = new_lines(spark, zones, "games", "1 day")
+    plan = lines._jdf.queryExecution().analyzed().toString()
+    assert "DeduplicateWithinWatermark [_digest" in plan and "EventTimeWatermark" in plan
+
+
+def test_rerunning_a_season_counts_once_in_the_current_tables(spark, zones):
+    for run_date in ("2025-04-12", RUN_DATE):
+        pipeline.transform(spark, zones, run_date, keep_current=True)
+    newest = pipeline.warehouse_tables(spark, zones, newest=True)
+    assert pipeline.warehouse_tables(spark, zones)[GAMES.name].count() == 14
+    assert newest[GAMES.name].count() == 7 and newest[PLAYERS.name].count() == 5
+    assert {r[0] for r in newest[GAMES.name].select("ingestion_date").collect()} == {date(2025, 4, 13)}
+    # A run that is repeated late does not replace newer rows.
+    pipeline.transform(spark, zones, "2025-04-12", keep_current=True)
+    assert {r[0] for r in pipeline.warehouse_tables(spark, zones, newest=True)[GAMES.name]
+            .select("ingestion_date").collect()} == {date(2025, 4, 13)}
+    views = pipeline.register_views(spark, zones, "2024-10-01", RUN_DATE, newest=True)
+    assert set(views) >= {"current_top_scorers", "current_win_loss_by_team"}
+    assert {r["player_id"]: r["games_played"] for r in views["current_top_scorers"].collect()} == {99: 1, 2544: 3}
+
+
+def test_a_partial_rerun_changes_nothing_and_a_correction_replaces(spark, zones, tmp_path):
+    pipeline.transform(spark, zones, RUN_DATE, tables.MERGE)
+    stored = lambda: sorted(map(str, pipeline.warehouse_tables(spark, zones)[PLAYERS.name].collect()))
+    before = stored()
+    assert len(before) == 5
+    raw = tmp_path / "raw" / "league" / RUN_DATE / "player_stats.json"
+    write(raw, PLAYER_LINES[2:3] + PLAYER_LINES[6:7])
+    pipeline.transform(spark, zones, RUN_DATE, tables.MERGE)
+    assert stored() == before
+    write(raw, [player(PTS=44.0), player(Game_ID="new")])
+    pipeline.transform(spark, zones, RUN_DATE, tables.MERGE)
+    after = pipeline.warehouse_tables(spark, zones)[PLAYERS.name]
+    assert after.count() == 6
+    assert after.filter("player_id = 2544 and game_id = '0022400001'").first()["pts"] == 44
+    processed = tables.read_table(spark, zones.processed(RUN_DATE, "player_stats"), PLAYERS.contract)
+    assert processed.exceptAll(after).count() == 0 and processed.count() == 6
+
+
+def test_a_conforming_feed_is_parsed_once(spark, zones, monkeypatch):
+    """Parsing and judging happen in one pass over the text; all sinks read what it wrote."""
+    texts = []
+    read_text = type(spark.read).text
+    monkeypatch.setattr(type(spark.read), "text", lambda self, *a, **k: texts.append(a) or read_text(self, *a, **k))
+    judged = pipeline.parse(spark, GAMES, "games", zones, RUN_DATE)
+    pipeline.keep_rejects(judged, GAMES, "games", zones, RUN_DATE)
+    assert len(texts) == 1 and "Scan text" not in plan_of(judged) and "Scan parquet" in plan_of(judged)
+
+
+def test_a_lost_file_is_reported(spark, zones):
+    pipeline.transform(spark, zones, RUN_DATE)
+    rows_of = lambda: {r["feed"]: r for r in pipeline.reconcile(spark, zones, RUN_DATE).collect()}
+    assert all(r["agrees"] and r["noted"] == r["stored"] == r["processed"] == r["kept"] for r in rows_of().values())
+    day = f"{zones.warehouse(GAMES.name)}/game_date=2025-01-15"
+    (name,) = [c for c in files.children(spark, day) if c.endswith(".parquet")][:1]
+    files.delete(spark, f"{day}/{name}")
+    spark.catalog.refreshTable(zones.table(GAMES.name))
+    got = rows_of()
+    assert not got["games"]["agrees"] and got["games"]["missing_dates"] == 1 and got["player_stats"]["agrees"]
+    plan = plan_of(spark.table(zones.table(GAMES.name)).groupBy("game_date").count())
+    assert "ReadSchema: struct<>" in plan
+
+
+def test_a_column_that_is_always_null_is_no_missing_column(spark, zones, tmp_path):
+    lines = [game(MATCHUP=None)]
+    write(tmp_path / "raw" / "league" / "2025-04-16" / "games.json", lines)
+    assert pipeline.parse(spark, GAMES, "games", zones, "2025-04-16").count() == 1
+
+
+def test_a_feed_of_another_spelling_is_stored_alike(spark, zones, tmp_path):
+    lines = [{k.lower(): str(v) if k in ("PTS", "GAME_ID") and v is not None else v for k, v in line.items()}
+             for line in GAME_LINES if line["PTS"] == line["PTS"]]
+    write(tmp_path / "raw" / "league" / "2025-04-17" / "games.json", lines + GAME_LINES[:1])
+    raw = read_records(spark, zones.raw("2025-04-17", "games"), GAMES)
+    expected = clean(raw, GAMES, "2025-04-17").drop("ingestion_date")
+    got = accepted(pipeline.parse(spark, GAMES, "games", zones, "2025-04-17"), GAMES)
+    assert expected.count() == 6 and expected.exceptAll(got).count() == 0
+
+
+def test_expiry_reads_the_noted_runs_only(spark, zones):
+    pipeline.transform(spark, zones, RUN_DATE)
+    plan = plan_of(tables.last_runs(spark, zones.table(GAMES.name), GAMES))
+    assert "game_stats_runs" in plan and "/game_stats]" not in plan
+
+
+def test_replacing_dates_leaves_the_others(spark, zones, tmp_path):
+    pipeline.transform(spark, zones, RUN_DATE)
+    write(tmp_path / "raw" / "league" / "2025-04-18" / "games.json", [game(GAME_ID="x", GAME_DATE="2025-03-01")])
+    write(tmp_path / "raw" / "league" / "2025-04-18" / "player_stats.json", PLAYER_LINES)
+    pipeline.transform(spark, zones, "2025-04-18", tables.REPLACE_DATES)
+    assert pipeline.warehouse_tables(spark, zones)[GAMES.name].count() == 8
