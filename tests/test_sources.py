@@ -278,3 +278,103 @@ def test_a_write_gives_back_its_own_rows(spark, players):
         assert bag(tables.write_marked(own, path, PLAYERS)) == bag(own)
     assert tables.read_table(spark, path, PLAYERS.contract).count() == 2000
     assert tables.write_marked(players.limit(0), path, PLAYERS) is None
+
+
+def test_merge_touches_the_dates_of_the_batch_only(spark, players):
+    path = scratch_path(spark, "merge")
+    name = "merge_" + path[-32:]
+    tables.create_table(spark, name, PLAYERS, path)
+    unique = players.transform(rows.dedupe, [PLAYERS.partition, *PLAYERS.keys])
+    tables.append_to_table(unique, name, PLAYERS)
+    before = {r["path"] for r in tables.file_sizes(spark, path).collect()}
+    batch = unique.filter("game_date = date'2024-10-04' or game_date is null").withColumn("pts", F.col("pts") + 1000)
+    assert tables.merge_rows(batch, name, PLAYERS) == 2
+    kept = before & {r["path"] for r in tables.file_sizes(spark, path).collect()}
+    assert all("2024-10-04" not in f and tables.NO_DATE not in f for f in kept) and kept
+    out = spark.table(name).select(*PLAYERS.contract.names)
+    touched = "game_date = date'2024-10-04' or game_date is null"
+    assert bag(out.filter(touched)) == bag(batch)
+    assert bag(out.filter(f"not coalesce({touched}, true)")) == bag(unique.filter(f"not coalesce({touched}, true)"))
+    plan = plan_of(tables.on_dates(spark.table(name), tables.dates_of(batch)))
+    assert "PartitionFilters: [(" in plan
+    assert tables.merge_rows(batch.limit(0), name, PLAYERS) == 0
+    spark.sql(f"DROP TABLE {name}")
+
+
+def test_latest_prefers_the_newest_run_then_the_most_complete(spark):
+    df = spark.createDataFrame(
+        [("a", 1, "x", "2025-01-01"), ("a", 2, None, "2025-01-02"), ("a", 3, "y", "2025-01-02"),
+         ("b", 4, "z", None), ("b", 5, "z", "2024-01-01"), (None, 6, None, None)],
+        "k string, v int, w string, s string").withColumn("s", F.col("s").cast("date"))
+    got = {r["k"]: r["v"] for r in rows.latest(df, ["k"], "s").collect()}
+    assert got == {"a": 3, "b": 5, None: 6}
+    tree = plan_of(rows.latest(df, ["k"], "s"))
+    assert tree.split("\n\n\n")[0].count("Exchange") == 1
+
+
+def test_compaction_bounds_the_files_of_a_date(spark, players):
+    path = scratch_path(spark, "compact")
+    name = "compact_" + path[-32:]
+    tables.create_table(spark, name, PLAYERS, path)
+    for n in range(6):
+        tables.append_to_table(players.filter(f"pts % 6 = {n}"), name, PLAYERS)
+    counts = lambda: {r[0]: r[1] for r in tables.file_sizes(spark, path).groupBy("folder").count().collect()}
+    crowded = {d for d, n in counts().items() if n > 4}
+    assert tables.compact(spark, name, PLAYERS) == len(crowded) > 0
+    assert max(counts().values()) <= 4
+    assert bag(spark.table(name).select(*PLAYERS.contract.names)) == bag(players)
+    assert tables.compact(spark, name, PLAYERS) == 0
+    # Small targets cut a date into as many files as its bytes need.
+    assert tables.crowded_dates(spark, path, 0, 1) == []
+    spark.sql(f"DROP TABLE {name}")
+
+
+def scanned_rows(spark, df):
+    """How many rows the scan of a frame gave."""
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        counted = df.groupBy().agg(F.count("*"), F.max(df.columns[0]))
+        counted.collect()
+        return counted._jdf.queryExecution().executedPlan().collectLeaves().apply(0).metrics().apply(
+            "numOutputRows").value()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def test_buckets_spare_the_shuffle(spark, players):
+    name = "by_player_test"
+    tables.bucketed_table(players, name, "player_id", 4, "player_id", "game_date")
+    by_player = spark.table(name)
+    chosen = spark.createDataFrame([(1,), (2,)], "player_id long")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        totals = by_player.groupBy("player_id", "player_name").agg(F.avg("pts"))
+        assert "Exchange" not in plan_of(totals)
+        picked = by_player.hint("merge").join(by_player.groupBy("player_id").count(), "player_id")
+        assert "Exchange" not in plan_of(picked)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    # A filter reads the rows of one bucket, not of all four.
+    one = rows.select_entities(by_player, "player_id", [2])
+    ids = {r[0] for r in by_player.selectExpr("player_id", "pmod(hash(player_id), 4) AS b").filter(
+        "b = pmod(hash(2L), 4)").distinct().collect()}
+    assert scanned_rows(spark, one) <= players.filter(F.col("player_id").isin(ids)).count() < players.count()
+    assert bag(by_player.select(*players.columns)) == bag(players)
+    assert bag(rows.select_entities(by_player, "player_id", chosen).select(*players.columns)) == bag(
+        players.filter("player_id in (1, 2)"))
+    spark.sql(f"DROP TABLE {name}")
+
+
+def test_bloom_filters_skip_row_groups(spark):
+    """An id within the least and greatest of a file, but in none of its rows, is read with no filter only."""
+    df = spark.range(0, 200_000, 2).selectExpr("lpad(id, 10, '0') AS game_id", "id AS pts").coalesce(1)
+
+    def scanned(options):
+        path = scratch_path(spark, "bloom")
+        df.write.options(**options).option("parquet.enable.dictionary", "false").parquet(path)
+        out = spark.read.schema(df.schema).parquet(path).filter("game_id = '0000100001'")
+        assert out.count() == 0
+        return scanned_rows(spark, out)
+
+    assert scanned({}) > 0
+    assert scanned(tables.bloom_options(["game_id"], 100_000)) == 0
