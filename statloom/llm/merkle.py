@@ -27,6 +27,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from statloom.llm.tables import lean
+
 #: A paragraph longer than this is cut into leaves of about this many characters.
 LEAF_CHARS = 160
 #: A paragraph ends its section with a chance of one in so many.
@@ -191,4 +193,4 @@ def compare_neighbours(docs: DataFrame) -> DataFrame:
         if rows:
             yield batch_of(rows)
 
-    return in_order(docs, parts).mapInArrow(run, _ROW)
+    return in_order(docs, parts).mapInArrow(lean(run), _ROW)

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from statloom.llm.components import components
-from statloom.llm.tables import settled
+from statloom.llm.tables import lean, settled
 from statloom.llm.words import Words, blocks, mix, shingles
 
 PERMUTATIONS = 64
@@ -105,7 +105,7 @@ def describe(docs: DataFrame, size: int, rows: int,
                      pa.array(digest[0].view(np.int64)), pa.array(digest[1].view(np.int64)), lists],
                     names=["doc_id", "n_shingles", "d1", "d2", "bands"])
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, _SETS)
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(lean(run), _SETS)
 
 
 def _families(classes: DataFrame) -> DataFrame:

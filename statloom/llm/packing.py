@@ -33,6 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+from statloom.llm.tables import KEPT, lean
 from statloom.llm.words import Block, blocks, byte_ranges
 
 SEQUENCE = 2048
@@ -244,6 +245,7 @@ class Encoder:
 
 
 _ENCODERS: dict[str, Encoder] = {}
+KEPT.append(_ENCODERS)
 
 
 def encoder(path: str) -> Encoder:
@@ -399,4 +401,4 @@ def pack(docs: DataFrame, vocabulary: str | None = None, sequence: int = SEQUENC
         .repartitionByRange("doc_id", "tie").sortWithinPartitions("doc_id", "tie")
         .select("doc_id", "text")
     )
-    return ordered.mapInArrow(run, _PIECE)
+    return ordered.mapInArrow(lean(run, keep=True), _PIECE)

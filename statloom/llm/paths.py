@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from statloom.llm.tables import shipped
+from statloom.llm.tables import lean, shipped
 
 KERNEL = (0.1, 0.2, 0.4, 0.2, 0.1)
 THRESHOLD = 0.5
@@ -313,7 +313,7 @@ def host_ratios(keyed: DataFrame) -> DataFrame:
                 names=["host", "key", "path", "n", "chars", "marks"])
 
     sums = keyed.select("host", "key", "html").mapInArrow(
-        run, "host string, key long, path long, n long, chars long, marks long")
+        lean(run), "host string, key long, path long, n long, chars long, marks long")
     pooled = sums.groupBy("host", "path").agg(
         *(F.sum(c).alias(c) for c in ("n", "chars", "marks"))).select(
         "host", "path", (F.col("chars") / F.col("n") * (1 + F.col("marks") / F.col("n"))).alias("ratio"),
@@ -340,4 +340,4 @@ def extract(pages: DataFrame) -> DataFrame:
 
     schema = pages.select("page_id", "url").schema.add("text", "string").add("n_chars", "long")
     return keyed.hint("merge").join(host_ratios(keyed), "key", "left").select(
-        "page_id", "url", "html", "ratios").mapInArrow(run, schema)
+        "page_id", "url", "html", "ratios").mapInArrow(lean(run), schema)

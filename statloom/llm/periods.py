@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from statloom.llm.tables import shipped
+from statloom.llm.tables import lean, shipped
 from statloom.llm.words import Words, blocks, mix
 
 MIN_LENGTH, MIN_POWER = 6, 4
@@ -201,7 +201,7 @@ def find(docs: DataFrame) -> DataFrame:
                 yield part(batch.column(0).slice(block.first, len(block)), Words(block))
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
-        run, _SCHEMA)
+        lean(run), _SCHEMA)
 
 
 def planted(docs: DataFrame) -> DataFrame:

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from statloom.llm.tables import held_out
+from statloom.llm.tables import held_out, lean
 from statloom.llm.words import blocks
 
 ORDER = 3
@@ -74,7 +74,7 @@ def count_grams(sample: DataFrame, order: int = ORDER) -> DataFrame:
                              pa.array(np.full(len(gram), length, np.int32)), pa.array(gram),
                              pa.array(n.astype(np.int64))], names=["lang", "length", "gram", "n"])
 
-    return (sample.select("lang", "text").mapInArrow(run, _GRAMS)
+    return (sample.select("lang", "text").mapInArrow(lean(run), _GRAMS)
             .groupBy("lang", "length", "gram").agg(F.sum("n").alias("n")))
 
 
@@ -232,7 +232,7 @@ def predict(docs: DataFrame, model: Model | None, passed: list[str]) -> DataFram
                     [*part.columns[:len(passed)], pa.array(names[best], pa.string()),
                      pa.array(score)], names=schema.names)
 
-    return picked.mapInArrow(run, schema)
+    return picked.mapInArrow(lean(run), schema)
 
 
 def identify(docs: DataFrame) -> DataFrame:

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from statloom.llm.tables import settled
+from statloom.llm.tables import lean, settled
 from statloom.llm.words import Words, blocks, mix
 
 #: Items a sketch level holds: the rank error is about 1 / SKETCH_ITEMS, and below so many texts none.
@@ -119,7 +119,7 @@ def measure(docs: DataFrame, passed: list[str], text: str = "text") -> DataFrame
                     [c.slice(block.first, len(block)) for c in batch.columns[:len(passed)]]
                     + [pa.array(counts[c], pa.int64()) for c in COUNTS], names=names)
 
-    return docs.select(*sent).mapInArrow(run, schema.schema)
+    return docs.select(*sent).mapInArrow(lean(run), schema.schema)
 
 
 def rates(measured: DataFrame) -> DataFrame:

@@ -7,10 +7,15 @@ information content. Terms beyond a share of it are disclosed: beyond REMOVE the
 GENERALISE replaced by a general word, wherever they occur in a text that holds the entity.
 
 Counts are over documents: N, those with the term, those with the entity, those with both, however
-far apart. The work on a text is its entities times its terms, for entities in MIN_TEXTS texts; no
-others can have a pair that counts. A pair counts once it is seen in MIN_TEXTS different texts; copies of one
-text are one piece of evidence. Terms are runs of letters and digits, A-Z lower-cased; numbers are
-terms like others. Only those of one or two letters a-z are left out.
+far apart. Evidence is shrunk by how much there is of it: a share counts n / (n + SHRINK) of itself, n being the different
+texts that hold both; copies of one text are one. So a pair seen once is never judged, one seen twice may be
+generalised, one seen often counts in full. What entities share pools their evidence: the domain of an address, the
+first three numbers of an IP, the first six digits of a card or phone number are protected as groups, at POOLED_SHRINK, as
+groups are larger and meet a rare term by chance more easily.
+
+Terms are runs of letters and digits, A-Z lower-cased; numbers are terms like others. Only those of one or two
+letters a-z are left out. Entities that are in too few texts for any share to reach a threshold, and terms in too many
+documents for their entity, are left out before pairs are made, which changes no result.
 
 Defined results: a null text is empty and has no spans; spans are code points, end exclusive; ties of
 start go by kind in the order of KINDS; repeated rows give the same result each; other
@@ -19,6 +24,7 @@ columns are not read; an empty table gives no rows.
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Iterator
 
@@ -27,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from statloom.llm.tables import settled
+from statloom.llm.tables import lean, settled
 from statloom.llm.words import LOWER, Block, Words, blocks, mix
 
 #: The kinds in order, and the patterns of the base.
@@ -39,11 +45,11 @@ _IP = re.compile(r"[0-9]+(?:\.[0-9]+)(?:\.[0-9]+)(?:\.[0-9]+)")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 
-#: Only the tests' plain counts look at so many terms around an entity; the operator has no window.
-WINDOW = 5
-MIN_TEXTS = 3
 #: Shares of the entity's information.
 REMOVE, GENERALISE = 0.95, 0.85
+#: Texts of doubt: how far the evidence on an entity, and on a group of entities, is shrunk.
+SHRINK, POOLED_SHRINK = 0.3, 0.9
+GROUP_DIGITS = 6
 PLACEHOLDER = {"email": "[EMAIL]", "ip": "[IP]", "card": "[CARD]", "phone": "[PHONE]",
                "term": "[REMOVED]", "generalised": "[DETAIL]"}
 
@@ -55,7 +61,7 @@ _A_TO_Z[ord("a"):ord("z") + 1] = True
 
 _SPAN = "start int, kind int, end int"
 _FOUND = (f"doc_id long, text_key long, base array<struct<{_SPAN}>>, entities array<long>, "
-          "text string")
+          "pooled array<long>, text string")
 
 
 def _luhn(digits: str) -> bool:
@@ -107,6 +113,15 @@ def _usable(words: Words) -> np.ndarray:
     return (words.end - words.begin >= 3) | (others[words.end] > others[words.begin])
 
 
+def group_of(kind: int, value: str) -> str:
+    """What an entity shares with others of its kind."""
+    if KINDS[kind] == "email":
+        return value.rpartition("@")[2]
+    if KINDS[kind] == "ip":
+        return value.rpartition(".")[0]
+    return re.sub("[^0-9]", "", value)[:GROUP_DIGITS]
+
+
 def _entity_key(kind: int, value: str) -> int:
     raw = f"{kind}:{value.lower()}".encode()
     words = Words(Block(0, np.frombuffer(raw, np.uint8), np.array([len(raw)])))
@@ -138,7 +153,7 @@ _HAS_DIGIT_OR_AT[[*b"0123456789@"]] = True
 
 
 def find(docs: DataFrame) -> DataFrame:
-    """doc_id, text_key (a hash of the text), base spans, and of rows that have some the entities
+    """doc_id, text_key (a hash of the text), base spans, and of rows that have some the entities, their groups
     and the text."""
     span = pa.struct([(c, pa.int32()) for c in ("start", "kind", "end")])
 
@@ -148,21 +163,23 @@ def find(docs: DataFrame) -> DataFrame:
                 part = batch.slice(block.first, len(block))
                 hits = np.concatenate([[0], np.cumsum(_HAS_DIGIT_OR_AT[block.data])])
                 maybe = hits[block.ends] > hits[block.starts]
-                base, entities = [[] for _ in range(len(block))], [[] for _ in range(len(block))]
+                base, entities, pooled = ([[] for _ in range(len(block))] for _ in range(3))
                 texts = [None] * len(block)
                 for i in np.flatnonzero(maybe):
                     text = block.data[block.starts[i]:block.ends[i]].tobytes().decode()
                     if spans := base_spans(text):
                         base[i] = [{"start": s, "kind": k, "end": e} for s, k, e in spans]
                         entities[i] = list({_entity_key(k, text[s:e]) for s, k, e in spans})
+                        pooled[i] = list({_entity_key(-1 - k, group_of(k, text[s:e])) for s, k, e in spans})
                         texts[i] = text
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), part.column(1), pa.array(base, pa.list_(span)),
-                     pa.array(entities, pa.list_(pa.int64())), pa.array(texts, pa.string())],
-                    names=["doc_id", "text_key", "base", "entities", "text"])
+                     pa.array(entities, pa.list_(pa.int64())), pa.array(pooled, pa.list_(pa.int64())),
+                     pa.array(texts, pa.string())],
+                    names=["doc_id", "text_key", "base", "entities", "pooled", "text"])
 
     return docs.select("doc_id", F.xxhash64("text").alias("text_key"), "text").mapInArrow(
-        run, _FOUND)
+        lean(run), _FOUND)
 
 
 def free_terms(texts: DataFrame) -> DataFrame:
@@ -190,7 +207,7 @@ def free_terms(texts: DataFrame) -> DataFrame:
                     [pa.array(keys[block.first + owner[first]]),
                      pa.array(hashes[first].view(np.int64))], names=["text_key", "term"])
 
-    return texts.select("text_key", "base", "text").mapInArrow(run, "text_key long, term long")
+    return texts.select("text_key", "base", "text").mapInArrow(lean(run), "text_key long, term long")
 
 
 def term_documents(docs: DataFrame) -> DataFrame:
@@ -212,31 +229,45 @@ def term_documents(docs: DataFrame) -> DataFrame:
                     [pa.array(term.view(np.int64)), pa.array(n.astype(np.int64))],
                     names=["term", "n"])
 
-    return (docs.select("text").mapInArrow(run, "term long, n long")
+    return (docs.select("text").mapInArrow(lean(run), "term long, n long")
             .groupBy("term").agg(F.sum("n").alias("n_term")))
 
 
+def _least_texts(shrink: float) -> int:
+    """So many texts at least hold a pair whose share, however large, can reach a threshold."""
+    return math.ceil(shrink * GENERALISE / (1 - GENERALISE))
+
+
 def disclosing(found: DataFrame, docs: DataFrame) -> DataFrame:
-    """text_key, and told: term and kind (a number of KINDS) of what gives away an entity of the text."""
+    """text_key, and told: term and kind (a number of KINDS) of what gives away an entity of the text, or its group."""
     holding = found.where(F.size("entities") > 0)
     # Counted per text first: a hot group of copies is one row from here on.
-    by_text = holding.select("text_key", F.explode("entities").alias("entity")).groupBy(
-        "entity", "text_key").agg(F.count("*").alias("n"))
-    several = by_text.groupBy("entity").agg(F.count("*").alias("texts")).where(
-        F.col("texts") >= MIN_TEXTS)
-    often = settled(by_text.join(several, "entity", "left_semi"), "often")
+    named = [holding.select("text_key", F.explode(c).alias("entity"), F.lit(shrink).alias("shrink"))
+             for c, shrink in (("entities", SHRINK), ("pooled", POOLED_SHRINK))]
+    by_text = named[0].unionByName(named[1]).groupBy("entity", "shrink", "text_key").agg(
+        F.count("*").alias("n"))
+    least = F.when(F.col("shrink") == SHRINK, _least_texts(SHRINK)).otherwise(_least_texts(POOLED_SHRINK))
+    total = docs.agg(F.count("*").alias("n")).first()["n"]
+    several = (
+        by_text.groupBy("entity", "shrink").agg(F.count("*").alias("texts"), F.sum("n").alias("n_entity"))
+        .where((F.col("texts") >= least) & (F.col("n_entity") < total))
+        # A share of GENERALISE needs a term in so many documents at most.
+        .select("entity", "n_entity", (F.col("n_entity") * F.pow(
+            F.lit(total) / F.col("n_entity"), F.lit(1 - GENERALISE + 1e-9))).alias("most")))
+    often = settled(by_text.join(several, "entity"), "often")
     texts = holding.groupBy("text_key").agg(
         F.first("base").alias("base"), F.first("text").alias("text")).join(
         often.select("text_key").distinct(), "text_key", "left_semi")
-    pairs = free_terms(texts).join(often, "text_key").groupBy("entity", "term").agg(
-        F.sum("n").alias("n_both"), F.count("*").alias("texts")).where(F.col("texts") >= MIN_TEXTS)
-    n_entity = often.groupBy("entity").agg(F.sum("n").alias("n_entity"))
-    total = docs.agg(F.count("*").alias("n")).scalar()
+    rare = free_terms(texts).join(
+        term_documents(docs).where(F.col("n_term") >= _least_texts(SHRINK)), "term")
     share = F.log2(F.col("n_both") * total / (F.col("n_entity") * F.col("n_term"))) \
-        / F.log2(total / F.col("n_entity"))
+        / F.log2(total / F.col("n_entity")) * F.col("texts") / (F.col("texts") + F.col("shrink"))
     told = (
-        pairs.join(n_entity, "entity").join(term_documents(docs), "term")
-        .withColumn("share", F.when(total > F.col("n_entity"), share))
+        rare.withColumnRenamed("text_key", "in_text")
+        .join(often, (F.col("in_text") == F.col("text_key")) & (F.col("n_term") <= F.col("most")))
+        .groupBy("entity", "shrink", "n_entity", "term", "n_term")
+        .agg(F.sum("n").alias("n_both"), F.count("*").alias("texts"))
+        .withColumn("share", share)
         .select("entity", "term",
                 F.when(F.col("share") >= REMOVE, KINDS.index("term"))
                 .when(F.col("share") >= GENERALISE, KINDS.index("generalised")).alias("kind"))
@@ -266,7 +297,7 @@ def spans_of(docs: DataFrame) -> DataFrame:
                 names=["doc_id", "text_key", "base", "added"])
 
     marked = joined.select("doc_id", "text_key", "base", "text", "told").mapInArrow(
-        run, f"doc_id long, text_key long, base array<struct<{_SPAN}>>, "
+        lean(run), f"doc_id long, text_key long, base array<struct<{_SPAN}>>, "
              f"added array<struct<{_SPAN}>>")
     return marked.select(
         "doc_id", "text_key", "base", F.array_sort(F.concat("base", "added")).alias("spans")
@@ -324,4 +355,4 @@ def rewritten(joined: DataFrame, columns: list[str]) -> DataFrame:
             out[size] = pa.array(counts, pa.int64())
             yield pa.RecordBatch.from_arrays(out, names=columns)
 
-    return picked.mapInArrow(run, schema)
+    return picked.mapInArrow(lean(run), schema)

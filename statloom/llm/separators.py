@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from statloom.llm.packing import encoder
-from statloom.llm.tables import settled, shipped
+from statloom.llm.tables import lean, settled, shipped
 from statloom.session import scratch_path
 from statloom.sources import files
 
@@ -76,7 +76,7 @@ def write_flat(docs: DataFrame, path: str, vocabulary: str | None = None) -> Non
                     rows, size = [], 0
             yield pa.RecordBatch.from_arrays([pa.array(rows, pa.binary())], names=["flat"])
 
-    (docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "flat binary")
+    (docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(lean(run, keep=True), "flat binary")
      .select(F.col("flat").cast("string").alias("value"))
      .write.option("lineSep", END_LETTER).option("maxRecordsPerFile", FILE_DOCUMENTS).text(path))
 
@@ -122,7 +122,7 @@ def scan_blocks(spark: SparkSession, path: str, block_tokens: int = BLOCK_TOKENS
 
     flat = spark.read.format("binaryFile").load(path).where("length > 0")
     return flat.select(F.element_at(F.split("path", "/"), -1).alias("file"), "content").mapInArrow(
-        run, _BLOCK)
+        lean(run), _BLOCK)
 
 
 def _id_of(header: Column) -> Column:

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from statloom.llm.tables import held_out, settled
+from statloom.llm.tables import held_out, lean, settled
 from statloom.llm.words import Block, Words, blocks, mix
 
 SLOT_BITS = 18
@@ -165,7 +165,7 @@ def sample_of(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS)
                         pa.array(begins.astype(np.int32)), pa.array(slots))],
                     names=["doc_id", "label", "slots"])
 
-    return texts.mapInArrow(run, "doc_id long, label int, slots array<int>").withColumn(
+    return texts.mapInArrow(lean(run), "doc_id long, label int, slots array<int>").withColumn(
         "shard", F.pmod(F.xxhash64("doc_id"), F.lit(SHARDS)).cast("int"))
 
 
@@ -241,7 +241,7 @@ def score(docs: DataFrame, machine: Machine | None, passed: list[str]) -> DataFr
                      pa.array(_sigmoid(known.margin(*terms(block))).astype(np.float64))],
                     names=schema.names)
 
-    return docs.select(*passed, "text").mapInArrow(run, schema)
+    return docs.select(*passed, "text").mapInArrow(lean(run), schema)
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from statloom.llm.tables import settled, shipped
+from statloom.llm.tables import lean, settled, shipped
 from statloom.llm.words import Block, Words, blocks, mix
 
 MIN_CHARS, MIN_COUNT, FACTOR = 7, 2, 10
@@ -134,7 +134,7 @@ def counts(docs: DataFrame, garbled_in: int = 0) -> DataFrame:
     shipped(docs.sparkSession)
     return (
         docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-        .mapInArrow(run, "word string, n long")
+        .mapInArrow(lean(run), "word string, n long")
         .groupBy("word").agg(F.sum("n").alias("n")).where(F.col("n") >= MIN_COUNT))
 
 
@@ -196,7 +196,7 @@ def reduced(words: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array(key.view(np.int64))], names=["word", "n", "key"])
 
-    return words.select("word", "n").mapInArrow(run, "word string, n long, key long")
+    return words.select("word", "n").mapInArrow(lean(run), "word string, n long, key long")
 
 
 def bitmap(keys: DataFrame, bits: int) -> np.ndarray:
@@ -240,7 +240,7 @@ def neighbours(words: DataFrame, held: np.ndarray) -> DataFrame:
                     [batch.column(0).take(pa.array(np.concatenate(at))),
                      pa.array(np.concatenate(keys).view(np.int64))], names=["word", "key"])
 
-    return words.select("word").mapInArrow(run, "word string, key long")
+    return words.select("word").mapInArrow(lean(run), "word string, key long")
 
 
 def near_words(words: DataFrame) -> DataFrame:

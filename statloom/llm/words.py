@@ -74,7 +74,7 @@ class _Powers:
 
     @classmethod
     def of(cls, n: int) -> tuple[np.ndarray, np.ndarray]:
-        if n > 4 * BLOCK_BYTES:
+        if n > BLOCK_BYTES + 1:
             return _powers(_STEP, n), _powers(_BACK, n)
         if len(cls.up) < n:
             cls.up, cls.down = _powers(_STEP, n), _powers(_BACK, n)

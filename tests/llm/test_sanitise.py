@@ -85,10 +85,16 @@ def planted():
     return rows
 
 
-def told(rows, window=sanitise.WINDOW):
-    """Texts' extra spans, from counts over plain tokens."""
+def group(kind, value):
+    if kind == 0:
+        return value.split("@")[1]
+    return ".".join(value.split(".")[:3]) if kind == 1 else "".join(c for c in value if c in "0123456789")[:6]
+
+
+def told(rows):
+    """Texts' extra spans, from counts over plain tokens: every free term of a text with every entity of it, and with
+    every entity's group."""
     total = len(rows)
-    token = re.compile(r"[a-z0-9\x80-\U0010ffff]+")
     docs = []
     documents_of, entity_of, both, texts = (defaultdict(int), defaultdict(int), defaultdict(int),
                                             defaultdict(set))
@@ -96,38 +102,34 @@ def told(rows, window=sanitise.WINDOW):
         text = text or ""
         base = plain(text)
         low = "".join(c.lower() if "A" <= c <= "Z" else c for c in text)
-        usable = [(m.group(), m.start(), m.end()) for m in token.finditer(low)
-                  if len(m.group().encode()) >= 3 and re.search(r"[^0-9]", m.group())]
+        usable = [(m.group(), m.start(), m.end()) for m in re.finditer(r"[a-z0-9\x80-\U0010ffff]+", low)
+                  if not re.fullmatch("[a-z]{1,2}", m.group())]
         for t in {t for t, _, _ in usable}:
             documents_of[t] += 1
         free = [u for u in usable if not any(u[1] < e and s < u[2] for s, _, e in base)]
-        pairs = set()
-        for s, k, e in base:
-            before = [t for t, a, _ in free if a < s][-window:]
-            after = [t for t, a, _ in free if a >= e][:window]
-            pairs |= {((k, text[s:e].lower()), t) for t in [*before, *after]}
-        for entity in {p[0] for p in pairs}:
+        entities = {(0.3, k, text[s:e].lower()) for s, k, e in base}
+        entities |= {(0.9, k, group(k, text[s:e].lower())) for s, k, e in base}
+        for entity in entities:
             entity_of[entity] += 1
-        for p in pairs:
-            both[p] += 1
-            texts[p].add(text)
-        docs.append((doc_id, base, free, pairs))
+            for t in {t for t, _, _ in free}:
+                both[entity, t] += 1
+                texts[entity, t].add(text)
+        docs.append((doc_id, base, free, entities))
     kinds = {}
     for (entity, t), n in both.items():
-        if len(texts[entity, t]) >= sanitise.MIN_TEXTS:
-            share = (math.log2(n * total / (entity_of[entity] * documents_of[t]))
-                     / math.log2(total / entity_of[entity]))
-            if share >= sanitise.GENERALISE:
-                kinds[entity, t] = 4 if share >= sanitise.REMOVE else 5
+        if entity_of[entity] < total:
+            evidence = len(texts[entity, t]) / (len(texts[entity, t]) + entity[0])
+            share = evidence * (math.log2(n * total / (entity_of[entity] * documents_of[t]))
+                                / math.log2(total / entity_of[entity]))
+            if share >= 0.85:
+                kinds[entity, t] = 4 if share >= 0.95 else 5
     out = {}
-    for doc_id, base, free, pairs in docs:
+    for doc_id, base, free, entities in docs:
         added = defaultdict(lambda: 9)
-        for entity, t in pairs:
-            if (entity, t) in kinds:
-                for u, s, e in free:
-                    if u == t:
-                        added[s, e] = min(added[s, e], kinds[entity, t])
-        out[doc_id] = written(sorted([*base, *((s, k, e) for (s, e), k in added.items())]))
+        for t, s, e in free:
+            for entity in entities:
+                added[s, e] = min(added[s, e], kinds.get((entity, t), 9))
+        out[doc_id] = written(sorted([*base, *((s, k, e) for (s, e), k in added.items() if k < 9)]))
     return out
 
 
@@ -169,6 +171,28 @@ def test_numbers_disclose(documents):
     assert "term:21:25" not in got[300] and "generalised:21:25" not in got[300]
 
 
+def test_a_group_pools_evidence(documents):
+    """A name that stands with addresses of one domain, each address in one text only; numbers of one prefix alike."""
+    rng = random.Random(8)
+    filler = lambda n: " ".join(f"w{rng.randint(0, 300):03d}x" for _ in range(n))
+    rows = [(i, filler(30)) for i in range(600)]
+    rows += [(600 + i, f"From Initech {filler(20)} u{i}@initech.example.com {filler(5)}") for i in range(24)]
+    rows += [(700 + i, f"{filler(9)} call Ward7 now +1 (212) 55{i} 1234") for i in range(8)]
+    got = {r.doc_id: r.spans for r in sanitise.report(documents(rows)).collect()}
+    assert got == told(rows)
+    assert all("term:5:12" in got[600 + i] for i in range(24))
+    assert not any("term" in got[i] or "gen" in got[i] for i in range(600))
+
+
+def test_a_pair_seen_once_is_no_evidence(documents):
+    rows = [(i, f"text {i} of many words") for i in range(200)]
+    rows += [(300, "Rumpelstiltskin a@b.cd"), (301, "Rumpelstiltskin a@b.cd"), (400, "Zorro x@y.zw"), (401, "Zorro, x@y.zw")]
+    got = {r.doc_id: r.spans for r in sanitise.report(documents(rows)).collect()}
+    assert got == told(rows)
+    assert got[300] == "email:16:22"                      # a copy adds nothing
+    assert got[400] == "generalised:0:5,email:6:12"       # another text does
+
+
 def test_odd_rows(documents):
     rows = [(None, None), (None, "a@b.cd"), (1, ""), (2, "9" * 20_000 + ".1"), (3, "0" * 3000 + ".0.0.1"),
             (4, "word " * 100_000 + "a@b.cd"), (4, "word " * 100_000 + "a@b.cd"), (5, "+" * 50_000)]
