@@ -27,11 +27,12 @@ from statloom.llm.words import Words, blocks, mix
 SKETCH_ITEMS = 2048
 MIN_GROUP = 200
 #: Interquartile ranges between a quartile and its cutoff.
-REACH = 4.0
-#: Rates, with the least spread taken for each, so that a rate that is nearly always 0 does not
-#: reject a text for a single occurrence.
-RATES = {"symbol_rate": 0.02, "dup_line_rate": 0.1, "repeat_rate": 0.1, "capital_rate": 0.05,
-         "word_length": 0.5}
+REACH = 8.0
+#: Rates, with the least spread taken for each: a guard for rates that hardly vary in a group.
+RATES = {"symbol_rate": 0.02, "dup_line_rate": 0.02, "repeat_rate": 0.02, "capital_rate": 0.002,
+         "word_length": 0.05}
+#: Rates that are 0 in most texts of any source: their quartiles are those of the texts where they are not.
+WHERE_ANY = ("dup_line_rate", "repeat_rate")
 #: Rates that may also be too low.
 TWO_SIDED = ("word_length",)
 
@@ -134,23 +135,30 @@ def rates(measured: DataFrame) -> DataFrame:
     })
 
 
+def _sketched(rate: str) -> Column:
+    """The values whose quartiles count; null for those that do not."""
+    return F.nullif(F.col(rate), F.lit(0.0)) if rate in WHERE_ANY else F.col(rate)
+
+
 def cutoffs(rated: DataFrame, min_group: int = MIN_GROUP, reach: float = REACH) -> DataFrame:
     """For each (lang, source): <rate>_max, and <rate>_min where low values count too.
 
     Sketches are built per task and merged per group; only sketches are shuffled.
     """
+    counted = [f"n_{r}" for r in WHERE_ANY]
     groups = rated.groupBy("lang", "source").agg(
         F.count(F.when(F.col("n_words") > 0, 1)).alias("n"),
-        *(F.kll_sketch_agg_double(r, F.lit(SKETCH_ITEMS)).alias(r) for r in RATES))
+        *(F.count(_sketched(r)).alias(f"n_{r}") for r in WHERE_ANY),
+        *(F.kll_sketch_agg_double(_sketched(r), F.lit(SKETCH_ITEMS)).alias(r) for r in RATES))
 
     def merged() -> list[Column]:
-        return [F.sum("n").alias("n_up"), *(
+        return [*(F.sum(n).alias(f"{n}_up") for n in ("n", *counted)), *(
             F.kll_merge_agg_double(r, F.lit(SKETCH_ITEMS)).alias(f"{r}_up") for r in RATES)]
 
     def filled(frame: DataFrame, up: str = "{}_up") -> DataFrame:
         own = F.col("n") >= min_group
         return frame.select("lang", "source", *(
-            F.when(own, F.col(c)).otherwise(F.col(up.format(c))).alias(c) for c in ("n", *RATES)))
+            F.when(own, F.col(c)).otherwise(F.col(up.format(c))).alias(c) for c in ("n", *counted, *RATES)))
 
     by_language = groups.groupBy(F.col("lang").alias("lang_up")).agg(*merged())
     groups_filled = filled(groups.join(
@@ -159,9 +167,12 @@ def cutoffs(rated: DataFrame, min_group: int = MIN_GROUP, reach: float = REACH)
     everywhere = filled(groups_filled.withColumn("up", corpus), "up.{}_up")
     out = {}
     for rate, least in RATES.items():
-        quartile = lambda q, r=rate: F.when(
-            F.col("n") > 0, F.kll_sketch_get_quantile_double(F.col(r), F.lit(q)))
+        n = F.col(f"n_{rate}" if rate in WHERE_ANY else "n")
+        quartile = lambda q, r=rate, n=n: F.when(
+            n > 0, F.kll_sketch_get_quantile_double(F.col(r), F.lit(q)))
         low, high = quartile(0.25), quartile(0.75)
+        if rate in WHERE_ANY:
+            low, high = (F.when(F.col("n") > 0, F.coalesce(q, F.lit(0.0))) for q in (low, high))
         spread = F.greatest(high - low, F.lit(least))
         out[f"{rate}_max"] = high + reach * spread
         if rate in TWO_SIDED:

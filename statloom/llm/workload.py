@@ -170,10 +170,11 @@ FROM based b LEFT JOIN limits l
   ON b.lang IS NOT DISTINCT FROM l.lang AND b.source IS NOT DISTINCT FROM l.source
 """.format(
     limits=", ".join(
-        f"quantile_disc({r}, 0.75) + {quality.REACH} * greatest("
-        f"quantile_disc({r}, 0.75) - quantile_disc({r}, 0.25), {least}) AS {r}_max, "
-        f"quantile_disc({r}, 0.25) - {quality.REACH} * greatest("
-        f"quantile_disc({r}, 0.75) - quantile_disc({r}, 0.25), {least}) AS {r}_min"
+        "{high} + {reach} * greatest({high} - {low}, {least}) AS {r}_max, "
+        "{low} - {reach} * greatest({high} - {low}, {least}) AS {r}_min".format(
+            r=r, reach=quality.REACH, least=least, **{
+                name: f"coalesce(quantile_disc(nullif({r}, 0), {q}), 0)" if r in quality.WHERE_ANY
+                else f"quantile_disc({r}, {q})" for name, q in (("low", 0.25), ("high", 0.75))})
         for r, least in quality.RATES.items()),
     fine=" AND ".join([f"coalesce({r} <= {r}_max, false)" for r in quality.RATES]
                       + [f"coalesce({r} >= {r}_min, false)" for r in quality.TWO_SIDED]))

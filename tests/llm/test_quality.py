@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import random
 import re
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 from statloom.llm import quality
-from statloom.llm.quality import COUNTS, MIN_GROUP, RATES, REACH, TWO_SIDED
+from statloom.llm.quality import COUNTS, MIN_GROUP, RATES, REACH, TWO_SIDED, WHERE_ANY
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -49,7 +51,7 @@ def kept(rows):
                 break
         out = {}
         for rate, least in RATES.items():
-            column = sorted(v[rate] for v in values)
+            column = sorted(v[rate] for v in values if v[rate] or rate not in WHERE_ANY) or [0.0]
             disc = lambda q, c=column: c[max(0, -(-int(q * 100) * len(c) // 100) - 1)]
             low, high = disc(0.25), disc(0.75)
             reach = REACH * max(high - low, least)
@@ -84,6 +86,30 @@ def test_labels_agree(spark):
     assert not any(r.kept for r in rows if r.quality == 0)
 
 
+def test_a_source_is_judged_by_its_own_spread(documents):
+    """Two sources with the same middle; the texts of one vary more, and it keeps what the other does not."""
+    rng = random.Random(4)
+    word = lambda n: "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(n))
+    text = lambda mean: " ".join(word(rng.choice([mean - 1, mean, mean + 1])) for _ in range(120))
+    rows = [(i, text(6), "en", "steady") for i in range(300)]
+    rows += [(1000 + i, text(rng.choice([4, 5, 6, 7, 8])), "en", "varied") for i in range(300)]
+    rows += [(d, " ".join(word(11) for _ in range(120)), "en", source)
+             for d, source in ((5000, "steady"), (5001, "varied"))]
+    got = {r.doc_id: r.kept for r in quality.assess(documents(rows)).collect()}
+    assert not got[5000] and got[5001]
+    assert sum(got[i] for i in range(300)) == 300
+
+
+def test_the_floor_decides_for_few(spark):
+    """In most pairs of a group and a rate the spread of the texts is beyond the guard."""
+    df = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    groups = quality.rates(quality.measure(df, ["lang", "source"])).groupBy("lang", "source").agg(
+        F.count("*").alias("n"), *(F.percentile(quality._sketched(r), [0.25, 0.75]).alias(r) for r in RATES)
+    ).where(F.col("n") >= MIN_GROUP).collect()
+    floored = [g[r][1] - g[r][0] < least for g in groups for r, least in RATES.items() if g[r]]
+    assert len(floored) >= 90 and sum(floored) < 0.3 * len(floored)
+
+
 ODD = ["", " ", "\n\n", "a", "a\x1fb\xa0c", "a b c a b c", "a b c\na b c\n\na b c\r\n a b c",
        "x\n" * 10, "É# | é*", "w " * 5000, "same line\nother\nsame line", "a b\tc\x0bd\x0ce",
        "퟿\U0001f600 \U0001f600 \U0001f600 \U0001f600", "1 2 3 1 2 3 4 1 2 3"]
