@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from statloom.llm.tables import lean, shipped
+from statloom.llm.tables import lean, settled, shipped
 
 KERNEL = (0.1, 0.2, 0.4, 0.2, 0.1)
 THRESHOLD = 0.5
@@ -312,8 +312,9 @@ def host_ratios(keyed: DataFrame) -> DataFrame:
                     pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64()))],
                 names=["host", "key", "path", "n", "chars", "marks"])
 
-    sums = keyed.select("host", "key", "html").mapInArrow(
-        lean(run), "host string, key long, path long, n long, chars long, marks long")
+    # Both uses of the sums read what one pass over the pages wrote.
+    sums = settled(keyed.select("host", "key", "html").mapInArrow(
+        lean(run), "host string, key long, path long, n long, chars long, marks long"), "sums")
     pooled = sums.groupBy("host", "path").agg(
         *(F.sum(c).alias(c) for c in ("n", "chars", "marks"))).select(
         "host", "path", (F.col("chars") / F.col("n") * (1 + F.col("marks") / F.col("n"))).alias("ratio"),
