@@ -5,8 +5,9 @@ than once, hashed into a fixed number of slots. The score is a bias, a weight pe
 vectors, so that an insult and whom it is aimed at count for more together than apart. Pairs are
 never listed: their sum follows from the sum and the sum of squares of the vectors.
 
-Slots that are about as often toxic as others are left out: only those whose toxic share in the
-sample is SELECT standard deviations off get parameters, so common words add no noise.
+Slots get parameters if they tell something, alone or together, so common words add no noise: those whose
+toxic share in the sample is SELECT standard deviations off, and those that move the share of such a slot by TOGETHER in the
+texts that hold both. So a word that is as good as neutral by itself, such as whom an insult is aimed at, gets its vector.
 
 The machine learns from a bounded sample of labelled texts, about TRAIN_ROWS of them, chosen by a
 hash of the id; all where there are no more. Shards of the sample are trained side by side, and
@@ -24,7 +25,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from statloom.llm.tables import held_out, lean, settled
@@ -39,6 +40,8 @@ SHARDS, ROUNDS, EPOCHS, BATCH = 4, 6, 5, 128
 RATE, FACTOR_RATE = 0.3, 0.05
 DECAY, FACTOR_DECAY = 2e-5, 1e-3
 SELECT, SELECT_ROWS = 4.0, 5
+#: The same for pairs; there are far more of them, so chance must be ruled out more strictly.
+TOGETHER, TOGETHER_ROWS = 8.0, 20
 STEM_BYTES = 5
 THRESHOLD = 0.3
 
@@ -170,15 +173,28 @@ def sample_of(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS)
 
 
 def selected(sample: DataFrame) -> np.ndarray:
-    """Slots whose toxic share is off the sample's; at most as many as there are slots."""
+    """Slots whose toxic share is off the sample's, and those off the share of one of these in the texts with both; at
+    most as many as there are slots."""
     totals = sample.agg(F.count("*").alias("n"), F.avg("label").alias("share")).first()
     if not totals.n or totals.share in (0.0, 1.0):
         return np.zeros(0, dtype=np.int32)
-    share = totals.share
-    counted = sample.select("label", F.explode("slots").alias("slot")).groupBy("slot").agg(
-        F.count("*").alias("n"), F.sum("label").alias("toxic"))
-    off = F.abs(F.col("toxic") - F.col("n") * share) / F.sqrt(F.col("n") * share * (1 - share))
-    rows = counted.where((F.col("n") >= SELECT_ROWS) & (off >= SELECT)).select("slot").toArrow()
+
+    def off(share: Column) -> Column:
+        return F.abs(F.col("toxic") - F.col("n") * share) / F.sqrt(F.col("n") * share * (1 - share))
+
+    counts = F.count("*").alias("n"), F.sum("label").alias("toxic")
+    told = sample.select("label", "slots", F.explode("slots").alias("slot"))
+    alone = settled(told.groupBy("slot").agg(*counts).where(
+        (F.col("n") >= SELECT_ROWS) & (off(F.lit(totals.share)) >= SELECT)), "alone")
+    # Of slots that are always or never toxic no other can change the share. Few slots pass the screen (all of them are few
+    # enough to broadcast), so a text has few pairs of one of these and another slot.
+    open_ = F.broadcast(alone.where((F.col("toxic") > 0) & (F.col("toxic") < F.col("n"))).select(
+        "slot", (F.col("toxic") / F.col("n")).alias("share")))
+    together = (
+        told.join(open_, "slot").select("slot", "share", "label", F.explode("slots").alias("other"))
+        .where(F.col("slot") != F.col("other")).groupBy("slot", "share", "other").agg(*counts)
+        .where((F.col("n") >= TOGETHER_ROWS) & (off(F.col("share")) >= TOGETHER)))
+    rows = alone.select("slot").union(together.select("other")).distinct().toArrow()
     return np.sort(rows["slot"].to_numpy())
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import random
+
 import numpy as np
 import pyarrow as pa
 import pytest
@@ -43,6 +45,28 @@ def test_pairs_are_learned():
     assert ((machine.margin(flat, begins) > 0) == labels).mean() > 0.9
 
 
+def test_terms_toxic_only_together(spark):
+    """Through the whole operator: one word is neutral by itself, the other nearly, both together are toxic."""
+    rng = random.Random(3)
+    docs, labels = [], []
+    for i in range(12_000):
+        mild, target, insult = rng.random() < 0.03, rng.random() < 0.25, rng.random() < 0.01
+        words = [f"w{rng.randint(0, 400)}" for _ in range(40)] + ["alphax"] * mild + ["betax"] * target + ["gammax"] * insult
+        rng.shuffle(words)
+        docs.append((i, " ".join(words)))
+        labels.append((i, int(mild and target or insult)))
+    rows = toxicity.toxicity(spark.createDataFrame(docs, "doc_id long, text string").repartition(8),
+                             spark.createDataFrame(labels, "doc_id long, toxic int")).where("held_out").collect()
+    flags = {(a, b): [] for a in (False, True) for b in (False, True)}
+    for r in rows:
+        words = set(docs[r.doc_id][1].split())
+        if "gammax" not in words:
+            flags["alphax" in words, "betax" in words].append(r.predicted)
+    share = {k: sum(v) / len(v) for k, v in flags.items()}
+    assert share[True, True] >= 0.9
+    assert max(share[True, False], share[False, True], share[False, False]) <= 0.05
+
+
 def test_held_out(spark):
     path = "/root/testdata/sf0.1"
     docs, labels = (spark.read.parquet(f"{path}/{t}.parquet") for t in ("documents", "labels"))
