@@ -247,8 +247,11 @@ def near_words(words: DataFrame) -> DataFrame:
     """word, n_near and best (less: minus its count, other: the word): the near words of each that has some."""
     cells = reduced(words)
     total = words.count()
+    # A word's neighbours are much work for few bytes, by which its tasks would be sized.
+    width = int(words.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = words.repartition(width, "word")
     bits = min(MOST_BITS, max(LEAST_BITS, 1 << (BITS_A_WORD * total - 1).bit_length())) if total else LEAST_BITS
-    found = neighbours(words, bitmap(cells, bits))
+    found = neighbours(dealt, bitmap(cells, bits))
     others = cells.withColumnsRenamed({"word": "other", "n": "other_n"})
     return (
         found.hint("merge").join(others, "key")
