@@ -6,8 +6,8 @@ vectors, so that an insult and whom it is aimed at count for more together than
 never listed: their sum follows from the sum and the sum of squares of the vectors.
 
 Slots get parameters if they tell something, alone or together, so common words add no noise: those whose
-toxic share in the sample is SELECT standard deviations off, and those that move the share of such a slot by TOGETHER in the
-texts that hold both. So a word that is as good as neutral by itself, such as whom an insult is aimed at, gets its vector.
+toxic share in the sample is SELECT standard deviations off, and those that move the share of a slot LIFT times as often
+toxic as others by TOGETHER in the texts that hold both. So a word that is as good as neutral by itself, such as whom an insult is aimed at, gets its vector.
 
 The machine learns from a bounded sample of labelled texts, about TRAIN_ROWS of them, chosen by a
 hash of the id; all where there are no more. Shards of the sample are trained side by side, and
@@ -41,7 +41,7 @@ RATE, FACTOR_RATE = 0.3, 0.05
 DECAY, FACTOR_DECAY = 2e-5, 1e-3
 SELECT, SELECT_ROWS = 4.0, 5
 #: The same for pairs; there are far more of them, so chance must be ruled out more strictly.
-TOGETHER, TOGETHER_ROWS = 8.0, 20
+TOGETHER, TOGETHER_ROWS, LIFT = 8.0, 20, 3
 STEM_BYTES = 5
 THRESHOLD = 0.3
 
@@ -183,26 +183,52 @@ def selected(sample: DataFrame) -> np.ndarray:
         return F.abs(F.col("toxic") - F.col("n") * share) / F.sqrt(F.col("n") * share * (1 - share))
 
     counts = F.count("*").alias("n"), F.sum("label").alias("toxic")
-    told = sample.select("label", "slots", F.explode("slots").alias("slot"))
-    alone = settled(told.groupBy("slot").agg(*counts).where(
-        (F.col("n") >= SELECT_ROWS) & (off(F.lit(totals.share)) >= SELECT)), "alone")
-    # Of slots that are always or never toxic no other can change the share. Few slots pass the screen (all of them are few
-    # enough to broadcast), so a text has few pairs of one of these and another slot.
-    open_ = F.broadcast(alone.where((F.col("toxic") > 0) & (F.col("toxic") < F.col("n"))).select(
+    counted = settled(sample.select("label", F.explode("slots").alias("slot")).groupBy("slot").agg(*counts)
+                      .where(F.col("n") >= SELECT_ROWS), "counted")
+    alone = counted.where(off(F.lit(totals.share)) >= SELECT).select("slot", "n", "toxic")
+    # Slots that are toxic LIFT times as often as others, but not always, may be so for want of another. Few pass that screen
+    # (there are 2^18 slots at most to broadcast), so a text has few pairs of one of these and another slot.
+    lifted = (F.col("toxic") >= LIFT * F.col("n") * totals.share) & (F.col("toxic") < F.col("n"))
+    open_ = F.broadcast(alone.where(lifted & (F.col("n") >= TOGETHER_ROWS)).select(
         "slot", (F.col("toxic") / F.col("n")).alias("share")))
+    frequent = counted.where(F.col("n") >= TOGETHER_ROWS).select("slot").toArrow()["slot"].to_numpy()
+    # Dealt by the screened slot, each text once for it, its pairs are counted where they are made.
     together = (
-        told.join(open_, "slot").select("slot", "share", "label", F.explode("slots").alias("other"))
-        .where(F.col("slot") != F.col("other")).groupBy("slot", "share", "other").agg(*counts)
+        _narrowed(sample, frequent).select("label", "slots", F.explode("slots").alias("slot"))
+        .join(open_, "slot").repartition("slot")
+        .select("slot", "share", "label", F.explode("slots").alias("other")).where(
+            F.col("slot") != F.col("other")).groupBy("slot", "share", "other").agg(*counts)
         .where((F.col("n") >= TOGETHER_ROWS) & (off(F.col("share")) >= TOGETHER)))
     rows = alone.select("slot").union(together.select("other")).distinct().toArrow()
     return np.sort(rows["slot"].to_numpy())
 
 
+def _narrowed(sample: DataFrame, slots: np.ndarray) -> DataFrame:
+    """The sample with only these slots in its lists: the others have no parameters."""
+    used = np.zeros(1 << SLOT_BITS, dtype=bool)
+    used[slots] = True
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            column = batch.column(2)
+            flat, ends = column.flatten().to_numpy(), column.offsets.to_numpy()
+            keep = used[flat]
+            upto = np.concatenate([[0], np.cumsum(keep)])[ends - ends[0]]
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns[:2], pa.ListArray.from_arrays(pa.array(upto.astype(np.int32)), pa.array(flat[keep])),
+                 batch.column(3)], names=batch.schema.names)
+
+    return sample.select("doc_id", "label", "slots", "shard").mapInArrow(
+        lean(run), "doc_id long, label int, slots array<int>, shard int")
+
+
 def train(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -> Machine | None:
     """Rounds of training the shards side by side and averaging what each slot's shards learned."""
     sample = settled(sample_of(docs, labels, train_rows), "sample")
     context = docs.sparkSession.sparkContext
-    machine = Machine.fresh(selected(sample))
+    slots = selected(sample)
+    sample = settled(_narrowed(sample, slots), "narrowed")
+    machine = Machine.fresh(slots)
     for turn in range(ROUNDS):
         shared = context.broadcast(machine)
         rows = sample.groupBy("shard").applyInArrow(
