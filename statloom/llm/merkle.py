@@ -24,7 +24,7 @@ from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from statloom.llm.tables import lean
@@ -105,8 +105,12 @@ def edited(text: str, following: str) -> str:
 
 
 def _place(splits: list[int], of: Column) -> Column:
-    """How many of the sorted `splits` are at most the value, by binary search."""
-    known = F.array(*(F.lit(s).cast("long") for s in splits))
+    """How many of the sorted `splits` are at most the value, by binary search.
+
+    The splits enter the plan as one text, which Catalyst folds into one array, so the plan stays
+    small however many they are.
+    """
+    known = F.split(F.lit(",".join(map(str, splits))), ",").cast("array<long>")
     steps = F.array(*(F.lit(1 << k) for k in range(len(splits).bit_length() - 1, -1, -1)))
     return F.aggregate(steps, F.lit(0), lambda acc, step: F.when(
         (acc + step <= len(splits)) & (F.get(known, acc + step - 1) <= of),
@@ -118,31 +122,32 @@ def in_order(docs: DataFrame, parts: int) -> DataFrame:
 
     Columns bucket, trails, doc_id, text. The first document of the next lower bucket follows a
     bucket's own ones as its trailer, so that every document's next is in its bucket; after the
-    lowest bucket comes the first document of all. Buckets are cut at quantiles of the ids, so
-    the driver holds two numbers per bucket.
+    lowest bucket comes the first document of all. Buckets are cut at quantiles of the ids, so the
+    driver holds one number per bucket. The table of the buckets' first documents has one row per bucket
+    too: it is ordered in one task and broadcast.
     """
     order = F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63)))
     keyed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text",
                         order.alias("order"))
-    ids = keyed.select("order")
     wanted = [k / parts for k in range(1, parts)]
-    splits = sorted({int(x) for x in ids.stat.approxQuantile("order", wanted, 0.2 / parts)})
-    bucket = _place(splits, F.col("order")) if splits else F.lit(0)
-    heads = {r.bucket: r.head for r in ids.groupBy(bucket.alias("bucket")).agg(
-        F.max("order").alias("head")).collect()}
-    used = sorted(heads)
+    splits = sorted({int(x) for x in
+                     keyed.select("order").stat.approxQuantile("order", wanted, 0.2 / parts)})
+    at = keyed.withColumn("own", _place(splits, F.col("order")) if splits else F.lit(0))
     # The bucket that a bucket's head trails: the next higher one, for the highest the lowest.
-    before = dict(zip(used, [*used[1:], *used[:1]]))
-    n = len(splits) + 1
-    head_of = F.array(*(F.lit(heads.get(b)).cast("long") for b in range(n)))
-    before_of = F.array(*(F.lit(before.get(b)).cast("int") for b in range(n)))
-    at = keyed.withColumn("own", bucket)
-    is_head = F.coalesce(F.get(head_of, F.col("own")) == F.col("order"), F.lit(False))
+    upwards = Window.orderBy("own")
+    whole = upwards.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    heads = (
+        at.groupBy("own").agg(F.max("order").alias("order"))
+        .select("own", "order", F.coalesce(
+            F.lead("own").over(upwards),
+            F.first("own").over(whole)).alias("before"))
+    )
     mine = F.struct(F.col("own").alias("bucket"), F.lit(False).alias("trails"))
-    also = F.struct(F.get(before_of, F.col("own")).alias("bucket"), F.lit(True).alias("trails"))
+    also = F.struct(F.col("before").alias("bucket"), F.lit(True).alias("trails"))
     return (
-        at.withColumn("to", F.explode(F.when(is_head, F.array(mine, also))
-                                      .otherwise(F.array(mine))))
+        at.join(F.broadcast(heads), ["own", "order"], "left")
+        .withColumn("to", F.explode(F.when(F.col("before").isNotNull(), F.array(mine, also))
+                                    .otherwise(F.array(mine))))
         .select("to.bucket", "to.trails", "doc_id", "text", "order", F.xxhash64("text").alias("tie"))
         .repartition("bucket")
         .sortWithinPartitions("bucket", "trails", F.desc("order"), "tie")

@@ -83,3 +83,17 @@ def test_odd_rows(documents):
     same = documents([(1, "abc def"), (1, "abc def"), (1, "ghi jkl"), (None, "z"), (None, "z")])
     assert merkle.compare_neighbours(same).count() == 5
     assert merkle.compare_neighbours(documents([])).count() == 0
+
+
+def test_plan_does_not_grow_with_the_width(spark, documents):
+    width = spark.conf.get("spark.sql.shuffle.partitions")
+    docs = documents([(i, "t") for i in range(2_000)])
+    try:
+        depths = []
+        for parts in ("4", "500"):
+            spark.conf.set("spark.sql.shuffle.partitions", parts)
+            plan = merkle.in_order(docs, 4 * int(parts))._jdf.queryExecution().optimizedPlan()
+            depths.append(plan.treeString().count("\n"))
+        assert depths[0] == depths[1]
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", width)
