@@ -7,16 +7,19 @@ ruled out, and in the end to all 256 bytes alike. The tree is frozen after train
 code length under a language is a sum over its bytes, each of which depends on the ORDER bytes before
 it alone. The language with the shortest code wins.
 
-A frozen tree is laid out as two tables: the state after a byte (the longest context that any of
-the trees has) and the code length of every byte in every state under every language. Whole texts
-are then scored with array look-ups.
+A frozen tree is laid out as the sorted runs of bytes that it has seen, with their counts, so it grows
+with those alone and no language's tree knows of another's. Trees are laid out per language on the
+executors. Whole texts are scored with array look-ups: a block's positions are reduced to the distinct
+runs of ORDER + 1 bytes that end there, and each of those is coded once per language.
 
-Trees learn from a bounded sample: about TRAIN_BYTES of text per language, all of it where there is
-no more. Contexts seen fewer than MIN_COUNT times are not kept.
+Trees learn from a bounded sample: TRAIN_BYTES of distinct text per language, all of it where there is
+no more; at most an eighth of an octave and one text above that, so a language of a few long texts is
+learned too. Contexts seen fewer than MIN_COUNT times are not kept.
 
 Defined results: a null text, or one without a letter, is `und` with score 0; ties go to the
 language that sorts first; a language is learned from rows whose lang is not null; with nothing to learn
-from every row is `und`; repeated rows are scored each; other columns are not read.
+from every row is `und`; repeated rows are scored each and learned from once; a very long text is scored
+in pieces that see what is before them; other columns are not read; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -26,7 +29,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from statloom.llm.tables import held_out, lean
@@ -36,7 +39,10 @@ ORDER = 3
 TRAIN_BYTES = 4 << 20
 MIN_COUNT = 2
 UNKNOWN = "und"
+#: Steps in which the sample of a language is widened, eight to the octave.
+_STEPS = 320
 _GRAMS = "lang string, length int, gram long, n long"
+_TREE = "lang string, length int, grams binary, counts binary"
 
 
 def _grams(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, length: int) -> np.ndarray:
@@ -79,131 +85,169 @@ def count_grams(sample: DataFrame, order: int = ORDER) -> DataFrame:
 
 
 def sample_of(docs: DataFrame, train_bytes: int = TRAIN_BYTES) -> DataFrame:
-    """About train_bytes of text per language, chosen by a hash of the text; all if there is less."""
-    usable = docs.where("lang IS NOT NULL AND text IS NOT NULL").select("lang", "text")
+    """The distinct texts of smallest hash of each language, until they hold train_bytes."""
+    usable = docs.where("lang IS NOT NULL AND text != ''").select("lang", "text")
+    draw = (F.pmod(F.xxhash64("text", F.lit(3)), F.lit(1 << 40)) + 1) / float(1 << 40)
+    step = F.least(F.floor(-8 * F.log2(draw)), F.lit(_STEPS))  # higher: smaller hash
+    by_step = (
+        usable.groupBy("lang", F.xxhash64("text"), step.alias("step"))
+        .agg(F.max(F.octet_length("text")).alias("n"))
+        .groupBy("lang", "step").agg(F.sum("n").alias("n"))
+    )
+    upto = F.sum("n").over(Window.partitionBy("lang").orderBy(F.desc("step")))
     # A row per language reaches the driver.
-    sizes = usable.groupBy("lang").agg(F.sum(F.octet_length("text")).alias("n")).collect()
-    if not sizes:
+    chosen = (by_step.withColumn("upto", upto).where(F.col("upto") - F.col("n") < train_bytes)
+              .groupBy("lang").agg(F.min("step").alias("step")).collect())
+    if not chosen:
         return usable
-    share = F.create_map(*(F.lit(x) for r in sizes for x in (r.lang, train_bytes / max(1, r.n))))
-    draw = F.pmod(F.xxhash64("text", F.lit(3)), F.lit(1 << 30)) / float(1 << 30)
-    return usable.where(draw < share[F.col("lang")])
+    lowest = F.create_map(*(F.lit(x) for r in chosen for x in (r.lang, r.step)))
+    return usable.where(step >= lowest[F.col("lang")]).dropDuplicates(["lang", "text"])
+
+
+def _find(known: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places in the sorted `known`, and whether the wanted values are there."""
+    if not len(known):
+        return np.zeros(len(wanted), np.int64), np.zeros(len(wanted), bool)
+    at = np.minimum(np.searchsorted(known, wanted), len(known) - 1)
+    return at, known[at] == wanted
+
+
+class Tree:
+    """A language's frozen tree.
+
+    `runs[k]` holds the seen runs of k + 1 bytes in order, `counts[k]` how often. Of each context of k
+    bytes: `total` of its counts, `distinct` bytes after it, and `above`, the counts that these bytes
+    have after the next shorter context.
+    """
+
+    def __init__(self, runs: list[np.ndarray], counts: list[np.ndarray]):
+        self.runs, self.counts = runs, counts
+        self.contexts, self.total, self.distinct, self.above = [], [], [], []
+        for k, (run, n) in enumerate(zip(runs, counts)):
+            context, first = np.unique(run >> 8, return_index=True)
+            shorter = np.zeros(len(run))
+            if k:
+                at, has = _find(runs[k - 1], run & ((1 << 8 * k) - 1))
+                shorter[has] = counts[k - 1][at[has]]
+            add = (lambda x: np.add.reduceat(x, first)) if len(run) else (lambda x: x[:0])
+            self.contexts.append(context)
+            self.total.append(add(n.astype(float)))
+            self.distinct.append(np.diff(np.append(first, len(run))).astype(float))
+            self.above.append(add(shorter))
+
+    def bits(self, runs: np.ndarray, back: np.ndarray) -> np.ndarray:
+        """Code length of the last byte of each run, of which `back` bytes before it count."""
+        out = np.zeros(len(runs))
+        left = np.arange(len(runs))  # not coded yet
+        spent, ruled, passed = (np.zeros(len(runs)) for _ in range(3))
+        for k in range(len(self.runs) - 1, -1, -1):
+            at, has = _find(self.contexts[k], (runs >> 8) & ((1 << 8 * k) - 1))
+            has &= back >= k
+            at, known = at[has], np.flatnonzero(has)
+            # Bytes seen after a longer context are ruled out here, with their counts.
+            fresh = self.distinct[k][at] - ruled[known]
+            total = self.total[k][at] - passed[known] + fresh
+            place, seen = _find(self.runs[k], runs[known] & ((1 << 8 * (k + 1)) - 1))
+            done = known[seen]
+            out[left[done]] = spent[done] + np.log2(total[seen]) - np.log2(self.counts[k][place[seen]])
+            escapes = ~seen & (fresh > 0)
+            spent[known[escapes]] += np.log2(total[escapes]) - np.log2(fresh[escapes])
+            ruled[known], passed[known] = self.distinct[k][at], self.above[k][at]
+            stay = np.ones(len(runs), dtype=bool)
+            stay[done] = False
+            runs, back, left = runs[stay], back[stay], left[stay]
+            spent, ruled, passed = spent[stay], ruled[stay], passed[stay]
+        out[left] = spent + np.log2(np.maximum(256 - ruled, 1))
+        return out
 
 
 @dataclass
 class Model:
-    """Frozen trees as tables."""
-
     langs: list[str]
-    symbol: np.ndarray  # of each byte, 0 for those never seen (and for what is before a text)
-    states: list[np.ndarray]  # for 1, 2, ... bytes back: state of (state of one byte less, symbol)
-    bits: np.ndarray  # (state * symbols + symbol) -> code length by language
+    trees: list[Tree]
+    order: int
 
-    @property
-    def symbols(self) -> int:
-        return int(self.symbol.max()) + 1
+
+def _laid_out(length: np.ndarray, gram: np.ndarray, n: np.ndarray, order: int,
+              min_count: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    for own in range(1, order + 2):
+        mine = np.flatnonzero((length == own) & ((n >= min_count) | (own == 1)))
+        mine = mine[np.argsort(gram[mine])]
+        yield own, gram[mine], n[mine]
 
 
 def build(grams: list[tuple[str, int, int, int]], order: int = ORDER,
           min_count: int = MIN_COUNT) -> Model | None:
-    """The tables for counted runs (lang, length, gram, n)."""
+    """The model for counted runs (lang, length, gram, n)."""
     langs = sorted({g[0] for g in grams})
-    if not langs:
-        return None
-    seen = sorted({g[2] for g in grams if g[1] == 1})
-    symbol = np.zeros(256, dtype=np.uint8)
-    symbol[seen[:255]] = np.arange(1, len(seen[:255]) + 1)
-    size = int(symbol.max()) + 1
-    # Bytes never seen share symbol 0.
-    unseen = 256 - (size - 1)
-
-    # counts[language][context] = {symbol: n}; a context is a tuple, the nearest byte first.
-    trees: list[dict[tuple[int, ...], dict[int, int]]] = [{} for _ in langs]
-    for lang, length, gram, n in grams:
-        own = [int(symbol[(gram >> (8 * k)) & 255]) for k in range(length)]
-        if length == 1 or n >= min_count:
-            trees[langs.index(lang)].setdefault(tuple(own[1:]), {})[own[0]] = n
-
-    def lengths(tree: dict, context: tuple[int, ...]) -> np.ndarray:
-        """Code lengths in bits of all symbols after the context, with exclusions."""
-        out = np.zeros(size)
-        open_ = np.ones(size, dtype=bool)
-        spent = 0.0
-        for k in range(len(context), -1, -1):
-            after = tree.get(context[:k])
-            if not after:
-                continue
-            keys = np.array([s for s in after if open_[s]], dtype=np.int64)
-            if not len(keys):
-                continue
-            n = np.array([after[s] for s in keys], dtype=float)
-            total = n.sum() + len(keys)
-            out[keys] = spent - np.log2(n / total)
-            open_[keys] = False
-            spent -= np.log2(len(keys) / total)
-        rest = open_[1:].sum() + unseen * open_[0]
-        out[open_] = spent + np.log2(max(rest, 1))
-        return out
-
-    contexts: dict[tuple[int, ...], int] = {(): 0}
-    states, level = [], [()]
+    trees = []
+    for lang in langs:
+        own = np.array([g[1:] for g in grams if g[0] == lang], dtype=np.int64)
+        tables = list(_laid_out(*own.T, order, min_count))
+        trees.append(Tree([t[1] for t in tables], [t[2] for t in tables]))
+    return Model(langs, trees, order) if langs else None
+
+
+def _runs(data: np.ndarray, starts: np.ndarray, at: int, count: int,
+          order: int) -> tuple[np.ndarray, np.ndarray]:
+    """For each of `count` bytes from `at` the run of up to order + 1 bytes that ends there, in its
+    text, and the number of bytes before it."""
+    back = np.full(count, order, dtype=np.int64)
+    near = starts[(starts > at - order) & (starts < at + count)]
+    for j in range(order - 1, -1, -1):  # the nearest start counts
+        hit = near + j - at
+        back[hit[(hit >= 0) & (hit < count)]] = j
+    runs = data[at:at + count].astype(np.int64)
     for k in range(1, order + 1):
-        longer = sorted({c for t in trees for c in t if len(c) == k})
-        table = np.repeat(np.array([contexts[c] for c in level], dtype=np.int32), size)
-        place = {c: i for i, c in enumerate(level)}
-        # A context's own shorter form is in the tree whenever the context is.
-        for c in longer:
-            contexts[c] = len(contexts)
-        by_state = np.zeros((len(contexts), size), dtype=np.int32)
-        by_state[:] = np.arange(len(contexts))[:, None]
-        for c in longer:
-            by_state[contexts[c[:-1]], c[-1]] = contexts[c]
-        states.append(by_state.reshape(-1))
-        level = longer
-        del table, place
-    bits = np.zeros((len(contexts), size, len(langs)), dtype=np.float32)
-    for i, tree in enumerate(trees):
-        for context, at in contexts.items():
-            bits[at, :, i] = lengths(tree, context)
-    return Model(langs, symbol, states, bits.reshape(-1, len(langs)))
-
-
-def code_lengths(model: Model, data: np.ndarray, ends: np.ndarray, piece: int = 1 << 18) -> np.ndarray:
+        skip = max(0, k - at)
+        before = data[at + skip - k:at + count - k].astype(np.int64) << (8 * k)
+        runs[skip:] |= np.where(back[skip:] >= k, before, 0)
+    return runs, back
+
+
+def code_lengths(model: Model, data: np.ndarray, ends: np.ndarray, piece: int = 1 << 20) -> np.ndarray:
     """Bits of each text of a block (ended at `ends`) under each language."""
-    n, order, size = len(ends), len(model.states), model.symbols
-    total = np.zeros((n, len(model.langs)))
-    starts = np.concatenate([[0], ends[:-1]]) if n else ends
+    width = 8 * (model.order + 1)
+    total = np.zeros((len(ends), len(model.langs)))
+    starts = np.concatenate([[0], ends[:-1]]) if len(ends) else ends
     for at in range(0, len(data), piece):
-        back = max(0, at - order)
-        code = model.symbol[data[back:at + piece]].astype(np.int32)
         count = min(piece, len(data) - at)
-        near = starts[(starts > at - order) & (starts < at + count)]
-        state = np.zeros(count, dtype=np.int32)
-        for k in range(1, order + 1):
-            before = np.zeros(count, dtype=np.int32)
-            lead = at - back
-            before[max(0, k - lead):] = code[max(0, lead - k):lead - k + count]
-            for j in range(k):  # nothing before a text's start counts
-                hit = near + j - at
-                before[hit[(hit >= 0) & (hit < count)]] = 0
-            state = model.states[k - 1][state * size + before]
-        cost = model.bits[state * size + code[at - back:]]
         first = int(np.searchsorted(ends, at, side="right"))
         last = int(np.searchsorted(starts, at + count, side="left"))
         own = np.arange(first, last)
         own = own[starts[own] < ends[own]]
-        if len(own):
-            total[own] += np.add.reduceat(cost, np.maximum(starts[own] - at, 0), axis=0,
-                                          dtype=np.float64)
+        runs, back = _runs(data, starts, at, count, model.order)
+        coded = pa.array(runs | (back << width)).dictionary_encode()
+        distinct, which = coded.dictionary.to_numpy(), coded.indices.to_numpy()
+        begin = np.maximum(starts[own] - at, 0)
+        for i, tree in enumerate(model.trees):
+            bits = tree.bits(distinct & ((1 << width) - 1), distinct >> width)
+            total[own, i] += np.add.reduceat(bits[which], begin)
     return total
 
 
 def train(docs: DataFrame, order: int = ORDER, train_bytes: int = TRAIN_BYTES) -> Model | None:
-    """Trees from docs' text and lang. What reaches the driver is bounded by the sample."""
+    """Trees from docs' text and lang. What reaches the driver are the trees laid out: for each
+    language the runs seen in its sample."""
+    names = [c.split()[0] for c in _TREE.split(", ")]
+
+    def lay_out(table: pa.Table) -> pa.Table:
+        columns = (table.column(c).to_numpy() for c in ("length", "gram", "n"))
+        rows = [(table.column("lang")[0].as_py(), own, run.astype("<i8").tobytes(),
+                 n.astype("<i8").tobytes()) for own, run, n in _laid_out(*columns, order, MIN_COUNT)]
+        kinds = (pa.string(), pa.int32(), pa.binary(), pa.binary())
+        return pa.table([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=names)
+
     counted = count_grams(sample_of(docs, train_bytes), order)
     counted = counted.where((F.col("length") == 1) | (F.col("n") >= MIN_COUNT))
-    table = counted.toArrow()
-    return build(list(zip(*(table[c].to_pylist() for c in ("lang", "length", "gram", "n")))), order)
+    trees: dict[str, list[tuple[np.ndarray, np.ndarray]]] = {}
+    for r in counted.groupBy("lang").applyInArrow(lay_out, _TREE).orderBy("lang", "length").collect():
+        trees.setdefault(r.lang, []).append(
+            (np.frombuffer(r.grams, "<i8"), np.frombuffer(r.counts, "<i8")))
+    langs = sorted(trees)
+    if not langs:
+        return None
+    return Model(langs, [Tree(*map(list, zip(*trees[lang]))) for lang in langs], order)
 
 
 def predict(docs: DataFrame, model: Model | None, passed: list[str]) -> DataFrame:

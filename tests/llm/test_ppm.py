@@ -87,6 +87,34 @@ def test_odd_rows(documents):
     assert found[23] == {"de"} and found[None] == {"en"} and found[24] <= {"en", "de"}
 
 
+def test_a_language_of_long_texts_is_learned(spark):
+    """Beyond the bound texts are taken by their hash until it is met, however few there are."""
+    rng = random.Random(4)
+    word = lambda letters: "".join(rng.choices(letters, k=5))
+    rows = [("few", " ".join(word("abcde") for _ in range(6_000))) for _ in range(3)]
+    rows += [("many", " ".join(word("vwxyz") for _ in range(30))) for _ in range(3_000)]
+    rows += [("many", rows[-1][1])] * 3_000 + [("few", ""), ("many", None), (None, "abc")]
+    docs = spark.createDataFrame(rows, "lang string, text string")
+    sizes = {}
+    for r in ppm.sample_of(docs, 20_000).collect():
+        sizes.setdefault(r.lang, []).append(len(r.text))
+    assert len(sizes["few"]) == 1
+    assert 20_000 <= sum(sizes["many"]) <= 30_000 and len(sizes["many"]) < 200
+    model = ppm.train(docs, train_bytes=20_000)
+    assert model.langs == ["few", "many"]
+    block, = blocks(pa.array(["abcde edcba", "vwxyz zyxwv"]))
+    assert ppm.code_lengths(model, block.data, block.ends).argmin(axis=1).tolist() == [0, 1]
+
+
+def test_trees_hold_what_was_seen(spark):
+    docs = spark.createDataFrame([("a", "abab abab"), ("b", "xyzxyz")], "lang string, text string")
+    model = ppm.train(docs)
+    for lang, text, tree in zip(model.langs, ("abab abab", "xyzxyz"), model.trees):
+        seen = trees([text], 3, 2)
+        for k in range(4):
+            assert len(tree.runs[k]) == sum(len(v) for c, v in seen.items() if len(c) == k)
+
+
 def test_nothing_to_learn_from(documents):
     out = ppm.identify(documents([(1, "a b", None, None)])).collect()
     assert [(r.lang_pred, r.score) for r in out] == [("und", 0.0)]
