@@ -10,7 +10,9 @@ A document's ids are led by its doc_id as HEADER ids of 13 bits, so that counts
 doc_id; they are not counted. END is beyond the vocabulary and can't occur in a text.
 
 Files are written and read by Spark alone: END is, as bytes, the letter that the text writer puts
-after each row. A file holds at most FILE_DOCUMENTS documents; Spark reads a binary file of up to 2 GB.
+after each row. A row is a run of documents of about RECORD_BYTES, with END between them, and a file holds
+FILE_RECORDS of those: files are bounded by bytes, about 32 MB and a document for each row at most, however long
+or short documents are. A file is read as one row, scanned block by block, and files are dealt to tasks.
 
 Defined results: a null or empty text has 0 tokens; a null doc_id is kept; repeated rows are counted
 each; ids after a file's last end belong to no document; other columns are not read; an empty table gives
@@ -36,7 +38,8 @@ from statloom.sources import files
 #: As bytes C4 80, which is the letter Ā in UTF-8.
 END, END_LETTER = 0xC480, "Ā"
 HEADER, HEADER_BITS = 5, 13
-FILE_DOCUMENTS = 4_000
+RECORD_BYTES = 4 << 20
+FILE_RECORDS = 8
 #: Flat files are scratch: documents are written, scanned and removed in so many slices, so that a
 #: part of the corpus lies there at a time.
 SLICES = 2
@@ -57,28 +60,35 @@ def _doc_id(header: list[int]) -> int | None:
     return None if value >> 64 else value - (value >> 63 << 64)
 
 
-def write_flat(docs: DataFrame, path: str, vocabulary: str | None = None) -> None:
+def write_flat(docs: DataFrame, path: str, vocabulary: str | None = None,
+               record_bytes: int = RECORD_BYTES) -> None:
     """Write each row of doc_id and text as its header, token ids and END."""
     vocabulary = vocabulary or public_tokenizers.path("byte_bpe_50k.json")
+    end = np.array([END], dtype=">u2").tobytes()
+
+    def record(held: list[bytes]) -> pa.RecordBatch:
+        # The writer adds the last END.
+        return pa.RecordBatch.from_arrays([pa.array([end.join(held)], pa.binary())], names=["flat"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = encoder(vocabulary)
         if coder.tokenizer.get_vocab_size() > END:
             raise ValueError("the vocabulary does not leave the end identifier free")
+        held, size = [], 0
         for batch in batches:
-            rows, size = [], 0
             for doc_id, ids in zip(batch.column(0).to_pylist(), coder.encode(batch.column(1))):
-                rows.append(np.array(_header(doc_id), dtype=">u2").tobytes()
+                held.append(np.array(_header(doc_id), dtype=">u2").tobytes()
                             + np.frombuffer(ids, dtype="<u4").astype(">u2").tobytes())
-                size += len(rows[-1])
-                if size > 8 << 20:
-                    yield pa.RecordBatch.from_arrays([pa.array(rows, pa.binary())], names=["flat"])
-                    rows, size = [], 0
-            yield pa.RecordBatch.from_arrays([pa.array(rows, pa.binary())], names=["flat"])
+                size += len(held[-1])
+                if size > record_bytes:
+                    yield record(held)
+                    held, size = [], 0
+        if held:
+            yield record(held)
 
     (docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(lean(run, keep=True), "flat binary")
      .select(F.col("flat").cast("string").alias("value"))
-     .write.option("lineSep", END_LETTER).option("maxRecordsPerFile", FILE_DOCUMENTS).text(path))
+     .write.option("lineSep", END_LETTER).option("maxRecordsPerFile", FILE_RECORDS).text(path))
 
 
 def scan_block(tokens: np.ndarray, block: int, base: int) -> dict:

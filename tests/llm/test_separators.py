@@ -67,6 +67,19 @@ def test_files_are_flat(spark, documents):
     assert np.frombuffer(bytes(row.content), ">u2").tolist() == [3, 0, 0, 0, 0, *ids, separators.END]
 
 
+def test_files_are_bounded_by_bytes(spark, documents):
+    path = scratch_path(spark, "flat")
+    rows = [(i, "one two three " * (1 + i % 50)) for i in range(3_000)]
+    separators.write_flat(documents(rows).coalesce(1), path, record_bytes=4_096)
+    written = spark.read.format("binaryFile").load(path).where("length > 0")
+    longest = 2 * (len(PLAIN.encode(rows[49][1]).ids) + separators.HEADER + 1)
+    sizes = [r.length for r in written.select("length").collect()]
+    assert len(sizes) > 5
+    assert max(sizes) <= separators.FILE_RECORDS * (4_096 + longest)
+    found = separators.stitched(separators.scan_blocks(spark, path, 1_000)).collect()
+    assert Counter((r.doc_id, r.n_tokens) for r in found) == counts(rows)
+
+
 def test_a_remainder_is_no_document(spark):
     tokens = np.array([1, 0, 0, 0, 0, 9, separators.END, 2, 0, 0, 0, 0, 8], dtype=">u2")
     found = separators.scan_block(tokens, 0, 0)
