@@ -68,7 +68,7 @@ def store(spark: SparkSession, spec: TableSpec, feed: str, zones: Zones, run_dat
     """
     judged = parse(spark, spec, feed, zones, run_date)
     keep_rejects(judged, spec, feed, zones, run_date)
-    batch = (accepted(judged, spec).transform(dedupe, spec.keys)
+    batch = (accepted(judged, spec).transform(dedupe, spec.keys, dealt=True)
              .transform(stamp, run_date).transform(project, spec.contract))
     name, processed = zones.table(spec.name), zones.processed(run_date, feed)
     if mode == tables.MERGE:

@@ -16,9 +16,17 @@ from pyspark.sql import types as T
 from statloom.schemas import CORRUPT, ODD, STAMP, TableSpec
 
 
-def write_json_lines(df: DataFrame, path: str) -> None:
-    """Write every record with all its keys, replacing what the path holds."""
-    df.write.mode("overwrite").option("ignoreNullFields", "false").json(path)
+# Lines of one file at most: a compressed file is read by one task.
+FILE_LINES = 500_000
+
+
+def write_json_lines(df: DataFrame, path: str, mode: str = "overwrite") -> None:
+    """Write every record with all its keys, replacing what the path holds unless ``mode`` is ``append``.
+
+    Files are compressed, since each record repeats the names of its keys, and bounded, since such files are not split.
+    """
+    (df.write.mode(mode).option("ignoreNullFields", "false")
+     .option("compression", "gzip").option("maxRecordsPerFile", FILE_LINES).json(path))
 
 
 def read_json_lines(spark: SparkSession, path: str | list[str], schema: T.StructType,

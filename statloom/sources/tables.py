@@ -194,7 +194,7 @@ def merged(batch: DataFrame, stored: DataFrame, spec: TableSpec, corrects: bool
         first.append(F.col("_stored"))
     else:
         both = both.withColumn("_stored", F.lit(0))
-    return both.transform(rows.dedupe, [spec.partition, *spec.keys], first).drop("_stored")
+    return both.transform(rows.dedupe, [spec.partition, *spec.keys], first, dealt=True).drop("_stored")
 
 
 def merge_rows(batch: DataFrame, name: str, spec: TableSpec, corrects: bool = True) -> int:

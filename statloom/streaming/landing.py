@@ -49,7 +49,7 @@ def merge_runs(batch: DataFrame, name: str, spec: TableSpec) -> int:
         return 0
     stored = batch.sparkSession.table(name).select(*spec.contract.names).transform(
         tables.on_dates, dates, spec.partition)
-    both = stored.unionByName(batch).transform(rows.dedupe, [spec.partition, *spec.keys, STAMP])
+    both = stored.unionByName(batch).transform(rows.dedupe, [spec.partition, *spec.keys, STAMP], dealt=True)
     tables.add_rows(tables.cluster_layout(both, spec), name, spec, tables.REPLACE_DATES)
     return len(dates)
 
@@ -64,6 +64,8 @@ def store_lines(lines: DataFrame, spec: TableSpec, feed: str, zones: Zones) -> N
     rows_of = accepted(judged, spec).transform(columns.project, spec.contract)
     # A row for each run date reaches the driver.
     runs: list[date] = sorted(r[0] for r in judged.select(STAMP).distinct().collect())
+    if not runs:
+        return
 
     def one_run(run_date: date) -> None:
         own = F.col(STAMP) == F.lit(run_date)
@@ -76,9 +78,13 @@ def store_lines(lines: DataFrame, spec: TableSpec, feed: str, zones: Zones) -> N
         bad.write.mode("append").json(path)
         tables.merge_files(rows_of.filter(own), zones.processed(run_date, feed), spec, corrects=False)
 
+    def one_table() -> None:
+        # Written once: its dates, the ranges of the layout and the merge all take these rows.
+        best = rows_of.transform(rows.dedupe, [*spec.keys, STAMP], dealt=True)
+        merge_runs(tables.staged(best, "deduped"), zones.table(spec.name), spec)
+
     with ThreadPoolExecutor(max(1, min(len(runs), RUNS_AT_ONCE))) as pool:
-        merging = pool.submit(merge_runs, rows_of.transform(rows.dedupe, [*spec.keys, STAMP]),
-                              zones.table(spec.name), spec)
+        merging = pool.submit(one_table)
         for job in [pool.submit(one_run, d) for d in runs]:
             job.result()
         merging.result()

@@ -399,3 +399,26 @@ def test_replacing_dates_leaves_the_others(spark, zones, tmp_path):
     write(tmp_path / "raw" / "league" / "2025-04-18" / "player_stats.json", PLAYER_LINES)
     pipeline.transform(spark, zones, "2025-04-18", tables.REPLACE_DATES)
     assert pipeline.warehouse_tables(spark, zones)[GAMES.name].count() == 8
+
+
+def test_cleaning_sorts_after_its_shuffle_only(spark, tmp_path):
+    raw = read_json_lines(spark, write(tmp_path / "g", [game()]), GAMES.raw)
+    tree = plan_of(clean(raw, GAMES, RUN_DATE)).split("\n\n\n")[0]
+    assert tree.rindex("SortAggregate") < tree.index("Exchange")
+
+
+def test_cleaning_bounds_generated_methods(spark, tmp_path):
+    own = spark.newSession()
+    own.conf.set("spark.sql.codegen.hugeMethodLimit", "65535")
+    raw = read_json_lines(own, write(tmp_path / "g", GAME_LINES), GAMES.raw)
+    assert clean(raw, GAMES, RUN_DATE).count() == 7
+    assert own.conf.get("spark.sql.codegen.hugeMethodLimit") == "8000"
+
+
+def test_a_micro_batch_dedupes_once(spark, zones, monkeypatch):
+    labels = []
+    staged = tables.staged
+    monkeypatch.setattr(tables, "staged", lambda df, label="staged": labels.append(label) or staged(df, label))
+    stream_table(spark, GAMES, "games", zones, scratch_path(spark, "state")).awaitTermination(120)
+    assert labels.count("deduped") == 1
+    assert pipeline.warehouse_tables(spark, zones)[GAMES.name].count() == 14

@@ -378,3 +378,25 @@ def test_bloom_filters_skip_row_groups(spark):
 
     assert scanned({}) > 0
     assert scanned(tables.bloom_options(["game_id"], 100_000)) == 0
+
+
+def test_numbers_of_odd_records_are_exact(spark, tmp_path):
+    """Whether taken as declared or as variants; the text of the id makes each record odd."""
+    lines = ['{"Player_ID": "1", "FGM": 9007199254740993, "PTS": 2147483648, "REB": -3000000000, "AST": 12.7, "STL": 1e3}',
+             '{"Player_ID": "2", "FGM": "7", "PTS": "NaN", "REB": "+INF", "AST": "1e3", "STL": null}']
+    (tmp_path / "p.json").write_text("\n".join(lines))
+    feed = jsonl.read_records(spark, str(tmp_path), PLAYERS)
+    assert [r["odd"] for r in feed.collect()] == [True, True]
+    got = {r["player_id"]: (r["fgm"], r["pts"], r["reb"], r["ast"], r["stl"]) for r in feed.transform(typed, PLAYERS).collect()}
+    assert got == {1: (9007199254740993, 2147483647, -2147483648, 12, 1000), 2: (7, 0, None, None, None)}
+
+
+def test_json_lines_are_compressed_in_bounded_files(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(jsonl, "FILE_LINES", 3)
+    df = spark.range(10).selectExpr("id", "nullif(id, 4) AS other").coalesce(1)
+    path = str(tmp_path / "out.json")
+    jsonl.write_json_lines(df, path)
+    jsonl.write_json_lines(df.filter("id < 2"), path, mode="append")
+    names = [p.name for p in (tmp_path / "out.json").glob("part-*")]
+    assert len(names) == 5 and all(n.endswith(".json.gz") for n in names)
+    assert jsonl.read_json_lines(spark, path, df.schema).count() == 12
