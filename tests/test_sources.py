@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import os
 from collections import Counter
 from datetime import date
 
@@ -223,6 +224,20 @@ def test_a_job_fits_the_session_to_its_input(spark, tmp_path):
             spark.conf.set(k, v)
 
 
+def test_gzipped_feeds_count_as_the_text_they_hold(spark, tmp_path):
+    """Their tasks parse ten times the bytes of the files: fewer files share a task, and the shuffle is wider."""
+    (tmp_path / "part-0.json.gz").write_bytes(b"x")
+    os.truncate(tmp_path / "part-0.json.gz", 1 << 30)
+    keys = ("spark.sql.files.maxPartitionBytes", "spark.sql.shuffle.partitions")
+    before = {k: spark.conf.get(k) for k in keys}
+    try:
+        assert fit_to_input(spark, str(tmp_path)) == 1 << 30
+        assert [int(spark.conf.get(k)) for k in keys] == [(128 << 20) // 10, 80]
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
 SPELLED = [
     '{"PLAYER_ID": 2544.0, "Pts": "30", "GAME_id": "g1", "fg_pct": "0.5", "MIN": 35.9}',
     '{"player_id": "77", "PTS": NaN, "Game_ID": 22, "TOV": 1e3, "REB": "1e3", "MIN": "x"}',
