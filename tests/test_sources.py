@@ -238,6 +238,15 @@ def test_gzipped_feeds_count_as_the_text_they_hold(spark, tmp_path):
             spark.conf.set(k, v)
 
 
+def test_feeds_are_compressed_at_a_low_level(spark, tmp_path):
+    df = spark.range(20_000).selectExpr(*(f"hash(id, {i}) % 50 AS column_{i}" for i in range(20))).coalesce(1)
+    jsonl.write_json_lines(df, str(tmp_path / "low"))
+    df.write.option("compression", "gzip").json(str(tmp_path / "usual"))
+    low, usual = (sum(f.stat().st_size for f in (tmp_path / d).glob("*.gz")) for d in ("low", "usual"))
+    assert usual < low < 2 * usual
+    assert spark.read.json(str(tmp_path / "low")).exceptAll(df.selectExpr(*(f"cast({c} as bigint) {c}" for c in sorted(df.columns)))).isEmpty()
+
+
 SPELLED = [
     '{"PLAYER_ID": 2544.0, "Pts": "30", "GAME_id": "g1", "fg_pct": "0.5", "MIN": 35.9}',
     '{"player_id": "77", "PTS": NaN, "Game_ID": 22, "TOV": 1e3, "REB": "1e3", "MIN": "x"}',
