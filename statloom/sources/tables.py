@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from concurrent.futures import ThreadPoolExecutor
 from datetime import date
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -168,6 +169,12 @@ def staged(df: DataFrame, label: str = "staged") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(frame: DataFrame) -> None:
+    """Remove the files of a ``staged`` frame that is not used any more."""
+    for folder in {unquote(name.rpartition("/")[0]) for name in frame.inputFiles()}:
+        files.delete(frame.sparkSession, folder)
+
+
 # Merging by key
 
 
@@ -224,7 +231,12 @@ def merge_files(batch: DataFrame, path: str, spec: TableSpec, corrects: bool = T
             rows_of = merged(rows_of, stored, spec, corrects)
         else:
             rows_of = rows_of.transform(rows.latest, [spec.partition, *spec.keys], STAMP)
-        write_clustered(rows_of, path, spec, REPLACE_DATES)
+        # Written once: the ranges of the layout take these rows twice, and the shuffle that made them can go.
+        once = staged(rows_of, "merged")
+        try:
+            write_clustered(once, path, spec, REPLACE_DATES)
+        finally:
+            discard(once)
     return len(dates)
 
 

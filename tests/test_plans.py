@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import json
+import time
 from datetime import date
 
 import pytest
@@ -13,10 +14,11 @@ from statloom.plans import pipeline
 from statloom.plans.clean import accepted, clean, rejects, typed
 from statloom.plans.land import land_games, land_players
 from statloom.schemas import GAMES, PLAYERS
-from statloom.session import scratch_path
+from statloom.session import scratch_path, shared_folder
 from statloom.sources import files, tables
 from statloom.sources.jsonl import read_json_lines, read_records
 from statloom.sources.paths import Zones
+from statloom.streaming import landing
 from statloom.streaming.landing import new_lines, stream_table
 
 RUN_DATE = "2025-04-13"
@@ -422,3 +424,42 @@ def test_a_micro_batch_dedupes_once(spark, zones, monkeypatch):
     stream_table(spark, GAMES, "games", zones, scratch_path(spark, "state")).awaitTermination(120)
     assert labels.count("deduped") == 1
     assert pipeline.warehouse_tables(spark, zones)[GAMES.name].count() == 14
+
+
+def shuffle_files(spark):
+    held = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return {held.apply(i).getName() for i in range(held.size()) if held.apply(i).getName().startswith("shuffle_")}
+
+
+def test_a_stream_leaves_no_shuffle_and_no_staged_rows(spark, zones):
+    pipeline.prepare(spark, zones)
+    state, before, staged = scratch_path(spark, "state"), shuffle_files(spark), set(files.children(spark, shared_folder(spark)))
+    freed = spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled")
+    stream_table(spark, GAMES, "games", zones, state).awaitTermination(120)
+    left = set(files.children(spark, shared_folder(spark))) - staged
+    assert {name.partition("-")[0] for name in left} <= {"state"} and files.children(spark, f"{state}/judged") == []
+    deadline = time.time() + 20
+    while shuffle_files(spark) - before and time.time() < deadline:
+        time.sleep(0.2)
+    assert not shuffle_files(spark) - before
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == freed
+    assert pipeline.warehouse_tables(spark, zones)[GAMES.name].count() == 14
+
+
+def test_the_state_keeps_short_digests(spark, zones):
+    assert dict(new_lines(spark, zones, "games", "1 day").dtypes)["_digest"] == "binary"
+
+
+def test_what_a_failure_left_is_stored_by_the_next_stream(spark, zones, monkeypatch):
+    state, merge = scratch_path(spark, "state"), landing.merge_runs
+
+    def fail(*_):
+        raise RuntimeError("lost")
+
+    monkeypatch.setattr(landing, "merge_runs", fail)
+    with pytest.raises(RuntimeError, match="lost"):
+        stream_table(spark, GAMES, "games", zones, state)
+    monkeypatch.setattr(landing, "merge_runs", merge)
+    assert pipeline.warehouse_tables(spark, zones)[GAMES.name].count() == 0
+    stream_table(spark, GAMES, "games", zones, state).awaitTermination(120)
+    assert pipeline.warehouse_tables(spark, zones)[GAMES.name].count() == 14
