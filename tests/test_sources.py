@@ -424,3 +424,21 @@ def test_json_lines_are_compressed_in_bounded_files(spark, tmp_path, monkeypatch
     names = [p.name for p in (tmp_path / "out.json").glob("part-*")]
     assert len(names) == 5 and all(n.endswith(".json.gz") for n in names)
     assert jsonl.read_json_lines(spark, path, df.schema).count() == 12
+
+
+def test_odd_records_are_taken_as_declared_where_that_is_exact(spark, tmp_path):
+    """The text of the id makes each record odd; only what declared types spell or round otherwise stays a variant."""
+    usual = ('{"Player_ID": "1", "SEASON_ID": "22024", "Game_ID": "0022400001", "GAME_DATE": "JAN 15, 2025", "FG_PCT": 0.456, '
+             '"PLUS_MINUS": -3.5, "PTS": 30, "player_name": "N. Infinity"}')
+    other = ('{"Player_ID": "2", "SEASON_ID": 1e3, "Game_ID": 1.50, "GAME_DATE": -Infinity, "FG_PCT": -0.0, '
+             '"PLUS_MINUS": 1.00000005960464477539062500000001, "PTS": "30", "player_name": {"b": 1, "a": 2.50}}')
+    (tmp_path / "p.json").write_text(f"{usual}\n{other}")
+    feed = jsonl.read_records(spark, str(tmp_path), PLAYERS)
+    names = ["season_id", "game_id", "game_date", "fg_pct", "plus_minus", "pts", "player_name"]
+    held = feed.select("odd", *(F.col("odd_" + n).isNotNull().alias(n) for n in names)).collect()
+    assert [set(r) for r in held] == [{True, False}, {True}] and all(r["odd"] for r in held)
+    assert not any(held[0][n] for n in names)
+    got = {r["player_id"]: tuple(r[n] for n in names) for r in feed.transform(typed, PLAYERS).collect()}
+    assert got[1] == ("22024", "0022400001", date(2025, 1, 15), 0.4560000002384186, -3.5, 30, "N. Infinity")
+    assert got[2] == ("1000.0", "1.5", None, 0.0, 1.0000001192092896, 30, '{"a":2.5,"b":1}')
+    assert str(got[2][3]) == "0.0"
